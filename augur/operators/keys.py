@@ -6,14 +6,16 @@ without that bottleneck:
 
 1. range-partition on the ordering (Spark samples the key distribution, so a
    hot value of the first column is still split over several partitions as
-   long as the full ordering is a total order) and sort inside partitions;
-2. count rows per partition: a table with one row per partition, bounded by
-   the partition count and not by the data;
+   long as the full ordering is a total order), sort inside partitions and
+   write the rows once to the shared checkpoint folder: one file per range;
+2. count rows per file: a table with one row per file, bounded by the
+   partition count and not by the data;
 3. running offsets over that small table, broadcast back (size proven by 2);
-4. key = offset of the partition + position inside the partition + 1.
+4. key = offset of the file + the row's index inside the file + 1.
 
-The ordering must be total (unique), otherwise ties are numbered in an
-arbitrary but still dense order, just as ROW_NUMBER does.
+Keys come from immutable files, not from task-local counters, so a lost
+executor or a recomputed stage cannot renumber rows. The ordering must be
+total (unique); ties get an arbitrary but dense order, as with ROW_NUMBER.
 """
 
 from __future__ import annotations
@@ -23,19 +25,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ColumnOrName = Column | str
+from augur.session import scratch_path
 
-# monotonically_increasing_id puts the partition id in the upper 31 bits and
-# the row position inside the partition in the lower 33 bits.
-_POS_BITS = 33
+ColumnOrName = Column | str
 
 
 def _order_cols(order: Sequence[ColumnOrName]) -> list[Column]:
-    cols = []
-    for c in order:
-        col = F.col(c) if isinstance(c, str) else c
-        cols.append(col)
-    return cols
+    return [F.col(c) if isinstance(c, str) else c for c in order]
+
+
+def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+    if num_partitions:
+        return num_partitions
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def dense_key(
@@ -43,26 +45,39 @@ def dense_key(
     order: Sequence[ColumnOrName],
     name: str = "sk",
     num_partitions: int | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Append ``name`` = 1..N in ``order`` (ascending, NULLs first as in
-    Spark's default ascending sort) without a single-partition exchange."""
+    Spark's default ascending sort) without a single-partition exchange.
+
+    Runs one job that writes the sorted ranges to ``path`` (default: a new
+    folder under ``spark.checkpoint.dir``); the returned DataFrame reads them.
+    ``num_partitions`` sets the number of ranges (default: the session's
+    shuffle partitions); size it so one range fits a task.
+    """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = _order_cols(order)
-    ordered = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-    tagged = ordered.withColumns(
-        {"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}
+    path = path or scratch_path(spark, "dense_key")
+    (
+        df.repartitionByRange(_partitions(df, num_partitions), *cols)
+        .sortWithinPartitions(*cols)
+        .write.mode("overwrite")
+        .parquet(path)
+    )
+    ranges = spark.read.parquet(path)
+    data_cols = ranges.columns
+    file_name = F.col("_metadata.file_name")
+    counts = ranges.groupBy(file_name.alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
+    part_no = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("int")
+    # one row per written file: this window is over at most num_partitions rows
+    offsets = counts.select(
+        "_file", (F.sum("_n").over(Window.orderBy(part_no)) - F.col("_n")).alias("_off")
     )
-    per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # one row per partition: this window is over at most n rows
-    offsets = per_part.select(
-        "_pid", (F.sum("_n").over(Window.orderBy("_pid")) - F.col("_n")).alias("_off")
+    rows = ranges.select(
+        *data_cols, file_name.alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("bigint"), _POS_BITS)
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, (F.col("_off") + pos + 1).cast("bigint"))
-        .drop("_pid", "_mid", "_off")
+    return rows.join(F.broadcast(offsets), "_file").select(
+        *data_cols, (F.col("_off") + F.col("_row") + 1).cast("bigint").alias(name)
     )
 
 
