@@ -42,6 +42,12 @@ def _fact(spark, d):
     return forecasts(spark, d)
 
 
+def _unchecked(spark, d):
+    """Fact for marts that inner-join the forecaster dimension after
+    aggregating (see ``forecasts``)."""
+    return forecasts(spark, d, checked=False)
+
+
 def _dims(spark, d):
     return forecasters(spark, d)
 
@@ -62,15 +68,15 @@ def q_update_sequence(spark, d):
 
 
 def q_type_comparison(spark, d):
-    return marts.type_comparison(_fact(spark, d), _dims(spark, d))
+    return marts.type_comparison(_unchecked(spark, d), _dims(spark, d))
 
 
 def q_type_slice(spark, d):
-    return marts.type_slice(_fact(spark, d), _dims(spark, d), SLICE_TYPE)
+    return marts.type_slice(_unchecked(spark, d), _dims(spark, d), SLICE_TYPE)
 
 
 def q_belief_revision(spark, d):
-    return marts.belief_revision(_fact(spark, d), _dims(spark, d))
+    return marts.belief_revision(_unchecked(spark, d), _dims(spark, d))
 
 
 def q_belief_revision_chrono(spark, d):
@@ -78,43 +84,43 @@ def q_belief_revision_chrono(spark, d):
 
 
 def q_calibration_spread(spark, d):
-    return marts.calibration_spread(_fact(spark, d), _dims(spark, d), CATEGORIES)
+    return marts.calibration_spread(_unchecked(spark, d), _dims(spark, d), CATEGORIES)
 
 
 def q_calibration_long(spark, d):
-    return marts.calibration_long(_fact(spark, d), _dims(spark, d), [c for _, c in CATEGORIES])
+    return marts.calibration_long(_unchecked(spark, d), _dims(spark, d), [c for _, c in CATEGORIES])
 
 
 def q_engagement(spark, d):
-    return marts.engagement(_fact(spark, d), _dims(spark, d)).drop("years")
+    return marts.engagement(_unchecked(spark, d), _dims(spark, d)).drop("years")
 
 
 def q_engagement_profile(spark, d):
-    return marts.engagement(_fact(spark, d), _dims(spark, d)).drop("min_prediction", "max_prediction")
+    return marts.engagement(_unchecked(spark, d), _dims(spark, d)).drop("min_prediction", "max_prediction")
 
 
 # ---------------------------------------------------------------- derived
 
 def q_revision_counts(spark, d):
-    return derived.revision_counts(marts.belief_revision(_fact(spark, d), _dims(spark, d)))
+    return derived.revision_counts(marts.belief_revision(_unchecked(spark, d), _dims(spark, d)))
 
 
 def q_revision_label(spark, d):
-    rev = marts.belief_revision(_fact(spark, d), _dims(spark, d))
+    rev = marts.belief_revision(_unchecked(spark, d), _dims(spark, d))
     return derived.revision_label(rev, NAME_SEP)
 
 
 def q_hypothesis_check(spark, d):
-    spread = marts.calibration_spread(_fact(spark, d), _dims(spark, d), CATEGORIES)
+    spread = marts.calibration_spread(_unchecked(spark, d), _dims(spark, d), CATEGORIES)
     return derived.hypothesis_check(spread, tuple(p for p, _ in CATEGORIES), ("a", "b"))
 
 
 def q_experience_vs_avg(spark, d):
-    return derived.experience_vs_avg(marts.engagement(_fact(spark, d), _dims(spark, d)))
+    return derived.experience_vs_avg(marts.engagement(_unchecked(spark, d), _dims(spark, d)))
 
 
 def q_top_forecaster(spark, d):
-    return derived.top_forecaster(marts.engagement(_fact(spark, d), _dims(spark, d)))
+    return derived.top_forecaster(marts.engagement(_unchecked(spark, d), _dims(spark, d)))
 
 
 def q_question_extremes(spark, d):
@@ -126,9 +132,9 @@ def q_question_label(spark, d):
 
 
 def q_kpi_header(spark, d):
-    fact, dims = _fact(spark, d), _dims(spark, d)
+    fact, raw, dims = _fact(spark, d), _unchecked(spark, d), _dims(spark, d)
     return derived.kpi_header(
-        marts.question_summary(fact), marts.engagement(fact, dims), marts.belief_revision(fact, dims)
+        marts.question_summary(fact), marts.engagement(raw, dims), marts.belief_revision(raw, dims)
     )
 
 

@@ -32,17 +32,47 @@ def _r1(c):
     return F.round(c, 1)
 
 
+def with_distinct_count(
+    df: DataFrame, keys: Sequence[str], distinct_col: str, name: str, aggs: Sequence
+) -> DataFrame:
+    """``groupBy(keys).agg(count(DISTINCT distinct_col) AS name, *aggs)``.
+
+    Spark plans a distinct count beside other aggregates by first grouping on
+    (keys, distinct_col) and computing every other aggregate there; a
+    percentile then keeps one object buffer per (key, distinct value) and
+    falls back to sort-based aggregation. Computing the distinct count on its
+    own (distinct pairs, then a count) and joining the two per-key results
+    keeps both aggregates hash-based and shuffles only fixed-width rows.
+    """
+    stats = df.groupBy(*keys).agg(*aggs)
+    counts = (
+        df.where(F.col(distinct_col).isNotNull())
+        .select(*keys, distinct_col)
+        .distinct()
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias(name))
+    )
+    s, c = stats.alias("_s"), counts.alias("_c")
+    cond = [F.col(f"_s.{k}").eqNullSafe(F.col(f"_c.{k}")) for k in keys]
+    return s.join(c, cond, "left").select(
+        *[F.col(f"_s.{k}") for k in keys],
+        F.coalesce(F.col(f"_c.{name}"), F.lit(0)).alias(name),
+        *[F.col(f"_s.{c}") for c in stats.columns if c not in keys],
+    )
+
+
 def question_summary(fact: DataFrame, with_stddev: bool = True) -> DataFrame:
     """Per question, distinct forecasters and the prediction profile."""
     aggs = [
-        F.count_distinct("forecaster_sk").alias("forecaster_count"),
         _r1(F.median("prediction")).alias("median_prediction"),
         _r1(F.avg("prediction")).alias("mean_prediction"),
     ]
     if with_stddev:
         aggs.append(_r1(F.stddev_samp("prediction")).alias("stddev_prediction"))
     aggs += [F.min("prediction").alias("min_prediction"), F.max("prediction").alias("max_prediction")]
-    return fact.groupBy("question_id", "question_text").agg(*aggs)
+    return with_distinct_count(
+        fact, ["question_id", "question_text"], "forecaster_sk", "forecaster_count", aggs
+    )
 
 
 def latest_forecasts(fact: DataFrame) -> DataFrame:
@@ -58,12 +88,14 @@ def latest_with_type(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
 
 def type_comparison(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     """U8: forecaster types compared on their latest forecasts."""
-    return latest_with_type(fact, forecasters).groupBy("forecaster_type").agg(
-        F.count_distinct("forecaster_sk").alias("forecaster_count"),
+    aggs = [
         F.count(F.lit(1)).alias("total_forecasts"),
         _r1(F.avg("prediction")).alias("avg_prediction"),
         _r1(F.median("prediction")).alias("median_prediction"),
         _r1(F.stddev_samp("prediction")).alias("prediction_stddev"),
+    ]
+    return with_distinct_count(
+        latest_with_type(fact, forecasters), ["forecaster_type"], "forecaster_sk", "forecaster_count", aggs
     )
 
 

@@ -28,18 +28,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecast fact view: one row per submission whose forecaster exists.
+def forecasts(spark: SparkSession, sf_dir: str, checked: bool = True) -> DataFrame:
+    """Forecast fact view: one row per submission.
 
-    The fact keeps referential integrity the way the model build does (an
-    inner join on the forecaster); only existence is needed, so it is a
-    semi join and no dimension column travels with the fact.
+    ``checked`` keeps referential integrity the way the model build does (an
+    inner join on the forecaster); only existence is needed, so it is a semi
+    join and no dimension column travels with the fact. Marts that inner-join
+    the forecaster dimension after aggregating enforce integrity themselves
+    (groups of unknown forecasters find no partner) and take the unchecked
+    fact, which saves a join over every forecast row.
     Columns: forecaster_sk, question_id, question_text, prediction,
     forecast_timestamp, date_day.
     """
     events = read_table(spark, sf_dir, "events")
-    known = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
-    return events.join(known, "user_id", "left_semi").select(
+    if checked:
+        known = read_table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+        events = events.join(known, "user_id", "left_semi")
+    return events.select(
         F.col("user_id").alias("forecaster_sk"),
         F.col("event_type").alias("question_id"),
         F.upper("event_type").alias("question_text"),
