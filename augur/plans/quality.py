@@ -24,6 +24,21 @@ def exact_duplicates(df: DataFrame, cols: Sequence[str], id_col: str | None = No
     return duplicate_groups(df, list(cols), "copies", extra)
 
 
+def conflicting_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Q1 (conflicts): natural keys carried by more than one *different* row;
+    ``copies`` rows, ``versions`` distinct rows. De-duplication must pick a
+    survivor for these by a total order."""
+    rest = [c for c in df.columns if c not in key]
+    return (
+        df.groupBy(*key)
+        .agg(
+            F.count(F.lit(1)).alias("copies"),
+            F.count_distinct(F.struct(*rest)).alias("versions"),
+        )
+        .where(F.col("versions") > 1)
+    )
+
+
 def blank_or_null_counts(df: DataFrame, col: str) -> DataFrame:
     """Q2: NULL count, blank (space-only) count and row count of a column."""
     c = F.col(col)
