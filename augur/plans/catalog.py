@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from augur.functions import clean, dates
+from augur.functions.text import text_digest
 from augur.operators.keys import dense_key
 from augur.operators.sequence import sequence_number
 from augur.plans import derived, marts, quality
@@ -229,8 +230,10 @@ def q_surrogate_key_dim(spark, d):
 
 
 def q_dedup_rows(spark, d):
+    """Survivor per distinct text: the smallest doc_id. Grouped on the text
+    digest, so texts never cross the network."""
     docs = read_table(spark, d, "documents")
-    return docs.groupBy("text").agg(F.min("doc_id").alias("doc_id")).select("doc_id")
+    return docs.groupBy(text_digest("text").alias("_h")).agg(F.min("doc_id").alias("doc_id")).select("doc_id")
 
 
 def _fragments(spark, d):
@@ -282,9 +285,14 @@ def q_parse_mixed_dates(spark, d):
 
 # ---------------------------------------------------------------- data quality
 
-def q_dq_exact_duplicates(spark, d):
+def _doc_rows(spark, d):
+    """documents with the text replaced by its digest (row identity kept)."""
     docs = read_table(spark, d, "documents")
-    return quality.exact_duplicates(docs, ["text", "lang", "source"], "doc_id").select(
+    return docs.select("doc_id", text_digest("text").alias("text_h"), "lang", "source")
+
+
+def q_dq_exact_duplicates(spark, d):
+    return quality.exact_duplicates(_doc_rows(spark, d), ["text_h", "lang", "source"], "doc_id").select(
         "first_doc_id", "lang", "source", "copies"
     )
 
@@ -325,14 +333,13 @@ def q_dq_duplicate_pairs(spark, d):
 
 
 def q_dq_reconciliation(spark, d):
-    docs = read_table(spark, d, "documents")
-    return quality.reconciliation(docs, F.count_distinct("text"))
+    return quality.reconciliation(_doc_rows(spark, d), F.count_distinct("text_h"))
 
 
 def q_dq_issue_register(spark, d):
     docs = read_table(spark, d, "documents")
     cust = read_table(spark, d, "customer")
-    dup = quality.exact_duplicates(docs, ["text", "lang", "source"], "doc_id")
+    dup = quality.exact_duplicates(_doc_rows(spark, d), ["text_h", "lang", "source"], "doc_id")
     frag = _fragments(spark, d)
     issues = [
         quality.issue(dup, F.sum(F.col("copies") - 1), "high", "documents", "*",
