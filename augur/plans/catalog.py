@@ -337,7 +337,6 @@ def q_dq_reconciliation(spark, d):
 
 
 def q_dq_issue_register(spark, d):
-    docs = read_table(spark, d, "documents")
     cust = read_table(spark, d, "customer")
     dup = quality.exact_duplicates(_doc_rows(spark, d), ["text_h", "lang", "source"], "doc_id")
     frag = _fragments(spark, d)

@@ -118,17 +118,19 @@ def dedup_forecasts(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def fct_forecasts(forecasts: DataFrame, forecasters: DataFrame, questions: DataFrame) -> DataFrame:
-    """Dedup -> key lookups (inner joins drop unknown forecasters) ->
-    typed columns -> dense forecast_sk ordered by (timestamp text,
-    forecaster, question)."""
-    deduped = dedup_forecasts(forecasts)
-    looked_up = deduped.join(
+FACT_ORDER = ["forecast_timestamp", "forecaster_id", "question_id"]
+
+
+def fact_rows(forecasts: DataFrame, forecasters: DataFrame, questions: DataFrame) -> DataFrame:
+    """Dedup -> key lookups. Inner joins drop forecasts of unknown
+    forecasters, as the reference does. Natural ids stay for ordering."""
+    return dedup_forecasts(forecasts).join(
         forecasters.select("forecaster_id", "forecaster_sk"), "forecaster_id"
     ).join(questions.select("question_id", "question_sk"), "question_id")
-    keyed = dense_key(
-        looked_up, ["forecast_timestamp", "forecaster_id", "question_id"], "forecast_sk"
-    )
+
+
+def typed_fact(keyed: DataFrame) -> DataFrame:
+    """Final fact columns and types."""
     return keyed.select(
         "forecast_sk",
         "forecaster_sk",
@@ -141,6 +143,13 @@ def fct_forecasts(forecasts: DataFrame, forecasters: DataFrame, questions: DataF
     )
 
 
+def fct_forecasts(forecasts: DataFrame, forecasters: DataFrame, questions: DataFrame) -> DataFrame:
+    """Dedup -> key lookups -> dense forecast_sk ordered by (timestamp
+    text, forecaster, question) -> typed columns."""
+    keyed = dense_key(fact_rows(forecasts, forecasters, questions), FACT_ORDER, "forecast_sk")
+    return typed_fact(keyed)
+
+
 def build_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """All five model tables as lazy DataFrames, in dependency order."""
     f = raw["raw_forecasts_export"]
