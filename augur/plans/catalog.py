@@ -297,6 +297,13 @@ def q_dq_exact_duplicates(spark, d):
     )
 
 
+def q_dq_conflicting_duplicates(spark, d):
+    """Texts carried by rows that differ in their other attributes."""
+    rows = _doc_rows(spark, d).select("doc_id", "text_h", "lang", "source")
+    c = quality.conflicting_duplicates(rows, ["text_h"], "doc_id")
+    return c.select("first_doc_id", "copies", "versions")
+
+
 def q_dq_blank_or_null(spark, d):
     return quality.blank_or_null_counts(_fragments(spark, d), "frag")
 

@@ -97,6 +97,23 @@ def experience_vs_avg(engagement: DataFrame) -> DataFrame:
     )
 
 
+def ordered_summary(summary: DataFrame) -> DataFrame:
+    """O1: by question id ascending, NULLs last as in the reference."""
+    return summary.orderBy(F.col("question_id").asc_nulls_last())
+
+
+def ordered_engagement(engagement: DataFrame) -> DataFrame:
+    """O2: by submissions descending (ties by id for a stable order)."""
+    return engagement.orderBy(F.col("total_submissions").desc(), F.col("forecaster_sk").asc_nulls_last())
+
+
+def ordered_revisions(revisions: DataFrame) -> DataFrame:
+    """O3: by absolute net revision descending (ties by pair)."""
+    return revisions.orderBy(
+        F.abs("net_revision").desc(), F.col("forecaster_sk").asc_nulls_last(), F.col("question_id").asc_nulls_last()
+    )
+
+
 def top_forecaster(engagement: DataFrame) -> DataFrame:
     """Highest volume, ties broken by the smaller id (top-1 report)."""
     return (

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from augur.operators.latest import latest_by
@@ -145,6 +145,44 @@ def belief_revision(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     )
 
 
+def belief_revision_windowed(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
+    """U9 in the reference's literal shape (W5, W6, W8): an update number per
+    (forecaster, question), the group's largest update number as a second
+    window over the first, then a conditional MAX picks the last prediction.
+
+    Kept to check ``belief_revision`` against; both windows use the same
+    partition keys (the surrogate ones), so they share one shuffle. The
+    aggregate form needs no sort and is the one the catalog runs.
+    """
+    by_pair = Window.partitionBy(*FACT_KEY)
+    numbered = fact.withColumn("update_number", F.row_number().over(by_pair.orderBy(TS)))
+    with_max = numbered.withColumn("max_update", F.max("update_number").over(by_pair))
+    last = F.max(F.when(F.col("update_number") == F.col("max_update"), F.col("prediction")))
+    agg = (
+        with_max.groupBy(*FACT_KEY)
+        .agg(
+            F.min("prediction").alias("first_prediction"),
+            last.alias("last_prediction"),
+            F.count(F.lit(1)).alias("total_submissions"),
+        )
+        .where(F.col("total_submissions") > 1)
+    )
+    first, lastc = F.col("first_prediction"), F.col("last_prediction")
+    return agg.join(
+        forecasters.select("forecaster_sk", "forecaster_name", "forecaster_type"), "forecaster_sk"
+    ).select(
+        "forecaster_sk",
+        "forecaster_name",
+        "forecaster_type",
+        "question_id",
+        "first_prediction",
+        "last_prediction",
+        (lastc - first).alias("net_revision"),
+        _direction(lastc, first).alias("revision_direction"),
+        "total_submissions",
+    )
+
+
 def belief_revision_chrono(fact: DataFrame) -> DataFrame:
     """First and last by time (what the reference means to compute)."""
     agg = (

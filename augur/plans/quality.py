@@ -24,16 +24,19 @@ def exact_duplicates(df: DataFrame, cols: Sequence[str], id_col: str | None = No
     return duplicate_groups(df, list(cols), "copies", extra)
 
 
-def conflicting_duplicates(df: DataFrame, key: Sequence[str]) -> DataFrame:
+def conflicting_duplicates(df: DataFrame, key: Sequence[str], id_col: str | None = None) -> DataFrame:
     """Q1 (conflicts): natural keys carried by more than one *different* row;
-    ``copies`` rows, ``versions`` distinct rows. De-duplication must pick a
-    survivor for these by a total order."""
-    rest = [c for c in df.columns if c not in key]
+    ``copies`` rows, ``versions`` distinct rows (ignoring ``id_col``, whose
+    smallest value is reported). De-duplication must pick a survivor for
+    these by a total order."""
+    rest = [c for c in df.columns if c not in key and c != id_col]
+    extra = [F.min(id_col).alias(f"first_{id_col}")] if id_col else []
     return (
         df.groupBy(*key)
         .agg(
             F.count(F.lit(1)).alias("copies"),
             F.count_distinct(F.struct(*rest)).alias("versions"),
+            *extra,
         )
         .where(F.col("versions") > 1)
     )

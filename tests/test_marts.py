@@ -157,3 +157,21 @@ def test_derived(inputs, pdfact):
     assert pp.columns == ["ID", "Forecasters", "Median"]
     sl = marts.type_slice(fact, dims, "expert").collect()[0]
     assert (sl["label"], sl["n"]) == ("Expert", 5)
+
+
+def test_window_form_equals_aggregate_form(inputs):
+    fact, dims = inputs
+    a = marts.belief_revision(fact, dims)
+    b = marts.belief_revision_windowed(fact, dims)
+    assert a.columns == b.columns
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_orderings(inputs):
+    fact, dims = inputs
+    qs = [r["question_id"] for r in derived.ordered_summary(marts.question_summary(fact)).collect()]
+    assert qs == ["Q1", "Q2", "Q3"]
+    eng = [r["total_submissions"] for r in derived.ordered_engagement(marts.engagement(fact, dims)).collect()]
+    assert eng == sorted(eng, reverse=True)
+    rev = [abs(r["net_revision"]) for r in derived.ordered_revisions(marts.belief_revision(fact, dims)).collect()]
+    assert rev == sorted(rev, reverse=True)
