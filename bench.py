@@ -5,44 +5,89 @@ BENCH_RUNS (timed runs per query, default 3). Prints one JSON line.
 
 Each run builds the query and executes it completely through the ``noop``
 sink (every row computed, nothing collected). The headline metric is the sum
-of the warm medians of the five marts the reference benchmarks.
+of the warm medians of the five marts the reference benchmarks. Shuffle
+bytes per query (one run) come from Spark's event log, written to a fresh
+scratch folder; fact rows per second use the forecast table's row count.
 """
 
 from __future__ import annotations
 
+import glob
 import json
 import os
 import re
 import statistics
 import sys
+import tempfile
 import time
+from collections import defaultdict
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from augur.plans.catalog import QUERIES  # noqa: E402
 from augur.session import build_session  # noqa: E402
+from augur.sources.tables import read_table  # noqa: E402
 
 HEADLINE = ["question_summary", "type_comparison", "belief_revision", "calibration_spread", "engagement"]
 
 
-def run_once(spark, name, sf_dir):
+def run_once(spark, name, sf_dir, label=None):
+    spark.sparkContext.setJobDescription(label or f"timed:{name}")
     t0 = time.perf_counter()
     df = QUERIES[name](spark, sf_dir)
     df.write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
 
 
+def shuffle_bytes(log_dir):
+    """Shuffle write bytes per job description, from the event log."""
+    stage_job, job_desc, out = {}, {}, defaultdict(int)
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path):
+            continue
+        with open(path) as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    desc = (ev.get("Properties") or {}).get("spark.job.description", "")
+                    job_desc[ev["Job ID"]] = desc
+                    for sid in ev.get("Stage IDs", []):
+                        stage_job[sid] = ev["Job ID"]
+                elif kind == "SparkListenerTaskEnd":
+                    m = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    job = stage_job.get(ev.get("Stage ID"))
+                    desc = job_desc.get(job, "")
+                    if desc.startswith("measure:"):
+                        out[desc[len("measure:"):]] += int(m.get("Shuffle Bytes Written", 0))
+    return dict(out)
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = [a for a in sys.argv[1:] if a in QUERIES]
-    spark = build_session("augur-bench", f"local[{cpus}]", cpus, {"spark.driver.memory": "16g"})
+    log_dir = tempfile.mkdtemp(prefix="augur-eventlog-")
+    spark = build_session(
+        "augur-bench",
+        f"local[{cpus}]",
+        cpus,
+        {
+            "spark.driver.memory": "16g",
+            "spark.eventLog.enabled": "true",
+            "spark.eventLog.dir": log_dir,
+            "spark.eventLog.rolling.enabled": "false",
+            "spark.eventLog.compress": "false",
+        },
+    )
     names = only or HEADLINE + sorted(n for n in QUERIES if n not in HEADLINE)
     results = {}
     for name in names:
-        run_once(spark, name, sf_dir)  # warm-up: codegen, file listing, JIT
+        run_once(spark, name, sf_dir, f"measure:{name}")  # warm-up run, also the shuffle measurement
         results[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 4)
+    fact_rows = read_table(spark, sf_dir, "events").count()
+    spark.stop()  # flushes the event log
     headline = [results[n] for n in HEADLINE if n in results]
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
@@ -54,9 +99,11 @@ def main():
         "cpus": cpus,
         "runs": runs,
         "all_queries_sum": round(sum(results.values()), 4),
+        "fact_rows": fact_rows,
+        "fact_rows_per_sec": {n: round(fact_rows / results[n]) for n in HEADLINE if n in results},
+        "shuffle_bytes": shuffle_bytes(log_dir),
     }
     print(json.dumps(out))
-    spark.stop()
 
 
 if __name__ == "__main__":
