@@ -244,7 +244,9 @@ def _fragments(spark, d):
 
 
 def q_blank_to_null(spark, d):
-    return _fragments(spark, d).select("doc_id", "pos", clean.blank_to_null("frag").alias("v"))
+    return _fragments(spark, d).select(
+        "doc_id", F.col("pos").cast("bigint").alias("pos"), clean.blank_to_null("frag").alias("v")
+    )
 
 
 def q_normalize_vocab(spark, d):

@@ -197,20 +197,20 @@ def build(spark: SparkSession, raw_paths: Mapping[str, str], out_dir: str) -> di
 
 
 def mart_inputs(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
-    """(fact, forecasters) in the shape the marts read. The forecaster's
-    natural id is the key the marts report, as the reference does."""
+    """(fact, forecasters) in the shape the marts read.
+
+    The fact keeps the integer surrogate ``forecaster_sk``: marts group on it
+    and take names, types and ids from the dimension after aggregating, so
+    the fact is never joined to the (possibly large) forecaster dimension row
+    by row. Only the small question dimension is joined for id and text.
+    """
     fct, fq, fd = tables["fct_forecasts"], tables["dim_questions"], tables["dim_forecasters"]
-    fact = fct.join(fq, "question_sk").join(
-        fd.select("forecaster_sk", "forecaster_id"), "forecaster_sk"
-    ).select(
-        F.col("forecaster_id").alias("forecaster_sk"),
-        "question_id",
-        "question_text",
-        "prediction",
-        "forecast_timestamp",
+    fact = fct.join(fq, "question_sk").select(
+        "forecaster_sk", "question_id", "question_text", "prediction", "forecast_timestamp"
     )
     forecasters = fd.select(
-        F.col("forecaster_id").alias("forecaster_sk"),
+        "forecaster_sk",
+        "forecaster_id",
         "forecaster_name",
         "forecaster_type",
         F.col("years_forecasting_experience").alias("years"),

@@ -34,8 +34,22 @@ def inputs(model):
     return mart_inputs(model)
 
 
-def as_dict(df, key):
-    return {r[key]: r.asDict() for r in df.collect()}
+@pytest.fixture(scope="module")
+def ids(model):
+    """surrogate forecaster key -> natural id"""
+    return {r["forecaster_sk"]: r["forecaster_id"] for r in model["dim_forecasters"].collect()}
+
+
+def as_dict(df, key, ids=None):
+    out = {}
+    for r in df.collect():
+        k = r[key]
+        out[ids[k] if ids else k] = r.asDict()
+    return out
+
+
+def pair(r, ids):
+    return (ids[r["forecaster_sk"]], r["question_id"])
 
 
 def test_question_summary(inputs, pdfact):
@@ -72,10 +86,10 @@ def test_type_comparison(inputs, pdfact):
         assert got[t]["prediction_stddev"] == r1(p.std(ddof=1))
 
 
-def test_belief_revision_literal_and_chrono(inputs, pdfact):
+def test_belief_revision_literal_and_chrono(inputs, pdfact, ids):
     fact, dims = inputs
-    lit = {(r["forecaster_sk"], r["question_id"]): r for r in marts.belief_revision(fact, dims).collect()}
-    chrono = {(r["forecaster_sk"], r["question_id"]): r for r in marts.belief_revision_chrono(fact).collect()}
+    lit = {pair(r, ids): r for r in marts.belief_revision(fact, dims).collect()}
+    chrono = {pair(r, ids): r for r in marts.belief_revision_chrono(fact).collect()}
     s = pdfact.sort_values("forecast_timestamp")
     exp_pairs = {k for k, g in s.groupby(["forecaster_id", "question_id"]) if len(g) > 1}
     assert set(lit) == exp_pairs == set(chrono) == {("F01", "Q1"), ("F02", "Q1"), ("F05", "Q1")}
@@ -115,9 +129,9 @@ def test_calibration_spread_and_long(inputs, pdfact):
     assert len(unp) == 9 and unp[("Q1", "expert")]["avg"] == got["Q1"]["ex_avg"]
 
 
-def test_engagement(inputs, pdfact):
+def test_engagement(inputs, pdfact, ids):
     fact, dims = inputs
-    got = as_dict(marts.engagement(fact, dims), "forecaster_sk")
+    got = as_dict(marts.engagement(fact, dims), "forecaster_sk", ids)
     assert set(got) == {"F01", "F02", "F03", "F04", "F05", "F06"}
     for fid, g in pdfact.groupby("forecaster_id"):
         p = g.prediction
@@ -128,7 +142,7 @@ def test_engagement(inputs, pdfact):
     assert got["F02"]["years"] == 12
 
 
-def test_derived(inputs, pdfact):
+def test_derived(inputs, pdfact, ids):
     fact, dims = inputs
     qs = marts.question_summary(fact)
     eng = marts.engagement(fact, dims)
@@ -138,13 +152,13 @@ def test_derived(inputs, pdfact):
     assert (k["questions"], k["forecasters"], k["submissions"], k["revisions"]) == (3, 6, 18, 3)
     assert k["mean_of_medians"] == r1(sum(meds) / len(meds))
     top = derived.top_forecaster(eng).collect()
-    assert [(r["forecaster_sk"], r["total_submissions"]) for r in top] == [("F01", 4)]  # tie with F02 broken by id
+    assert [(ids[r["forecaster_sk"]], r["total_submissions"]) for r in top] == [("F01", 4)]  # tie with F02 broken by id
     ext = derived.question_extremes(qs).collect()[0]
     assert ext["spread"] == max(meds) - min(meds)
     gaps = {r["question_id"]: r for r in derived.coverage_gaps(fact, dims).collect()}
     assert gaps["Q1"]["covered"] == 5 and gaps["Q1"]["active"] == 6 and gaps["Q1"]["registered"] == 7
     assert gaps["Q1"]["missing_active"] == 1 and gaps["Q1"]["missing_registered"] == 2
-    lab = {(r["forecaster_sk"], r["question_id"]): r for r in derived.revision_label(rev).collect()}
+    lab = {pair(r, ids): r for r in derived.revision_label(rev).collect()}
     assert lab[("F01", "Q1")]["label"] == "Ada / Q1" and lab[("F01", "Q1")]["txt"] == "+5 pts"
     assert lab[("F05", "Q1")]["txt"] == "no change"
     ql = {r["question_id"]: r["label"] for r in derived.question_label(qs).collect()}
