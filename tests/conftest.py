@@ -29,9 +29,9 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def raw_paths():
     return {
-        "raw_forecasts_export": os.path.join(FIXTURES, "forecasts_export.csv"),
-        "raw_forecaster_demographics": os.path.join(FIXTURES, "forecaster_demographics.csv"),
-        "raw_question_tags": os.path.join(FIXTURES, "question_tags.csv"),
+        "raw_forecasts_export": os.path.join(FIXTURES, "survey_forecasts.csv"),
+        "raw_forecaster_demographics": os.path.join(FIXTURES, "survey_forecasters.csv"),
+        "raw_question_tags": os.path.join(FIXTURES, "survey_tags.csv"),
     }
 
 

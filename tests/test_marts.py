@@ -21,8 +21,8 @@ def r1(x):
 
 @pytest.fixture(scope="module")
 def pdfact():
-    f = pd.read_csv(os.path.join(FIXTURES, "forecasts_export.csv"), dtype=str, keep_default_na=False)
-    d = pd.read_csv(os.path.join(FIXTURES, "forecaster_demographics.csv"), dtype=str, keep_default_na=False)
+    f = pd.read_csv(os.path.join(FIXTURES, "survey_forecasts.csv"), dtype=str, keep_default_na=False)
+    d = pd.read_csv(os.path.join(FIXTURES, "survey_forecasters.csv"), dtype=str, keep_default_na=False)
     f = f.sort_values("prediction").drop_duplicates(["forecaster_id", "question_id", "forecast_timestamp"])
     f = f[f.forecaster_id.isin(d.forecaster_id)].copy()
     f["prediction"] = f.prediction.astype(int)

@@ -18,7 +18,7 @@ NK = ["forecaster_sk", "question_sk", "forecast_timestamp", "prediction"]
 def split_fixture(tmp_path):
     """First 12 data lines as the initial extract, all lines (overlapping)
     as the later one."""
-    lines = open(os.path.join(FIXTURES, "forecasts_export.csv")).read().splitlines()
+    lines = open(os.path.join(FIXTURES, "survey_forecasts.csv")).read().splitlines()
     first, later = tmp_path / "first", tmp_path / "later"
     first.mkdir()
     later.mkdir()
@@ -30,8 +30,8 @@ def split_fixture(tmp_path):
 def paths(forecasts):
     return {
         "raw_forecasts_export": forecasts,
-        "raw_forecaster_demographics": os.path.join(FIXTURES, "forecaster_demographics.csv"),
-        "raw_question_tags": os.path.join(FIXTURES, "question_tags.csv"),
+        "raw_forecaster_demographics": os.path.join(FIXTURES, "survey_forecasters.csv"),
+        "raw_question_tags": os.path.join(FIXTURES, "survey_tags.csv"),
     }
 
 
