@@ -35,10 +35,11 @@ def sequence_number(
         return df.withColumn(name, F.row_number().over(w).cast("bigint"))
     if method != "split":
         raise ValueError(f"unknown method {method!r}")
-    ranked = dense_key(df, [*group, *order], name="_g")
-    starts = ranked.groupBy(*group).agg(F.min("_g").alias("_start"))
-    return (
-        ranked.join(starts, list(group))
-        .withColumn(name, (F.col("_g") - F.col("_start") + 1).cast("bigint"))
-        .drop("_g", "_start")
+    ranked = dense_key(df, [*group, *order], name="_g").alias("_r")
+    starts = ranked.groupBy(*group).agg(F.min("_g").alias("_start")).alias("_s")
+    # NULL-safe: a NULL group key is a group of its own, as in the window form
+    cond = [F.col(f"_r.{g}").eqNullSafe(F.col(f"_s.{g}")) for g in group]
+    return ranked.join(starts, cond).select(
+        *[F.col(f"_r.{c}") for c in df.columns],
+        (F.col("_r._g") - F.col("_s._start") + 1).cast("bigint").alias(name),
     )

@@ -100,3 +100,12 @@ def test_scalar_helpers(spark):
         ("PhD", "2023-03-15", "-3 pts", "Alan", True),
         (None, None, "no change", "x", False),
     ]
+
+
+def test_sequence_keeps_null_groups(spark):
+    df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 3)], "g string, t int")
+    a = sequence_number(df, ["g"], ["t"], "n", method="split")
+    b = sequence_number(df, ["g"], ["t"], "n", method="window")
+    key = lambda r: (r["g"] or "", r["t"])
+    assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
+    assert a.count() == 4
