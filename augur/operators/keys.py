@@ -35,6 +35,10 @@ def _order_cols(order: Sequence[ColumnOrName]) -> list[Column]:
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
+    """Number of ranges: given, else the session's shuffle partitions, which
+    a cluster run sizes to the input volume (``session.cluster_conf``: one
+    partition per ~256 MB). AQE does not coalesce an explicit range
+    repartition, so this is the number of range files."""
     if num_partitions:
         return num_partitions
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -52,8 +56,8 @@ def dense_key(
 
     Runs one job that writes the sorted ranges to ``path`` (default: a new
     folder under ``spark.checkpoint.dir``); the returned DataFrame reads them.
-    ``num_partitions`` sets the number of ranges (default: the session's
-    shuffle partitions); size it so one range fits a task.
+    ``num_partitions`` sets the number of ranges (default: see
+    ``_partitions``); size it so one range fits a task.
     """
     spark = df.sparkSession
     cols = _order_cols(order)
@@ -66,17 +70,18 @@ def dense_key(
     )
     ranges = spark.read.parquet(path)
     data_cols = ranges.columns
-    file_name = F.col("_metadata.file_name")
-    counts = ranges.groupBy(file_name.alias("_file")).agg(F.count(F.lit(1)).alias("_n"))
-    part_no = F.regexp_extract("_file", r"^part-(\d+)", 1).cast("int")
-    # one row per written file: this window is over at most num_partitions rows
+    # range number from the file name part-<n>-...: one file per range
+    part_no = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int")
+    counts = ranges.groupBy(part_no.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per written file: this window is over at most num_partitions
+    # rows, and the broadcast carries 12 bytes per file
     offsets = counts.select(
-        "_file", (F.sum("_n").over(Window.orderBy(part_no)) - F.col("_n")).alias("_off")
+        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off")
     )
     rows = ranges.select(
-        *data_cols, file_name.alias("_file"), F.col("_metadata.row_index").alias("_row")
+        *data_cols, part_no.alias("_part"), F.col("_metadata.row_index").alias("_row")
     )
-    return rows.join(F.broadcast(offsets), "_file").select(
+    return rows.join(F.broadcast(offsets), "_part").select(
         *data_cols, (F.col("_off") + F.col("_row") + 1).cast("bigint").alias(name)
     )
 

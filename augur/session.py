@@ -22,6 +22,24 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, input_tb: float) -> dict[str, str]:
+    """Settings for a large cluster run (what a Spark user would pass with
+    ``--conf``): shuffle partitions start high and AQE coalesces them to
+    ~256 MB; input splits of 256 MB; skew join on for partitions 5x the
+    median and above 512 MB; broadcasts only below 64 MB measured size."""
+    initial = max(4 * total_cores, int(input_tb * 1024 * 1024 / 256))
+    return {
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+
+
 def build_session(
     app: str = "augur",
     master: str | None = None,

@@ -27,7 +27,7 @@ def test_no_single_partition_on_fact_path(spark, name):
     for i, line in enumerate(lines):
         if "Exchange SinglePartition" in line:
             below = next(x for x in lines[i + 1:] if "HashAggregate" in x)
-            assert "output=[_file#" in below and "_n#" in below, (name, below)
+            assert "output=[_part#" in below and "_n#" in below, (name, below)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
