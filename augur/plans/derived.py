@@ -80,13 +80,15 @@ def revision_label(revisions: DataFrame, name_sep: str = " ") -> DataFrame:
     )
 
 
-def hypothesis_check(spread: DataFrame, prefixes: tuple[str, ...], tighter: tuple[str, str]) -> DataFrame:
+def hypothesis_check(
+    spread: DataFrame, prefixes: tuple[str, ...], tighter: tuple[str, str], sd_suffix: str = "sd"
+) -> DataFrame:
     """Mean of the (rounded) per-question stddevs per type, and whether
     the first named type is tighter than the second."""
     a, b = tighter
     return spread.agg(
-        *[F.round(F.avg(f"{p}_sd"), 3).alias(f"{p}_mean") for p in prefixes],
-        (F.avg(f"{a}_sd") < F.avg(f"{b}_sd")).alias(f"{a}_tighter"),
+        *[F.round(F.avg(f"{p}_{sd_suffix}"), 3).alias(f"{p}_mean") for p in prefixes],
+        (F.avg(f"{a}_{sd_suffix}") < F.avg(f"{b}_{sd_suffix}")).alias(f"{a}_tighter"),
     )
 
 

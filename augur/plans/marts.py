@@ -80,13 +80,17 @@ def latest_forecasts(fact: DataFrame) -> DataFrame:
     return latest_by(fact, FACT_KEY, TS, ["prediction"])
 
 
-def latest_with_type(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
-    return latest_forecasts(fact).join(
-        forecasters.select("forecaster_sk", "forecaster_type"), "forecaster_sk"
-    )
+def latest_with_type(
+    fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None
+) -> DataFrame:
+    """Latest forecasts (or a precomputed silver copy) with the forecaster type."""
+    base = latest if latest is not None else latest_forecasts(fact)
+    return base.join(forecasters.select("forecaster_sk", "forecaster_type"), "forecaster_sk")
 
 
-def type_comparison(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
+def type_comparison(
+    fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None
+) -> DataFrame:
     """U8: forecaster types compared on their latest forecasts."""
     aggs = [
         F.count(F.lit(1)).alias("total_forecasts"),
@@ -95,7 +99,7 @@ def type_comparison(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
         _r1(F.stddev_samp("prediction")).alias("prediction_stddev"),
     ]
     return with_distinct_count(
-        latest_with_type(fact, forecasters), ["forecaster_type"], "forecaster_sk", "forecaster_count", aggs
+        latest_with_type(fact, forecasters, latest), ["forecaster_type"], "forecaster_sk", "forecaster_count", aggs
     )
 
 
@@ -209,14 +213,16 @@ def calibration_spread(
     fact: DataFrame,
     forecasters: DataFrame,
     categories: Sequence[tuple[str, str]],
+    sd_suffix: str = "sd",
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """Per question, avg and stddev of latest predictions for each
-    listed type as ``<prefix>_avg`` / ``<prefix>_sd`` columns."""
+    listed type as ``<prefix>_avg`` / ``<prefix>_<sd_suffix>`` columns."""
     metrics = [
         ("avg", lambda c: _r1(F.avg(c))),
-        ("sd", lambda c: _r1(F.stddev_samp(c))),
+        (sd_suffix, lambda c: _r1(F.stddev_samp(c))),
     ]
-    return latest_with_type(fact, forecasters).groupBy("question_id").agg(
+    return latest_with_type(fact, forecasters, latest).groupBy("question_id").agg(
         *conditional_aggs("forecaster_type", categories, metrics, "prediction")
     )
 
@@ -225,12 +231,13 @@ def calibration_long(
     fact: DataFrame,
     forecasters: DataFrame,
     types: Sequence[str],
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (question, type); grouped directly instead of
     pivoting and un-pivoting."""
     dim = forecasters.where(F.col("forecaster_type").isin(list(types)))
     return (
-        latest_forecasts(fact)
+        (latest if latest is not None else latest_forecasts(fact))
         .join(dim.select("forecaster_sk", "forecaster_type"), "forecaster_sk")
         .groupBy("question_id", "forecaster_type")
         .agg(
@@ -240,9 +247,11 @@ def calibration_long(
     )
 
 
-def calibration_unpivot(spread: DataFrame, categories: Sequence[tuple[str, str]]) -> DataFrame:
-    """R2 over an existing wide mart: (question_id, forecaster_type, avg, sd)."""
-    return wide_to_long(spread, ["question_id"], categories, ["avg", "sd"], "forecaster_type")
+def calibration_unpivot(
+    spread: DataFrame, categories: Sequence[tuple[str, str]], sd_suffix: str = "sd"
+) -> DataFrame:
+    """R2 over an existing wide mart: (question_id, forecaster_type, avg, <sd_suffix>)."""
+    return wide_to_long(spread, ["question_id"], categories, ["avg", sd_suffix], "forecaster_type")
 
 
 def engagement(fact: DataFrame, forecasters: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import os
 import tempfile
 
@@ -88,11 +89,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name, run)
 
 
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()
+# itertools.count is safe to advance from concurrent job-submitting threads
+_counter = itertools.count(1)
