@@ -104,3 +104,9 @@ def test_build_writes_and_audits(spark, raw_paths, tmp_path):
     first = rows(spark.read.parquet(out + "/fct_forecasts"), "forecast_sk", "prediction")
     M.build(spark, raw_paths, out)  # full refresh is idempotent
     assert rows(spark.read.parquet(out + "/fct_forecasts"), "forecast_sk", "prediction") == first
+
+
+def test_active_flag_matches_fact(model):
+    active = model["dim_forecasters"].where("is_active").count()
+    in_fact = model["fct_forecasts"].select("forecaster_sk").distinct().count()
+    assert active == in_fact == 6
