@@ -165,7 +165,10 @@ def build_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-# Sort-within-file columns of each model table.
+# Folder partitioning of the fact (one folder per forecast
+# date: appends and date filters touch only their dates) and the
+# sort-within-file columns of each model table.
+PARTITION_BY = {"fct_forecasts": ["date_day"]}
 SORT_WITHIN = {
     "dim_forecasters": ["forecaster_sk"],
     "dim_questions": ["question_sk"],
@@ -182,7 +185,9 @@ def _write_all(jobs: Mapping[str, Callable[[], DataFrame]], out_dir: str) -> dic
     def one(item):
         name, make = item
         path = os.path.join(out_dir, name)
-        return name, write_with_audit(make(), path, name, sort_within=SORT_WITHIN[name])
+        return name, write_with_audit(
+            make(), path, name, partition_by=PARTITION_BY.get(name, ()), sort_within=SORT_WITHIN[name]
+        )
 
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         return dict(pool.map(one, jobs.items()))

@@ -26,7 +26,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from augur.functions.clean import typed_timestamp
 from augur.operators.keys import dense_key
-from augur.plans.model import FACT_ORDER, FORECAST_NATURAL_KEY, fact_rows, typed_fact
+from augur.plans.model import FACT_ORDER, FORECAST_NATURAL_KEY, PARTITION_BY, fact_rows, typed_fact
 from augur.sources.schemas import RAW_FORECASTS
 
 
@@ -35,6 +35,12 @@ def _max_key(df: DataFrame, col: str) -> int:
     return int(df.agg(F.coalesce(F.max(col), F.lit(0))).first()[0])
 
 
+def _dense_max(df: DataFrame) -> int:
+    """Largest key of a table whose keys are dense 1..N: its row count,
+    which Parquet answers from row-group metadata without reading a column."""
+    return df.count()
+
+
 def extend_questions(spark: SparkSession, new_raw: DataFrame, model_dir: str) -> DataFrame:
     """Key map for questions: existing keys kept, unseen question ids numbered
     from max+1 in id order and appended to ``dim_questions``."""
@@ -61,21 +67,29 @@ def append_forecasts(spark: SparkSession, new_raw: DataFrame, model_dir: str) ->
     fact_path = os.path.join(model_dir, "fct_forecasts")
     fact = spark.read.parquet(fact_path)
 
-    existing = fact.select("forecaster_sk", "question_sk", F.col("forecast_timestamp").alias("_ts"))
     key = ["forecaster_sk", "question_sk", "_ts"]
     candidates = fact_rows(new_raw, forecasters, questions).withColumn(
         "_ts", typed_timestamp("forecast_timestamp")
     )
+    # only the dates this batch touches can hold its duplicates: the date
+    # range prunes the fact's date folders, so the anti-join reads a slice
+    # of the fact that grows with the batch, not with the fact
+    lo, hi = candidates.agg(F.min("_ts").cast("date"), F.max("_ts").cast("date")).first()
+    if lo is None:
+        return 0
+    existing = fact.where(F.col("date_day").between(lo, hi)).select(
+        "forecaster_sk", "question_sk", F.col("forecast_timestamp").alias("_ts")
+    )
     fresh = candidates.join(existing, key, "left_anti").drop("_ts")
 
-    base = _max_key(fact, "forecast_sk")
+    base = _dense_max(fact)
     # numbered after the anti-join so new keys are dense from base + 1; the
     # keyed rows are written once, so the count and the append read the same rows
     keyed = dense_key(fresh, FACT_ORDER, "_k")
     out = typed_fact(keyed.withColumn("forecast_sk", F.col("_k") + F.lit(base))).select(*fact.columns)
     n = out.count()
     if n:
-        out.write.mode("append").parquet(fact_path)
+        out.write.mode("append").partitionBy(*PARTITION_BY["fct_forecasts"]).parquet(fact_path)
     return n
 
 
