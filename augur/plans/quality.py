@@ -92,10 +92,11 @@ def vocab_violations(df: DataFrame, col: str, accepted: Sequence[str], count_nam
 
 
 def orphans(parent: DataFrame, child: DataFrame, parent_key: str, child_key: str) -> DataFrame:
-    """Parent rows with no child row (left anti join)."""
-    return parent.join(
-        child.select(F.col(child_key).alias(parent_key)), parent_key, "left_anti"
-    )
+    """Parent rows with no child row (left anti join). Child keys are
+    de-duplicated first: a map-side partial aggregate whose hash
+    partitioning the join reuses, so each task ships distinct keys only."""
+    keys = child.select(F.col(child_key).alias(parent_key)).distinct()
+    return parent.join(keys, parent_key, "left_anti")
 
 
 def case_variants(values: DataFrame, col: str, key_name: str = "k") -> DataFrame:
