@@ -122,3 +122,32 @@ def test_dense_key_splits_a_hot_leading_key(spark, tmp_path):
         F.count(F.lit(1)).alias("n")).collect()]
     assert sum(sizes) == 6000 and len(sizes) >= 5
     assert max(sizes) < 2000  # the hot key alone is 2000 rows: it was split
+
+
+def test_hot_group_is_split_by_aqe_skew_join(spark, skewed):
+    """With a sort-merge join forced and small skew thresholds, AQE splits
+    the hot group's partition in sequence_number's join; results unchanged."""
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        df = sequence_number(skewed, ["g"], ["t"], "n", method="split").select("g", "t", "n")
+        got = sorted(df.collect())
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan, plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    exp = sorted(sequence_number(skewed, ["g"], ["t"], "n", method="window").select("g", "t", "n").collect())
+    assert got == exp
