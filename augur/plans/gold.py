@@ -93,3 +93,18 @@ def build_gold(
 
 def gold_table(spark: SparkSession, gold_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(gold_dir, name))
+
+
+def register_views(spark: SparkSession, model_dir: str, gold_dir: str | None = None) -> list[str]:
+    """Register the model tables (and the gold tables, when built) as
+    temporary views, so SQL users can query them by name with ``spark.sql``."""
+    names = []
+    for t in MODEL_TABLES:
+        spark.read.parquet(os.path.join(model_dir, t)).createOrReplaceTempView(t)
+        names.append(t)
+    if gold_dir and os.path.isdir(gold_dir):
+        for t in sorted(os.listdir(gold_dir)):
+            if os.path.isdir(os.path.join(gold_dir, t)) and not t.startswith(("_", ".")):
+                spark.read.parquet(os.path.join(gold_dir, t)).createOrReplaceTempView(t)
+                names.append(t)
+    return names

@@ -68,7 +68,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting points at shared storage and is used as is.
     Only when it is unset (local runs, tests) a local folder is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no driver-side context here
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return path
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -1,7 +1,7 @@
 """Gold layer on the fixture equals the marts computed directly."""
 
 from augur.plans import derived, marts
-from augur.plans.gold import TYPES, build_gold, gold_table
+from augur.plans.gold import TYPES, build_gold, gold_table, register_views
 from augur.plans.model import build, mart_inputs
 
 
@@ -26,3 +26,8 @@ def test_gold_equals_direct(spark, raw_paths, model, tmp_path):
     assert hc.columns == ["sf_mean", "expert_mean", "public_mean", "sf_tighter"]
     assert rows(gold_table(spark, gdir, "revision_counts")) == rows(
         derived.revision_counts(marts.belief_revision(fact, dims)))
+
+    names = register_views(spark, mdir, gdir)
+    assert "fct_forecasts" in names and "question_summary" in names
+    assert spark.sql("select count(*) from fct_forecasts").first()[0] == 18
+    assert spark.sql("select sum(total_submissions) from engagement").first()[0] == 18
