@@ -82,10 +82,13 @@ def main():
         },
     )
     names = only or HEADLINE + sorted(n for n in QUERIES if n not in HEADLINE)
-    results = {}
+    results, errors = {}, {}
     for name in names:
-        run_once(spark, name, sf_dir, f"measure:{name}")  # warm-up run, also the shuffle measurement
-        results[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 4)
+        try:
+            run_once(spark, name, sf_dir, f"measure:{name}")  # warm-up run, also the shuffle measurement
+            results[name] = round(statistics.median(run_once(spark, name, sf_dir) for _ in range(runs)), 4)
+        except Exception as e:  # noqa: BLE001 - report and keep measuring the rest
+            errors[name] = str(e).splitlines()[0][:300]
     fact_rows = read_table(spark, sf_dir, "events").count()
     spark.stop()  # flushes the event log
     headline = [results[n] for n in HEADLINE if n in results]
@@ -103,6 +106,8 @@ def main():
         "fact_rows_per_sec": {n: round(fact_rows / results[n]) for n in HEADLINE if n in results},
         "shuffle_bytes": shuffle_bytes(log_dir),
     }
+    if errors:
+        out["errors"] = errors
     print(json.dumps(out))
 
 
