@@ -19,6 +19,7 @@ from augur.functions import clean, dates
 from augur.functions.text import text_digest
 from augur.operators.keys import dense_key
 from augur.operators.sequence import sequence_number
+from augur.operators.spread import spread_input
 from augur.plans import derived, marts, quality
 from augur.session import scratch_path
 from augur.sources import csv as csv_src
@@ -328,7 +329,9 @@ def q_dq_orphans(spark, d):
 
 
 def _words(spark, d):
-    docs = read_table(spark, d, "documents").select("text")
+    # regex word split + explode of every text is the CPU-heavy part: spread
+    # an under-split scan over all cores first (no-op for large inputs)
+    docs = spread_input(read_table(spark, d, "documents").select("text"))
     w = docs.select(F.explode(F.split("text", r"\s+")).alias("w"))
     return w.where(F.col("w") != "")
 

@@ -151,3 +151,13 @@ def test_hot_group_is_split_by_aqe_skew_join(spark, skewed):
                 spark.conf.set(k, v)
     exp = sorted(sequence_number(skewed, ["g"], ["t"], "n", method="window").select("g", "t", "n").collect())
     assert got == exp
+
+
+def test_spread_input_only_spreads_under_split_inputs(spark):
+    from augur.operators.spread import spread_input
+
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread_input(one).rdd.getNumPartitions() == cores
+    wide = spark.range(100).repartition(cores * 2)
+    assert spread_input(wide) is wide
