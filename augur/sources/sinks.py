@@ -18,9 +18,12 @@ def materialize_table(
     """Full refresh: overwrite the table at ``path``.
 
     Global order is not a table property; ``sort_within`` sorts rows inside
-    each file so that Parquet min/max statistics prune row groups.
+    each file so that Parquet min/max statistics prune row groups. With
+    folder partitioning the partition columns lead the sort: the writer needs
+    rows grouped by folder and would otherwise re-sort on those columns alone.
     """
-    out = df.sortWithinPartitions(*sort_within) if sort_within else df
+    order = [*partition_by, *[c for c in sort_within if c not in partition_by]]
+    out = df.sortWithinPartitions(*order) if order else df
     writer = out.write.mode("overwrite").format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
