@@ -81,6 +81,15 @@ def q_belief_revision(spark, d):
     return marts.belief_revision(_unchecked(spark, d), _dims(spark, d))
 
 
+def q_belief_revision_windowed(spark, d):
+    return marts.belief_revision_windowed(_unchecked(spark, d), _dims(spark, d))
+
+
+def q_calibration_unpivot(spark, d):
+    spread = marts.calibration_spread(_unchecked(spark, d), _dims(spark, d), CATEGORIES)
+    return marts.calibration_unpivot(spread, CATEGORIES)
+
+
 def q_belief_revision_chrono(spark, d):
     return marts.belief_revision_chrono(_fact(spark, d))
 
@@ -311,6 +320,11 @@ def q_dq_blank_or_null(spark, d):
     return quality.blank_or_null_counts(_fragments(spark, d), "frag")
 
 
+def q_dq_null_profile(spark, d):
+    docs = read_table(spark, d, "documents")
+    return quality.blank_or_null_profile(docs, ["text", "lang", "source"])
+
+
 def q_dq_date_format(spark, d):
     return quality.date_format_issues(_mixed_dates(spark, d), "t")
 
