@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from augur.functions import clean, dates
 from augur.functions.text import text_digest
 from augur.operators.keys import dense_key
+from augur.operators.median import exact_median
 from augur.operators.sequence import sequence_number
 from augur.operators.spread import spread_input
 from augur.plans import derived, marts, quality
@@ -110,6 +111,14 @@ def q_engagement_profile(spark, d):
     return marts.engagement(_unchecked(spark, d), _dims(spark, d)).drop("min_prediction", "max_prediction")
 
 
+def q_median_wide_domain(spark, d):
+    """A5 on a wide value domain with hot groups: exact median price per
+    return flag over all of lineitem (three flags, about a third each)."""
+    li = read_table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice")
+    m = exact_median(li, ["l_returnflag"], "l_extendedprice", "median_price")
+    return m.select("l_returnflag", F.round("median_price", 3).alias("median_price"))
+
+
 # ---------------------------------------------------------------- derived
 
 def q_revision_counts(spark, d):

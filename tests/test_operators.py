@@ -161,3 +161,21 @@ def test_spread_input_only_spreads_under_split_inputs(spark):
     assert spread_input(one).rdd.getNumPartitions() == cores
     wide = spark.range(100).repartition(cores * 2)
     assert spread_input(wide) is wide
+
+
+def test_exact_median_matches_percentile_on_wide_domain(spark):
+    from augur.operators.median import exact_median
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(4000):
+        g = "hot" if i % 3 == 0 else f"g{rnd.randint(1, 30)}"
+        v = None if i % 97 == 0 else rnd.random() * 1e6 if i % 2 else float(rnd.randint(0, 50))
+        rows.append((g, v))
+    rows += [("all_null", None), ("one", 7.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
+    exp = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert set(got) == set(exp)
+    for k in exp:
+        assert (got[k] is None and exp[k] is None) or abs(got[k] - exp[k]) < 1e-9 * max(1.0, abs(exp[k])), k
