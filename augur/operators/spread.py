@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame
 
 
 def spread_input(df: DataFrame) -> DataFrame:
+    """Call on a scan or a narrow projection of one: counting its splits is
+    then planning only (no stage of the input runs)."""
     try:
         cores = df.sparkSession.sparkContext.defaultParallelism
         splits = df.rdd.getNumPartitions()  # planning only for a plain scan
