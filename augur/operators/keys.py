@@ -34,14 +34,16 @@ def _order_cols(order: Sequence[ColumnOrName]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    """Number of ranges: given, else the session's shuffle partitions, which
-    a cluster run sizes to the input volume (``session.cluster_conf``: one
-    partition per ~256 MB). AQE does not coalesce an explicit range
-    repartition, so this is the number of range files."""
+def _ranges(df: DataFrame, cols: list[Column], num_partitions: int | None) -> DataFrame:
+    """Range-partition on ``cols``. With an explicit count there are exactly
+    that many ranges. Without one, the session's shuffle partitions give the
+    range bounds and AQE coalesces neighbouring small ranges up to its
+    advisory size: coalescing only merges adjacent ranges, so the order
+    across files is kept, and the range count follows the data volume (one
+    file for a small dimension, ~advisory-size files for a large fact)."""
     if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartitionByRange(num_partitions, *cols)
+    return df.repartitionByRange(*cols)
 
 
 def dense_key(
@@ -56,14 +58,14 @@ def dense_key(
 
     Runs one job that writes the sorted ranges to ``path`` (default: a new
     folder under ``spark.checkpoint.dir``); the returned DataFrame reads them.
-    ``num_partitions`` sets the number of ranges (default: see
-    ``_partitions``); size it so one range fits a task.
+    ``num_partitions`` fixes the number of ranges (default: adaptive, see
+    ``_ranges``); either way one range must fit a task.
     """
     spark = df.sparkSession
     cols = _order_cols(order)
     path = path or scratch_path(spark, "dense_key")
     (
-        df.repartitionByRange(_partitions(df, num_partitions), *cols)
+        _ranges(df, cols, num_partitions)
         .sortWithinPartitions(*cols)
         .write.mode("overwrite")
         .parquet(path)
@@ -73,7 +75,7 @@ def dense_key(
     # range number from the file name part-<n>-...: one file per range
     part_no = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int")
     counts = ranges.groupBy(part_no.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
-    # one row per written file: this window is over at most num_partitions
+    # one row per written file: this window is over at most (shuffle partitions)
     # rows, and the broadcast carries 12 bytes per file
     offsets = counts.select(
         "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off")
