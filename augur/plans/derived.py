@@ -127,7 +127,8 @@ def top_forecaster(engagement: DataFrame) -> DataFrame:
 
 def coverage_gaps(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     """Per question, how many forecasters answered it against how many
-    are active (have any forecast) and registered (in the dimension).
+    are active (have any forecast) and registered (in the dimension);
+    ``has_gap`` marks questions answered by fewer than all active ones.
 
     Counts, not pairs: the missing (forecaster, question) pairs are never
     enumerated, so nothing grows with forecasters x questions.
@@ -145,5 +146,6 @@ def coverage_gaps(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
             registered.alias("registered"),
             (active - covered).alias("missing_active"),
             (registered - covered).alias("missing_registered"),
+            (covered < active).alias("has_gap"),
         )
     )

@@ -158,6 +158,7 @@ def test_derived(inputs, pdfact, ids):
     gaps = {r["question_id"]: r for r in derived.coverage_gaps(fact, dims).collect()}
     assert gaps["Q1"]["covered"] == 5 and gaps["Q1"]["active"] == 6 and gaps["Q1"]["registered"] == 7
     assert gaps["Q1"]["missing_active"] == 1 and gaps["Q1"]["missing_registered"] == 2
+    assert gaps["Q1"]["has_gap"] is True
     lab = {pair(r, ids): r for r in derived.revision_label(rev).collect()}
     assert lab[("F01", "Q1")]["label"] == "Ada / Q1" and lab[("F01", "Q1")]["txt"] == "+5 pts"
     assert lab[("F05", "Q1")]["txt"] == "no change"
