@@ -36,7 +36,9 @@ def forecasts(spark: SparkSession, sf_dir: str, checked: bool = True) -> DataFra
     join and no dimension column travels with the fact. Marts that inner-join
     the forecaster dimension after aggregating enforce integrity themselves
     (groups of unknown forecasters find no partner) and take the unchecked
-    fact, which saves a join over every forecast row.
+    fact, which saves a join over every forecast row. In the model pipeline
+    integrity is established once when ``fct_forecasts`` is built; this view
+    re-checks it per query only because the driver's ``events`` are raw.
     Columns: forecaster_sk, question_id, question_text, prediction,
     forecast_timestamp, date_day.
     """
