@@ -378,6 +378,9 @@ def q_dq_issue_register(spark, d):
     issues = [
         quality.issue(dup, F.sum(F.col("copies") - 1), "high", "documents", "*",
                       "exact duplicate rows", "keep one row per group"),
+        quality.issue(quality.conflicting_duplicates(_doc_rows(spark, d).drop("doc_id"), ["text_h"]),
+                      F.count(F.lit(1)), "high", "documents", "text", "same text, different attributes",
+                      "pick a survivor by a total order"),
         quality.issue(frag, F.count_if(F.trim("frag") == ""), "medium", "documents", "text",
                       "blank text standing for NULL", "NULLIF(TRIM(x), '')"),
         quality.issue(_mixed_dates(spark, d), F.count_if(clean.unparsable_iso_date("t")), "medium",
