@@ -128,7 +128,8 @@ def issue(findings: DataFrame, count_expr: Column, severity: str, table: str, co
           text: str, resolution: str) -> DataFrame:
     """One issue-register row: literal description plus a count computed
     from the detector's output."""
-    return findings.agg(count_expr.cast("bigint").alias("affected")).select(
+    # a detector that finds nothing reports 0, not NULL (sum over no rows)
+    return findings.agg(F.coalesce(count_expr.cast("bigint"), F.lit(0).cast("bigint")).alias("affected")).select(
         F.lit(severity).alias("severity"),
         F.lit(table).alias("table_name"),
         F.lit(column).alias("column_name"),

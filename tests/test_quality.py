@@ -71,3 +71,10 @@ def test_reconciliation_and_register(raw, model):
                 F.count(F.lit(1)), "low", "demographics", "forecaster_id", "never active", "flag"),
     ]).collect()
     assert [(r["severity"], r["affected"]) for r in reg] == [("high", 1), ("low", 1)]
+
+
+def test_issue_reports_zero_when_nothing_found(raw):
+    t = raw["raw_question_tags"]
+    none = Q.exact_duplicates(t.where("question_id = 'nope'"), t.columns)
+    r = Q.issue(none, F.sum(F.col("copies") - 1), "high", "tags", "*", "dups", "dedup").collect()[0]
+    assert r["affected"] == 0
