@@ -190,3 +190,16 @@ def test_orderings(inputs):
     assert eng == sorted(eng, reverse=True)
     rev = [abs(r["net_revision"]) for r in derived.ordered_revisions(marts.belief_revision(fact, dims)).collect()]
     assert rev == sorted(rev, reverse=True)
+
+
+def test_question_summary_approximate(inputs, pdfact):
+    fact, _ = inputs
+    exact = as_dict(marts.question_summary(fact), "question_id")
+    approx = as_dict(marts.question_summary(fact, approximate=True), "question_id")
+    assert approx.keys() == exact.keys()
+    for q, g in pdfact.groupby("question_id"):
+        p = sorted(g.prediction)
+        lo, hi = p[(len(p) - 1) // 2], p[len(p) // 2]
+        assert approx[q]["forecaster_count"] == exact[q]["forecaster_count"]
+        assert lo <= approx[q]["median_prediction"] <= hi
+        assert approx[q]["mean_prediction"] == exact[q]["mean_prediction"]
