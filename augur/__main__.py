@@ -33,6 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     g.add_argument("--out", required=True)
     a = sub.add_parser("append", help="append a new forecast extract to the model")
     a.add_argument("--forecasts", required=True)
+    a.add_argument("--demographics", default=None, help="register forecasters that are new")
     a.add_argument("--model", required=True)
     s = sub.add_parser("stream", help="load every extract landing in a folder")
     s.add_argument("--source", required=True)
@@ -62,10 +63,12 @@ def main(argv: list[str] | None = None) -> dict:
         out = build_gold(spark, args.model, args.out)
     elif args.cmd == "append":
         from augur.sources.csv import scan_csv_strings
-        from augur.sources.schemas import RAW_FORECASTS
+        from augur.sources.schemas import RAW_DEMOGRAPHICS, RAW_FORECASTS
         from augur.streaming.incremental import append_forecasts
 
-        out = {"appended": append_forecasts(spark, scan_csv_strings(spark, args.forecasts, RAW_FORECASTS), args.model)}
+        demo = scan_csv_strings(spark, args.demographics, RAW_DEMOGRAPHICS) if args.demographics else None
+        new = scan_csv_strings(spark, args.forecasts, RAW_FORECASTS)
+        out = {"appended": append_forecasts(spark, new, args.model, demo)}
     elif args.cmd == "stream":
         from augur.streaming.incremental import stream_forecasts
 

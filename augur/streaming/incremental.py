@@ -26,15 +26,17 @@ from pyspark.sql.streaming import StreamingQuery
 
 from augur.functions.clean import typed_timestamp
 from augur.operators.keys import dense_key
-from augur.plans.model import FACT_ORDER, FORECAST_NATURAL_KEY, PARTITION_BY, fact_rows, typed_fact
+from augur.plans.model import (
+    FACT_ORDER,
+    FORECAST_NATURAL_KEY,
+    PARTITION_BY,
+    dim_forecasters,
+    fact_rows,
+    typed_fact,
+)
 from augur.sources.schemas import RAW_FORECASTS
 
 
-def _max_key(df: DataFrame, col: str) -> int:
-    """Current largest key (one aggregate over the key column)."""
-    return int(df.agg(F.coalesce(F.max(col), F.lit(0))).first()[0])
-
-
 def _dense_max(df: DataFrame) -> int:
     """Largest key of a table whose keys are dense 1..N: its row count,
     which Parquet answers from row-group metadata without reading a column."""
@@ -51,7 +53,7 @@ def extend_questions(spark: SparkSession, new_raw: DataFrame, model_dir: str) ->
         .agg(F.max("question_text").alias("question_text"))
         .join(current.select("question_id"), "question_id", "left_anti")
     )
-    base = _max_key(current, "question_sk")
+    base = _dense_max(current)
     keyed = dense_key(unseen, ["question_id"], "_k").select(
         (F.col("_k") + F.lit(base)).alias("question_sk"), "question_id", "question_text"
     )
@@ -59,9 +61,34 @@ def extend_questions(spark: SparkSession, new_raw: DataFrame, model_dir: str) ->
     return spark.read.parquet(path)
 
 
-def append_forecasts(spark: SparkSession, new_raw: DataFrame, model_dir: str) -> int:
+def extend_forecasters(
+    spark: SparkSession, new_demographics: DataFrame, new_raw: DataFrame, model_dir: str
+) -> int:
+    """Key map for forecasters: ids of ``new_demographics`` not yet in
+    ``dim_forecasters`` are built with the full build's logic (names and
+    types from their forecasts, repaired attributes) and numbered from
+    max+1 in id order. Existing rows are not rewritten, so their is_active
+    flag is refreshed by a full rebuild. Returns the number of new rows."""
+    path = os.path.join(model_dir, "dim_forecasters")
+    current = spark.read.parquet(path)
+    unseen = new_demographics.join(current.select("forecaster_id"), "forecaster_id", "left_anti")
+    base = _dense_max(current)
+    rows = dim_forecasters(new_raw, unseen)
+    rows = rows.withColumn("forecaster_sk", F.col("forecaster_sk") + F.lit(base)).select(*current.columns)
+    n = rows.count()  # rows come from a written dense-key table: count and append read the same rows
+    if n:
+        rows.write.mode("append").parquet(path)
+    return n
+
+
+def append_forecasts(
+    spark: SparkSession, new_raw: DataFrame, model_dir: str, new_demographics: DataFrame | None = None
+) -> int:
     """Append the forecasts of ``new_raw`` (raw string schema) that the fact
-    does not hold yet. Returns the number of appended rows."""
+    does not hold yet, after registering forecasters of ``new_demographics``
+    that are new. Returns the number of appended fact rows."""
+    if new_demographics is not None:
+        extend_forecasters(spark, new_demographics, new_raw, model_dir)
     forecasters = spark.read.parquet(os.path.join(model_dir, "dim_forecasters"))
     questions = extend_questions(spark, new_raw, model_dir)
     fact_path = os.path.join(model_dir, "fct_forecasts")

@@ -69,3 +69,24 @@ def test_stream_matches_full_build(spark, tmp_path, model):
     q2.awaitTermination(300)
     again, _ = natural(spark, out)
     assert again == got
+
+
+def test_append_registers_new_forecasters(spark, tmp_path, model):
+    demo_lines = open(os.path.join(FIXTURES, "survey_forecasters.csv")).read().splitlines()
+    without = tmp_path / "demo_without_f06.csv"
+    without.write_text("\n".join(x for x in demo_lines if not x.startswith("F06")) + "\n")
+    p = paths(os.path.join(FIXTURES, "survey_forecasts.csv"))
+    p["raw_forecaster_demographics"] = str(without)
+    out = str(tmp_path / "model")
+    M.build(spark, p, out)
+    raw = load_raw(spark, paths(os.path.join(FIXTURES, "survey_forecasts.csv")))
+    n = append_forecasts(spark, raw["raw_forecasts_export"], out, raw["raw_forecaster_demographics"])
+    assert n == 2  # F06's two forecasts
+    dims = spark.read.parquet(out + "/dim_forecasters")
+    keys = {r["forecaster_id"]: r["forecaster_sk"] for r in dims.collect()}
+    assert keys["F06"] == 7 and sorted(keys.values()) == list(range(1, 8))
+    by_id = lambda f, d: sorted(
+        tuple(r) for r in f.join(d.select("forecaster_sk", "forecaster_id"), "forecaster_sk")
+        .select("forecaster_id", "forecast_timestamp", "prediction").collect())
+    full = by_id(model["fct_forecasts"], model["dim_forecasters"])
+    assert by_id(spark.read.parquet(out + "/fct_forecasts"), dims) == full
