@@ -371,6 +371,15 @@ def q_dq_reconciliation(spark, d):
     return quality.reconciliation(_doc_rows(spark, d), F.count_distinct("text_h"))
 
 
+def q_dq_model_reconciliation(spark, d):
+    """Raw extracts against the built model: events vs fact rows, lineitem
+    (supplier, part) rows vs bridge pairs."""
+    return quality.model_reconciliation(
+        read_table(spark, d, "events"), q_fct_build(spark, d),
+        read_table(spark, d, "lineitem"), q_bridge_tags(spark, d),
+    )
+
+
 def q_dq_issue_register(spark, d):
     cust = read_table(spark, d, "customer")
     dup = quality.exact_duplicates(_doc_rows(spark, d), ["text_h", "lang", "source"], "doc_id")

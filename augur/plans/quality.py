@@ -124,6 +124,23 @@ def reconciliation(raw: DataFrame, clean_count: Column) -> DataFrame:
     )
 
 
+def model_reconciliation(
+    raw_forecasts: DataFrame, fact: DataFrame, raw_tags: DataFrame, bridge: DataFrame
+) -> DataFrame:
+    """Q9 (model): raw vs modelled rows for forecasts and tags, and the two
+    deltas, in one row. Each count is a scalar subquery (no cross join)."""
+    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
+    fact_rows, raw_tag_rows, bridge_rows = n(fact), n(raw_tags), n(bridge)
+    return raw_forecasts.agg(F.count(F.lit(1)).alias("raw_forecasts")).select(
+        "raw_forecasts",
+        fact_rows.alias("fact_rows"),
+        (fact_rows - F.col("raw_forecasts")).alias("forecast_delta"),
+        raw_tag_rows.alias("raw_tags"),
+        bridge_rows.alias("bridge_rows"),
+        (bridge_rows - raw_tag_rows).alias("tag_delta"),
+    )
+
+
 def issue(findings: DataFrame, count_expr: Column, severity: str, table: str, column: str,
           text: str, resolution: str) -> DataFrame:
     """One issue-register row: literal description plus a count computed

@@ -78,3 +78,9 @@ def test_issue_reports_zero_when_nothing_found(raw):
     none = Q.exact_duplicates(t.where("question_id = 'nope'"), t.columns)
     r = Q.issue(none, F.sum(F.col("copies") - 1), "high", "tags", "*", "dups", "dedup").collect()[0]
     assert r["affected"] == 0
+
+
+def test_model_reconciliation(raw, model):
+    r = Q.model_reconciliation(raw["raw_forecasts_export"], model["fct_forecasts"],
+                               raw["raw_question_tags"], model["bridge_question_tags"]).collect()[0]
+    assert tuple(r) == (21, 18, -3, 8, 6, -2)
