@@ -48,7 +48,7 @@ from augur.llm.words import MULT, Words, find_words, gram_hashes, mix, slices
 
 WINDOW = 35
 GRAM = 8
-MAX_GROUP = 4096
+MAX_GROUP = 32_768  # gram places in one task: about 2 million words
 EDGE = 8
 ADDED = ("n_words", "n_removed", "kept_text", "removed")
 
