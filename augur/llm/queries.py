@@ -2,9 +2,26 @@
 
 from __future__ import annotations
 
+from augur.llm import url_reputation
+from augur.llm.decontaminate import op4_benchmark_decontamination
+from augur.llm.language_id import op1_language_id
+from augur.llm.mixing import op9_mixing_sources
+from augur.llm.pii import op6_pii_surrogates
+from augur.llm.quality_rules import op7_quality_rules
+from augur.llm.simhash_dedup import op3_simhash_dedup
 from augur.llm.substring_dedup import op8_substring_dedup
+from augur.llm.token_counts import op2_token_counts
+from augur.llm.url_reputation import op10_url_reputation
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
+    "op2_token_counts": op2_token_counts,
+    "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_pii_surrogates": op6_pii_surrogates,
+    "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
+    "op9_mixing_sources": op9_mixing_sources,
+    "op10_url_reputation": op10_url_reputation,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op10_url_reputation": url_reputation.ORACLE}

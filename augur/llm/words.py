@@ -75,9 +75,11 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, limit: int = SLICE_BY
 
 @dataclass
 class Words:
-    """Words of a slice: byte spans, and for row r the words row[r]:row[r+1]."""
+    """Words of a slice: byte spans, and for row r the words row[r]:row[r+1]
+    and the bytes at[r]:at[r+1]."""
 
     data: np.ndarray
+    at: np.ndarray
     start: np.ndarray
     end: np.ndarray
     row: np.ndarray
@@ -112,7 +114,7 @@ def find_words(texts: pa.Array) -> Words:
     inner = inner[(inner > 0) & (inner < len(data))]
     stop[inner] = inside[inner - 1]
     end = np.flatnonzero(stop)
-    return Words(data, start, end, np.searchsorted(start, at).astype(np.int64))
+    return Words(data, at, start, end, np.searchsorted(start, at).astype(np.int64))
 
 
 def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
