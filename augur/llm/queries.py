@@ -11,6 +11,7 @@ from augur.llm.quality_rules import op7_quality_rules
 from augur.llm.simhash_dedup import op3_simhash_dedup
 from augur.llm.substring_dedup import op8_substring_dedup
 from augur.llm.token_counts import op2_token_counts
+from augur.llm.tool_calls import op5_tool_call_linking
 from augur.llm.url_reputation import op10_url_reputation
 
 QUERIES = {
@@ -18,6 +19,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_tool_call_linking": op5_tool_call_linking,
     "op6_pii_surrogates": op6_pii_surrogates,
     "op7_quality_rules": op7_quality_rules,
     "op8_substring_dedup": op8_substring_dedup,
