@@ -12,24 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def keep_first(df: DataFrame, key: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
-    """One survivor per ``key``: the row with the smallest ``order``.
-
-    Same result as ``ROW_NUMBER() OVER (PARTITION BY key ORDER BY order) = 1``
-    when ``order`` is unique in the key (a total order); the survivor is then
-    deterministic, unlike ordering by a column constant in the partition.
-    """
-    rest = [v for v in values if v != order and v not in key]
-    return df.groupBy(*key).agg(
-        F.min(order).alias(order), *[F.min_by(v, order).alias(v) for v in rest]
-    )
-
-
-def drop_exact_duplicates(df: DataFrame) -> DataFrame:
-    """Rows identical in every column collapse to one (SELECT DISTINCT)."""
-    return df.distinct()
-
-
 def duplicate_groups(
     df: DataFrame,
     key: Sequence[str | Column],
@@ -42,3 +24,13 @@ def duplicate_groups(
         .agg(F.count(F.lit(1)).alias(count_name), *extra)
         .where(F.col(count_name) > 1)
     )
+
+
+def reduced(df: DataFrame, *cols: str) -> DataFrame:
+    """Distinct ``cols`` as a hash aggregate of its own.
+
+    The optimizer drops a ``distinct`` below MAX or MIN, which don't mind
+    duplicates; over text these then sort all raw rows. The count that is
+    filtered on (always true) keeps this aggregate.
+    """
+    return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 0").select(*cols)

@@ -13,9 +13,11 @@ joins wherever the grain allows.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,13 +32,16 @@ from augur.functions.clean import (
     typed_timestamp,
 )
 from augur.functions.dates import date_parts
+from augur.operators.dedup import reduced
 from augur.operators.keys import dense_key
 from augur.sources.csv import load_raw
+from augur.sources.schemas import RAW_FORECASTS
 from augur.sources.sinks import write_with_audit
 
 # Fixed value: the one vocabulary repair the extract needs.
 EDUCATION_VOCAB = {"Bachelor": "Bachelors"}
 
+PENDING_SCHEMA = ", ".join(f"{f.name} string" for f in RAW_FORECASTS.fields)
 FORECAST_NATURAL_KEY = ["forecaster_id", "question_id", "forecast_timestamp"]
 
 
@@ -53,18 +58,33 @@ def dim_forecasters(
     NULL name/type and is_active = FALSE. Name and type are MAX over the
     forecasts as in the reference; years are cast before MAX so '12' > '8'.
     """
-    per = forecasts.groupBy("forecaster_id").agg(
-        F.max("forecaster_name").alias("forecaster_name"),
-        F.max("forecaster_type").alias("forecaster_type"),
-        F.count(F.lit(1)).alias("_n"),
+    # reduced first: a hash aggregate that leaves few rows for MAX over text,
+    # which Spark can only plan as a sort
+    per = (
+        reduced(forecasts, "forecaster_id", "forecaster_name", "forecaster_type")
+        .groupBy("forecaster_id")
+        .agg(
+            F.max("forecaster_name").alias("forecaster_name"),
+            F.max("forecaster_type").alias("forecaster_type"),
+            F.lit(True).alias("_active"),
+        )
     )
-    demo = demographics.groupBy("forecaster_id").agg(
-        F.max(normalize_vocab("education_level", vocab)).alias("education_level"),
-        F.max(typed_int("years_forecasting_experience")).alias("years_forecasting_experience"),
-        F.max("country").alias("country"),
-        F.max("affiliation").alias("affiliation"),
-        F.max(parse_mixed_dates("joined_date")).alias("joined_date"),
-        F.bool_or(is_complete(*profile_cols)).alias("has_complete_profile"),
+    cleaned = demographics.select(
+        "forecaster_id",
+        normalize_vocab("education_level", vocab).alias("education_level"),
+        typed_int("years_forecasting_experience").alias("years_forecasting_experience"),
+        "country",
+        "affiliation",
+        parse_mixed_dates("joined_date").alias("joined_date"),
+        is_complete(*profile_cols).alias("has_complete_profile"),
+    )
+    demo = (
+        reduced(cleaned, *cleaned.columns)
+        .groupBy("forecaster_id")
+        .agg(
+            *[F.max(c).alias(c) for c in ("education_level", "years_forecasting_experience", "country", "affiliation", "joined_date")],
+            F.bool_or("has_complete_profile").alias("has_complete_profile"),
+        )
     )
     joined = demo.join(per, "forecaster_id", "left")
     return dense_key(joined, ["forecaster_id"], "forecaster_sk").select(
@@ -77,14 +97,15 @@ def dim_forecasters(
         "country",
         "affiliation",
         "joined_date",
-        F.col("_n").isNotNull().alias("is_active"),
+        F.coalesce("_active", F.lit(False)).alias("is_active"),
         "has_complete_profile",
     )
 
 
 def dim_questions(forecasts: DataFrame) -> DataFrame:
     """One row per question id; text is MAX(text) as in the reference."""
-    per = forecasts.groupBy("question_id").agg(F.max("question_text").alias("question_text"))
+    texts = reduced(forecasts, "question_id", "question_text")  # few: see dim_forecasters
+    per = texts.groupBy("question_id").agg(F.max("question_text").alias("question_text"))
     return dense_key(per, ["question_id"], "question_sk").select(
         "question_sk", "question_id", "question_text"
     )
@@ -109,14 +130,21 @@ def dim_date(forecasts: DataFrame, ts_col: str = "forecast_timestamp") -> DataFr
 def dedup_forecasts(forecasts: DataFrame) -> DataFrame:
     """One row per natural key. The survivor is the row smallest in
     (prediction, name, type, text, rationale): a total order, so reruns keep
-    the same row even when two different rows share the key."""
+    the same row even when two different rows share the key. Exact copies go
+    first, in a hash aggregate; only keys that different rows share are then
+    resolved by that order."""
     rest = ["prediction", "forecaster_name", "forecaster_type", "question_text", "rationale"]
-    pick = F.min(F.struct(*rest)).alias("_r")
-    return (
-        forecasts.groupBy(*FORECAST_NATURAL_KEY)
-        .agg(pick)
+    rows = forecasts.select(*FORECAST_NATURAL_KEY, *rest).distinct()
+    shared = rows.groupBy(*FORECAST_NATURAL_KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    r, k = rows.alias("r"), shared.drop("_n").alias("k")
+    same = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in FORECAST_NATURAL_KEY]
+    resolved = (
+        r.join(k, same, "left_semi")
+        .groupBy(*FORECAST_NATURAL_KEY)
+        .agg(F.min(F.struct(*rest)).alias("_r"))
         .select(*FORECAST_NATURAL_KEY, *[F.col(f"_r.{c}").alias(c) for c in rest])
     )
+    return r.join(k, same, "left_anti").unionByName(resolved)
 
 
 FACT_ORDER = ["forecast_timestamp", "forecaster_id", "question_id"]
@@ -193,37 +221,80 @@ def _write_all(jobs: Mapping[str, Callable[[], DataFrame]], out_dir: str) -> dic
         return dict(pool.map(one, jobs.items()))
 
 
+def pending(spark: SparkSession, model_dir: str) -> DataFrame | None:
+    """The parked raw forecasts (people not registered), or None."""
+    try:
+        version = spark.read.parquet(os.path.join(model_dir, "pending_log")).agg(F.max("version")).first()[0]
+    except AnalysisException:  # a model built before rows were parked
+        return None
+    if version is None:
+        return None
+    rows = spark.read.schema(f"{PENDING_SCHEMA}, version int").parquet(os.path.join(model_dir, "pending_forecasts"))
+    return rows.where(F.col("version") == version).drop("version")
+
+
+def park(spark: SparkSession, forecasts: DataFrame, forecasters: DataFrame, model_dir: str, first: bool = False) -> None:
+    """Make the forecasts of unregistered people the parked rows. A new
+    version folder is written, then its number is logged: readers see the
+    old rows or the new ones, never a half-written set."""
+    log, rows = os.path.join(model_dir, "pending_log"), os.path.join(model_dir, "pending_forecasts")
+    version = 0
+    if not first and pending(spark, model_dir) is not None:
+        version = spark.read.parquet(log).agg(F.max("version")).first()[0] + 1
+    unknown = forecasts.join(forecasters.select("forecaster_id"), "forecaster_id", "left_anti").distinct()
+    mode = "overwrite" if first else "append"
+    unknown.select(*forecasts.columns).withColumn("version", F.lit(version)).write.mode(mode).partitionBy("version").parquet(rows)
+    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode(mode).parquet(log)
+
+
 def build(spark: SparkSession, raw_paths: Mapping[str, str], out_dir: str) -> dict[str, int]:
     """CSV -> raw -> star schema, full refresh, returns observed row counts.
 
     The three dimensions do not depend on each other and are written as
     concurrent jobs; bridge and fact then read the *written* dimensions, so
     every key lookup sees stable numbers, and are written concurrently too.
+    All tables go to a staging folder and take their places when every one is
+    complete: a failed build leaves the old model as it was.
     """
     raw = load_raw(spark, raw_paths)
     f = raw["raw_forecasts_export"]
+    staging = os.path.join(out_dir, f"_staging-{uuid.uuid4().hex}")
     counts = _write_all(
         {
             "dim_forecasters": lambda: dim_forecasters(f, raw["raw_forecaster_demographics"]),
             "dim_questions": lambda: dim_questions(f),
             "dim_date": lambda: dim_date(f),
         },
-        out_dir,
+        staging,
     )
-    forecasters = spark.read.parquet(os.path.join(out_dir, "dim_forecasters"))
-    questions = spark.read.parquet(os.path.join(out_dir, "dim_questions"))
+    forecasters = spark.read.parquet(os.path.join(staging, "dim_forecasters"))
+    questions = spark.read.parquet(os.path.join(staging, "dim_questions"))
+    park(spark, f, forecasters, staging, first=True)
     counts.update(
         _write_all(
             {
                 "bridge_question_tags": lambda: bridge_question_tags(raw["raw_question_tags"], questions),
                 "fct_forecasts": lambda: fct_forecasts(f, forecasters, questions),
             },
-            out_dir,
+            staging,
         )
     )
+    _take_places(spark, staging, out_dir)
     return counts
 
 
+def _take_places(spark: SparkSession, staging: str, out_dir: str) -> None:
+    """Move every table folder of ``staging`` to ``out_dir``, in place of the old one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    for table in fs.listStatus(path(staging)):
+        place = path(out_dir, table.getPath().getName())
+        fs.delete(place, True)
+        if not fs.rename(table.getPath(), place):
+            raise OSError(f"can't move {table.getPath()} to {place}")
+    fs.delete(path(staging), True)
+
+
 def mart_inputs(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(fact, forecasters) in the shape the marts read.
 
@@ -242,5 +313,7 @@ def mart_inputs(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
         "forecaster_name",
         "forecaster_type",
         F.col("years_forecasting_experience").alias("years"),
+        "education_level",
+        "country",
     )
     return fact, forecasters

@@ -5,15 +5,19 @@ work; this module is that load, expressed two ways:
 
 * ``append_forecasts``: one batch of raw forecast rows is cleaned exactly as
   the full build cleans them (dedup on the natural key, key lookups, typed
-  columns), rows already in the fact are removed with a left-anti join on
+  columns), rows already in the fact are removed with a NULL-safe anti-join on
   the natural key, new questions get keys after the current maximum, and the
   new fact rows are appended with keys after the current maximum. Running
   the same batch twice appends nothing the second time.
 * ``stream_forecasts``: a Structured Streaming file source over a folder of
-  CSV extracts, event-time watermark on the forecast timestamp and
-  ``dropDuplicatesWithinWatermark`` on the natural key, feeding
-  ``append_forecasts`` from ``foreachBatch``. Late rows are not dropped: the
-  anti-join against the fact removes any duplicate the watermark let through.
+  CSV extracts, feeding ``append_forecasts`` from ``foreachBatch``. The stream
+  keeps no state and has no watermark: however late a row is, the batch's own
+  dedup and the anti-join against the fact decide.
+
+Forecasts of people who aren't registered yet are parked, not dropped: they
+stay in ``pending_forecasts`` as raw rows, and every later batch tries them
+again (so does registering people, and the start of the stream). A full build
+parks such rows too.
 """
 
 from __future__ import annotations
@@ -25,13 +29,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from augur.functions.clean import typed_timestamp
+from augur.operators.dedup import reduced
 from augur.operators.keys import dense_key
 from augur.plans.model import (
     FACT_ORDER,
-    FORECAST_NATURAL_KEY,
     PARTITION_BY,
     dim_forecasters,
     fact_rows,
+    park,
+    pending,
     typed_fact,
 )
 from augur.sources.schemas import RAW_FORECASTS
@@ -49,7 +55,8 @@ def extend_questions(spark: SparkSession, new_raw: DataFrame, model_dir: str) ->
     path = os.path.join(model_dir, "dim_questions")
     current = spark.read.parquet(path)
     unseen = (
-        new_raw.groupBy("question_id")
+        reduced(new_raw, "question_id", "question_text")
+        .groupBy("question_id")
         .agg(F.max("question_text").alias("question_text"))
         .join(current.select("question_id"), "question_id", "left_anti")
     )
@@ -81,33 +88,40 @@ def extend_forecasters(
     return n
 
 
+def retry_pending(spark: SparkSession, model_dir: str) -> int:
+    """Load the parked forecasts of people registered meanwhile."""
+    return append_forecasts(spark, spark.createDataFrame([], RAW_FORECASTS), model_dir)
+
+
 def append_forecasts(
     spark: SparkSession, new_raw: DataFrame, model_dir: str, new_demographics: DataFrame | None = None
 ) -> int:
     """Append the forecasts of ``new_raw`` (raw string schema) that the fact
     does not hold yet, after registering forecasters of ``new_demographics``
     that are new. Returns the number of appended fact rows."""
+    waiting = pending(spark, model_dir)
+    batch = new_raw if waiting is None else new_raw.unionByName(waiting.select(*new_raw.columns))
     if new_demographics is not None:
-        extend_forecasters(spark, new_demographics, new_raw, model_dir)
+        extend_forecasters(spark, new_demographics, batch, model_dir)
     forecasters = spark.read.parquet(os.path.join(model_dir, "dim_forecasters"))
     questions = extend_questions(spark, new_raw, model_dir)
     fact_path = os.path.join(model_dir, "fct_forecasts")
     fact = spark.read.parquet(fact_path)
 
     key = ["forecaster_sk", "question_sk", "_ts"]
-    candidates = fact_rows(new_raw, forecasters, questions).withColumn(
-        "_ts", typed_timestamp("forecast_timestamp")
-    )
+    candidates = fact_rows(batch, forecasters, questions).withColumn("_ts", typed_timestamp("forecast_timestamp"))
     # only the dates this batch touches can hold its duplicates: the date
     # range prunes the fact's date folders, so the anti-join reads a slice
-    # of the fact that grows with the batch, not with the fact
+    # of the fact that grows with the batch, not with the fact; rows without
+    # a time are in the folder of the NULL date
     lo, hi = candidates.agg(F.min("_ts").cast("date"), F.max("_ts").cast("date")).first()
-    if lo is None:
-        return 0
-    existing = fact.where(F.col("date_day").between(lo, hi)).select(
+    day = F.col("date_day")
+    touched = day.isNull() if lo is None else day.between(lo, hi) | day.isNull()
+    existing = fact.where(touched).select(
         "forecaster_sk", "question_sk", F.col("forecast_timestamp").alias("_ts")
     )
-    fresh = candidates.join(existing, key, "left_anti").drop("_ts")
+    c, e = candidates.alias("c"), existing.alias("e")
+    fresh = c.join(e, [F.col(f"c.{k}").eqNullSafe(F.col(f"e.{k}")) for k in key], "left_anti").drop("_ts")
 
     base = _dense_max(fact)
     # numbered after the anti-join so new keys are dense from base + 1; the
@@ -117,29 +131,24 @@ def append_forecasts(
     n = out.count()
     if n:
         out.write.mode("append").partitionBy(*PARTITION_BY["fct_forecasts"]).parquet(fact_path)
+    # after the fact has its rows: what is still unmatched replaces the parked rows. If this
+    # fails, the next batch tries all of them again and the anti-join drops the loaded ones
+    park(spark, batch, forecasters, model_dir)
     return n
 
 
 def stream_forecasts(
-    spark: SparkSession,
-    source_dir: str,
-    model_dir: str,
-    checkpoint_dir: str,
-    watermark: str = "7 days",
+    spark: SparkSession, source_dir: str, model_dir: str, checkpoint_dir: str
 ) -> StreamingQuery:
     """Load every CSV extract that lands in ``source_dir`` (available-now
-    trigger: process what is there, then stop)."""
+    trigger: process what is there, then stop), parked rows first."""
+    retry_pending(spark, model_dir)
     stream = (
         spark.readStream.schema(RAW_FORECASTS)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
         .csv(source_dir)
-        # watermarks need a zoned TIMESTAMP; this column only ages out state
-        .withColumn("_event_time", F.col("forecast_timestamp").cast("timestamp"))
-        .withWatermark("_event_time", watermark)
-        .dropDuplicatesWithinWatermark(FORECAST_NATURAL_KEY)
-        .drop("_event_time")
     )
 
     def load(batch: DataFrame, batch_id: int) -> None:
