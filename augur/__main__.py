@@ -16,7 +16,7 @@ import argparse
 import json
 import os
 
-from augur.session import build_session
+from augur.session import build_session, clear_scratch
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -80,6 +80,7 @@ def main(argv: list[str] | None = None) -> dict:
 
         export_json(spark.read.parquet(os.path.join(args.gold, args.table)), args.out)
         out = {"exported": args.table}
+    clear_scratch(spark)  # nothing reads the intermediate tables any more
     print(json.dumps(out, sort_keys=True))
     return out
 

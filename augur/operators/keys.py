@@ -46,6 +46,27 @@ def _ranges(df: DataFrame, cols: list[Column], num_partitions: int | None) -> Da
     return df.repartitionByRange(*cols)
 
 
+def written_ranges(
+    df: DataFrame, cols: Sequence[Column], num_partitions: int | None = None, path: str | None = None
+) -> DataFrame:
+    """``df`` in sorted range files, read back with ``_part`` (the range) and
+    ``_row`` (the row's place in it). One file a range, whatever limit the
+    session sets on records per file."""
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "dense_key")
+    (
+        _ranges(df, list(cols), num_partitions)
+        .sortWithinPartitions(*cols)
+        .write.mode("overwrite")
+        .option("maxRecordsPerFile", 0)
+        .parquet(path)
+    )
+    ranges = spark.read.parquet(path)
+    # range number from the file name part-<n>-...
+    part_no = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int")
+    return ranges.select(*ranges.columns, part_no.alias("_part"), F.col("_metadata.row_index").alias("_row"))
+
+
 def dense_key(
     df: DataFrame,
     order: Sequence[ColumnOrName],
@@ -61,38 +82,13 @@ def dense_key(
     ``num_partitions`` fixes the number of ranges (default: adaptive, see
     ``_ranges``); either way one range must fit a task.
     """
-    spark = df.sparkSession
-    cols = _order_cols(order)
-    path = path or scratch_path(spark, "dense_key")
-    (
-        _ranges(df, cols, num_partitions)
-        .sortWithinPartitions(*cols)
-        .write.mode("overwrite")
-        .parquet(path)
-    )
-    ranges = spark.read.parquet(path)
-    data_cols = ranges.columns
-    # range number from the file name part-<n>-...: one file per range
-    part_no = F.regexp_extract(F.col("_metadata.file_name"), r"^part-(\d+)", 1).cast("int")
-    counts = ranges.groupBy(part_no.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    rows = written_ranges(df, _order_cols(order), num_partitions, path)
+    counts = rows.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per written file: this window is over at most (shuffle partitions)
     # rows, and the broadcast carries 12 bytes per file
     offsets = counts.select(
         "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_off")
     )
-    rows = ranges.select(
-        *data_cols, part_no.alias("_part"), F.col("_metadata.row_index").alias("_row")
-    )
     return rows.join(F.broadcast(offsets), "_part").select(
-        *data_cols, (F.col("_off") + F.col("_row") + 1).cast("bigint").alias(name)
+        *df.columns, (F.col("_off") + F.col("_row") + 1).cast("bigint").alias(name)
     )
-
-
-def small_dense_key(df: DataFrame, order: Sequence[ColumnOrName], name: str = "sk") -> DataFrame:
-    """Plain ``ROW_NUMBER() OVER (ORDER BY ...)``: one task numbers all rows.
-
-    Only for inputs with a known small bound (e.g. the set of questions); it
-    is the literal form that ``dense_key`` is tested against.
-    """
-    w = Window.orderBy(*_order_cols(order))
-    return df.withColumn(name, F.row_number().over(w).cast("bigint"))

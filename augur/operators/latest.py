@@ -20,18 +20,3 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[s
     """One row per ``keys`` holding ``values`` of the row with the largest ``order``."""
     return df.groupBy(*keys).agg(*[F.max_by(v, order).alias(v) for v in values])
 
-
-def first_last_by(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    value: str,
-    extra: Sequence = (),
-) -> DataFrame:
-    """first_<value>, last_<value>, n per group in one aggregate."""
-    return df.groupBy(*keys).agg(
-        F.min_by(value, order).alias(f"first_{value}"),
-        F.max_by(value, order).alias(f"last_{value}"),
-        F.count(F.lit(1)).alias("n"),
-        *extra,
-    )

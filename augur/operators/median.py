@@ -8,9 +8,11 @@ and mostly distinct values would hold them all in one task's memory.
 1. ``dense_key`` over (keys, value): range partitions split any group, the
    ranked rows are written once;
 2. per group, the first global rank and the row count (partial aggregate);
-3. keep the one or two middle rows (0-based positions floor((n-1)/2) and
-   ceil((n-1)/2)) and average them: the linearly interpolated median, as
-   ``percentile(value, 0.5)`` defines it.
+3. the ranks of the one or two middle rows (0-based positions floor((n-1)/2)
+   and ceil((n-1)/2) of the group) are joined to the ranked rows on the rank.
+   Ranks are unique, so no key of that join can be hot; the values are
+   averaged: the linearly interpolated median, as ``percentile(value, 0.5)``
+   defines it.
 
 NULL values are ignored; a group whose values are all NULL gets NULL.
 """
@@ -38,14 +40,17 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "me
     base = df.select(*keys, value).where(F.col(value).isNotNull())
     ranked = dense_key(base, [*keys, value], "_g")
     stats = ranked.groupBy(*keys).agg(F.min("_g").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    pos = F.col("_g") - F.col("_start")
-    lo = F.floor((F.col("_n") - 1) / 2)
-    hi = F.ceil((F.col("_n") - 1) / 2)
+    wanted = stats.select(
+        *keys,
+        F.explode(
+            F.array_distinct(F.array(F.floor((F.col("_n") - 1) / 2), F.ceil((F.col("_n") - 1) / 2)))
+        ).alias("_at"),
+        "_start",
+    ).select(*keys, (F.col("_start") + F.col("_at")).alias("_g"))
     middle = (
-        _null_safe_join(ranked, stats, keys)
-        .where((pos == lo) | (pos == hi))
+        wanted.join(ranked.select("_g", F.col(value).cast("double").alias("_value")), "_g")
         .groupBy(*keys)
-        .agg(F.avg(F.col(value).cast("double")).alias(name))
+        .agg(F.avg("_value").alias(name))
     )
     groups = df.select(*keys).distinct()
     return _null_safe_join(groups, middle, keys, "left")

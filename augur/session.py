@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import itertools
-import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -23,17 +23,29 @@ BASE_CONF = {
 }
 
 
-def cluster_conf(total_cores: int, input_tb: float) -> dict[str, str]:
+# Fixed values of a large run: shuffle partitions and their limit. Beyond the
+# limit more partitions cost more in shuffle blocks and map statuses (both grow
+# with map tasks x partitions) than they save; AQE splits what is too large.
+SHUFFLE_MB = 256
+MOST_PARTITIONS = 20_000
+
+
+def cluster_conf(total_cores: int, shuffled_tb: float) -> dict[str, str]:
     """Settings for a large cluster run (what a Spark user would pass with
-    ``--conf``): shuffle partitions start high and AQE coalesces them to
-    ~256 MB; input splits of 256 MB; skew join on for partitions 5x the
-    median and above 512 MB; broadcasts only below 64 MB measured size."""
-    initial = max(4 * total_cores, int(input_tb * 1024 * 1024 / 256))
+    ``--conf``). ``shuffled_tb`` is the largest volume one exchange moves, not
+    the input: jobs here aggregate map-side, so an exchange is usually far
+    smaller than the scan. Shuffle partitions are ~256 MB, two a core at
+    least and at most 20,000; AQE coalesces them. Input splits are 256 MB (1 GB
+    from 10 TB shuffled on, which keeps map tasks and with them shuffle blocks
+    down); skew join on for partitions 5x the median and above 512 MB;
+    broadcasts only below 64 MB measured size."""
+    initial = max(2 * total_cores, int(shuffled_tb * 1024 * 1024 / SHUFFLE_MB))
+    initial = min(initial, MOST_PARTITIONS)
     return {
         "spark.sql.shuffle.partitions": str(initial),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.files.maxPartitionBytes": "256m" if shuffled_tb < 10 else "1g",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
         "spark.sql.autoBroadcastJoinThreshold": "64m",
@@ -66,33 +78,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local runs, tests) a local folder is created.
+    Unset, a local folder is made for a ``local[...]`` master only: on a
+    cluster every executor would write to a disk of its own.
     """
+    path = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # Spark Connect: no driver-side context here
-        path = spark.conf.get("spark.checkpoint.dir", None)
         if not path:
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster") from None
         return path
     current = sc.getCheckpointDir()
     if current:
         return current
-    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder shared by the cluster ({master})")
         path = tempfile.mkdtemp(prefix="augur-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+# this process's folder below <checkpoint dir>/tables: no other run shares it
+_run = uuid.uuid4().hex
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    run = f"{os.getpid()}-{next(_counter)}"
-    return os.path.join(base, "tables", name, run)
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/tables/{_run}/{name}-{next(_counter)}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Remove what this run wrote with ``scratch_path``. Call it when nothing
+    that reads those tables is needed any more (the command line does so at
+    its end). Returns whether there was something to remove."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{_run}")
+    return bool(folder.getFileSystem(conf).delete(folder, True))
 
 
 # itertools.count is safe to advance from concurrent job-submitting threads

@@ -10,9 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from augur.functions import clean, labels
-from augur.operators.dedup import keep_first
-from augur.operators.keys import dense_key, small_dense_key
-from augur.operators.latest import first_last_by, latest_by
+from augur.operators.keys import dense_key
+from augur.operators.latest import latest_by
 from augur.operators.reshape import conditional_aggs, wide_to_long
 from augur.operators.sequence import sequence_number
 
@@ -29,7 +28,8 @@ def skewed(spark):
 
 def test_dense_key_matches_row_number(spark, skewed):
     got = dense_key(skewed, ["g", "h", "t"], "k", num_partitions=5)
-    exp = small_dense_key(skewed, ["g", "h", "t"], "k")
+    whole = Window.orderBy("g", "h", "t")  # the literal form: one task numbers all rows
+    exp = skewed.withColumn("k", F.row_number().over(whole).cast("bigint"))
     cols = ["g", "h", "t", "v", "k"]
     assert sorted(got.select(cols).collect()) == sorted(exp.select(cols).collect())
     ks = [r["k"] for r in got.select("k").collect()]
@@ -43,22 +43,10 @@ def test_sequence_split_equals_window(skewed):
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
 
 
-def test_latest_and_first_last_equal_window_forms(skewed):
+def test_latest_equals_window_form(skewed):
     w = Window.partitionBy("g", "h").orderBy(F.col("t").desc())
     exp = skewed.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("g", "h", "v")
     assert sorted(latest_by(skewed, ["g", "h"], "t", ["v"]).collect()) == sorted(exp.collect())
-    fl = first_last_by(skewed, ["g", "h"], "t", "v")
-    w2 = Window.partitionBy("g", "h").orderBy("t")
-    first = skewed.withColumn("rn", F.row_number().over(w2)).where("rn = 1").select("g", "h", F.col("v").alias("f"))
-    got = {(r["g"], r["h"]): r["first_v"] for r in fl.collect()}
-    assert got == {(r["g"], r["h"]): r["f"] for r in first.collect()}
-
-
-def test_keep_first(skewed):
-    got = keep_first(skewed, ["g"], "t", ["g", "t", "h", "v"])
-    w = Window.partitionBy("g").orderBy("t")
-    exp = skewed.withColumn("rn", F.row_number().over(w)).where("rn = 1").select("g", "t", "h", "v")
-    assert sorted(got.select("g", "t", "h", "v").collect()) == sorted(exp.collect())
 
 
 def test_reshape_roundtrip(skewed):
@@ -85,7 +73,8 @@ def test_blank_to_null_property(spark, values):
 
 def test_scalar_helpers(spark):
     df = spark.createDataFrame(
-        [("Bachelor", "2023-01-05", 5, "Ada Lovelace"), (" PhD ", "March 15, 2023", -3, "Alan"), (None, "2023/01/05", 0, "x y")],
+        [("Bachelor", "2023-01-05", 5, "Ada Lovelace"), (" PhD ", "March 15, 2023", -3, "Alan"), (None, "2023/01/05", 0, " x y"),
+         ("", "2023", 1, "Ada\tL"), ("q", "2023-03", 1, "  "), ("q", "2023-03-05 10:00:00", 1, "\t \nb")],
         "e string, d string, n int, name string",
     )
     out = df.select(
@@ -94,14 +83,30 @@ def test_scalar_helpers(spark):
         labels.signed_points(F.col("n")).alias("p"),
         labels.first_word(F.col("name")).alias("w"),
         clean.is_complete("e").alias("c"),
+        clean.unparsable_iso_date("d").alias("bad"),
     ).collect()
     assert [tuple(r) for r in out] == [
-        ("Bachelors", "2023-01-05", "+5 pts", "Ada", True),
-        ("PhD", "2023-03-15", "-3 pts", "Alan", True),
-        (None, None, "no change", "x", False),
+        ("Bachelors", "2023-01-05", "+5 pts", "Ada", True, False),
+        ("PhD", "2023-03-15", "-3 pts", "Alan", True, True),
+        (None, "2023-01-05", "no change", "x", False, False),
+        ("", None, "+1 pts", "Ada", False, True),
+        ("q", None, "+1 pts", "", True, True),
+        ("q", "2023-03-05", "+1 pts", "b", True, False),
     ]
 
 
+def test_keys_are_dense_whatever_the_file_limit(spark, skewed):
+    """A limit on records per file splits other writes, not the ranges."""
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "100")
+    try:
+        keys = [r["k"] for r in dense_key(skewed, ["g", "h", "t"], "k", num_partitions=4).select("k").collect()]
+        a = sequence_number(skewed, ["g", "h"], ["t"], "n", num_partitions=4).select("g", "h", "t", "n").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert sorted(keys) == list(range(1, 3001))
+    assert sorted(a) == sorted(sequence_number(skewed, ["g", "h"], ["t"], "n", method="window").select("g", "h", "t", "n").collect())
+
+
 def test_sequence_keeps_null_groups(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("a", 1), ("a", 3)], "g string, t int")
     a = sequence_number(df, ["g"], ["t"], "n", method="split")
@@ -124,43 +129,17 @@ def test_dense_key_splits_a_hot_leading_key(spark, tmp_path):
     assert max(sizes) < 2000  # the hot key alone is 2000 rows: it was split
 
 
-def test_hot_group_is_split_by_aqe_skew_join(spark, skewed):
-    """With a sort-merge join forced and small skew thresholds, AQE splits
-    the hot group's partition in sequence_number's join; results unchanged."""
-    confs = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    old = {k: spark.conf.get(k, None) for k in confs}
-    try:
-        for k, v in confs.items():
-            spark.conf.set(k, v)
-        df = sequence_number(skewed, ["g"], ["t"], "n", method="split").select("g", "t", "n")
-        got = sorted(df.collect())
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin(skew=true)" in plan, plan
-    finally:
-        for k, v in old.items():
-            if v is None:
-                spark.conf.unset(k)
-            else:
-                spark.conf.set(k, v)
-    exp = sorted(sequence_number(skewed, ["g"], ["t"], "n", method="window").select("g", "t", "n").collect())
-    assert got == exp
-
-
-def test_spread_input_only_spreads_under_split_inputs(spark):
-    from augur.operators.spread import spread_input
-
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread_input(one).rdd.getNumPartitions() == cores
-    wide = spark.range(100).repartition(cores * 2)
-    assert spread_input(wide) is wide
+def test_hot_group_is_numbered_over_many_ranges(spark):
+    """One group fills several ranges: no window partition holds it whole and
+    the numbers run on from range to range."""
+    rows = [("hot", i) for i in range(2000)] + [(f"g{i % 7}", i) for i in range(500)] + [(None, 3), (None, 4)]
+    df = spark.createDataFrame(rows, "g string, t long")
+    split = sequence_number(df, ["g"], ["t"], "n", num_partitions=9)
+    key = lambda r: (r["g"] is None, r["g"] or "", r["t"])
+    exp = sequence_number(df, ["g"], ["t"], "n", method="window")
+    assert sorted(split.collect(), key=key) == sorted(exp.collect(), key=key)
+    plan = split._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "_part" in plan
 
 
 def test_exact_median_matches_percentile_on_wide_domain(spark):
