@@ -72,18 +72,30 @@ def typed_date(c: ColumnOrName) -> Column:
     return _c(c).cast("date")
 
 
-# Fixed value: the prose date layout seen in the demographics extract,
-# e.g. "March 15, 2023" (full English month name, 1- or 2-digit day).
+# An ISO date is four, two and two digits (a time may follow);
+# the layouts besides it are the prose one of the demographics extract, e.g.
+# "March 15, 2023" (full English month name, 1- or 2-digit day), and slashes.
+ISO_DATE = r"^\s*\d{4}-\d{1,2}-\d{1,2}(?:[ T].*)?\s*$"
 PROSE_DATE_FORMAT = "MMMM d, yyyy"
+SLASH_DATE_FORMAT = "yyyy/M/d"
 
 
-def parse_mixed_dates(c: ColumnOrName, formats: Sequence[str] = (PROSE_DATE_FORMAT,)) -> Column:
+def iso_date(c: ColumnOrName) -> Column:
+    """Text in full ISO shape as a date, else NULL: Spark's cast alone also
+    takes a bare year or year and month."""
+    col = _c(c)
+    return F.when(col.rlike(ISO_DATE), col.try_cast("date"))
+
+
+def parse_mixed_dates(
+    c: ColumnOrName, formats: Sequence[str] = (SLASH_DATE_FORMAT, PROSE_DATE_FORMAT)
+) -> Column:
     """COALESCE(TRY_CAST(s AS DATE), TRY_TO_DATE(s, fmt), ...)."""
     col = _c(c)
-    return F.coalesce(col.try_cast("date"), *[F.try_to_date(col, f) for f in formats])
+    return F.coalesce(iso_date(col), *[F.try_to_date(col, f) for f in formats])
 
 
 def unparsable_iso_date(c: ColumnOrName) -> Column:
-    """TRUE when text is present but is not an ISO date (Q3 detector)."""
+    """TRUE when text is present but is not a date in ISO or slash shape (Q3 detector)."""
     col = _c(c)
-    return col.isNotNull() & col.try_cast("date").isNull()
+    return col.isNotNull() & F.coalesce(iso_date(col), F.try_to_date(col, SLASH_DATE_FORMAT)).isNull()

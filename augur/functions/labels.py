@@ -21,12 +21,15 @@ def question_label(qid: Column, text: Column, width: int = LABEL_TEXT_CHARS) ->
     return F.concat(qid, F.lit(LABEL_SEP), F.substring(text, 1, width), F.lit(LABEL_ELLIPSIS))
 
 
-def first_word(name: Column, sep: str = " ") -> Column:
-    """First token of a name."""
-    return F.split_part(name, F.lit(sep), F.lit(1))
+def first_word(name: Column, sep: str | None = None) -> Column:
+    """First token of a name (F18), split on any white space, leading one
+    ignored; '' for a blank name. With ``sep``, what comes before it."""
+    if sep is not None:
+        return F.split_part(name, F.lit(sep), F.lit(1))
+    return F.regexp_extract(name, r"(\S+)", 1)
 
 
-def pair_label(name: Column, qid: Column, sep: str = " ") -> Column:
+def pair_label(name: Column, qid: Column, sep: str | None = None) -> Column:
     """``first word of name + ' / ' + question id``."""
     return F.concat(first_word(name, sep), F.lit(PAIR_SEP), qid)
 
@@ -40,7 +43,3 @@ def signed_points(delta: Column) -> Column:
         .otherwise(F.lit(NO_CHANGE))
     )
 
-
-def title_case(c: Column) -> Column:
-    """Capitalise a category name."""
-    return F.initcap(c)
