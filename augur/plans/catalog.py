@@ -15,30 +15,42 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from augur.functions import clean, dates
+from augur.functions import clean, labels
 from augur.functions.text import text_digest
 from augur.operators.keys import dense_key
 from augur.operators.median import exact_median
 from augur.operators.sequence import sequence_number
-from augur.operators.spread import spread_input
-from augur.plans import derived, marts, quality
+from augur.plans import derived, marts, model, quality
 from augur.session import scratch_path
 from augur.sources import csv as csv_src
 from augur.sources import schemas, sinks
-from augur.sources.tables import forecasters, forecasts, read_table
+from augur.sources.tables import (
+    PROSE_STATUS,
+    forecaster_profiles,
+    forecasters,
+    forecasts,
+    raw_demographics,
+    raw_forecasts,
+    read_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Fixed values of the driver mapping: three forecaster types compared side by
-# side (prefixes a, b, c), the vocabulary repair and accepted set, and the
-# separator inside customer names.
-CATEGORIES = [("a", "BUILDING"), ("b", "MACHINERY"), ("c", "FURNITURE")]
+# Fixed values of the driver mapping: the forecaster types compared side by
+# side (all five, with column prefixes), the vocabulary repair and accepted
+# set, and the separator inside customer names.
+CATEGORIES = [("a", "BUILDING"), ("b", "MACHINERY"), ("c", "FURNITURE"), ("d", "AUTOMOBILE"), ("e", "HOUSEHOLD")]
 SLICE_TYPE = "BUILDING"
 SEGMENT_VOCAB = {"MACHINERY": "MACHINES"}
 ACCEPTED_SEGMENTS = ["BUILDING", "MACHINERY"]
 NAME_SEP = "#"
-# orders in status F carry their date as prose text, the rest as ISO text
-PROSE_STATUS = "F"
+
+
+def _stored(spark, df, name):
+    """``df`` written to the shared scratch folder and read back."""
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def _fact(spark, d):
@@ -58,11 +70,12 @@ def _dims(spark, d):
 # ---------------------------------------------------------------- marts
 
 def q_question_summary(spark, d):
-    return marts.question_summary(_fact(spark, d))
+    return marts.question_summary(_unchecked(spark, d), known=_dims(spark, d))
 
 
 def q_latest_forecast(spark, d):
-    return marts.latest_forecasts(_fact(spark, d)).select("forecaster_sk", "question_id", "prediction")
+    latest = marts.latest_forecasts(_unchecked(spark, d), known=_dims(spark, d))
+    return latest.select("forecaster_sk", "question_id", "prediction")
 
 
 def q_update_sequence(spark, d):
@@ -82,8 +95,12 @@ def q_belief_revision(spark, d):
     return marts.belief_revision(_unchecked(spark, d), _dims(spark, d))
 
 
+def q_type_counts(spark, d):
+    return marts.type_counts(_unchecked(spark, d), _dims(spark, d))
+
+
 def q_belief_revision_windowed(spark, d):
-    return marts.belief_revision_windowed(_unchecked(spark, d), _dims(spark, d))
+    return marts.numbered_revision(_unchecked(spark, d), _dims(spark, d))
 
 
 def q_calibration_unpivot(spark, d):
@@ -92,7 +109,7 @@ def q_calibration_unpivot(spark, d):
 
 
 def q_belief_revision_chrono(spark, d):
-    return marts.belief_revision_chrono(_fact(spark, d))
+    return marts.belief_revision_chrono(_unchecked(spark, d), _dims(spark, d))
 
 
 def q_calibration_spread(spark, d):
@@ -108,7 +125,8 @@ def q_engagement(spark, d):
 
 
 def q_engagement_profile(spark, d):
-    return marts.engagement(_unchecked(spark, d), _dims(spark, d)).drop("min_prediction", "max_prediction")
+    eng = marts.engagement(_unchecked(spark, d), forecaster_profiles(spark, d))
+    return eng.drop("min_prediction", "max_prediction")
 
 
 def q_median_wide_domain(spark, d):
@@ -136,34 +154,89 @@ def q_hypothesis_check(spark, d):
 
 
 def q_experience_vs_avg(spark, d):
-    return derived.experience_vs_avg(marts.engagement(_unchecked(spark, d), _dims(spark, d)))
+    return derived.experience_vs_avg(marts.engagement(_unchecked(spark, d), _dims(spark, d)), NAME_SEP)
 
 
 def q_top_forecaster(spark, d):
     return derived.top_forecaster(marts.engagement(_unchecked(spark, d), _dims(spark, d)))
 
 
+def _summary(spark, d):
+    return q_question_summary(spark, d)
+
+
 def q_question_extremes(spark, d):
-    return derived.question_extremes(marts.question_summary(_fact(spark, d)))
+    return derived.question_extremes(_summary(spark, d))
 
 
 def q_question_label(spark, d):
-    return derived.question_label(marts.question_summary(_fact(spark, d)))
+    return derived.question_label(_summary(spark, d))
 
 
 def q_kpi_header(spark, d):
-    fact, raw, dims = _fact(spark, d), _unchecked(spark, d), _dims(spark, d)
+    """The fact is read once: all three marts come from the written pairs."""
+    dims = _dims(spark, d)
+    pairs = _stored(spark, marts.pair_predictions(_unchecked(spark, d), dims), "pair_predictions")
     return derived.kpi_header(
-        marts.question_summary(fact), marts.engagement(raw, dims), marts.belief_revision(raw, dims)
+        marts.question_summary(pairs), marts.engagement(pairs, dims), marts.belief_revision(pairs, dims)
     )
 
 
 def q_coverage_gaps(spark, d):
-    return derived.coverage_gaps(_fact(spark, d), _dims(spark, d))
+    dims = _dims(spark, d)
+    pairs = _stored(spark, marts.pair_predictions(_unchecked(spark, d), dims), "pair_predictions")
+    return derived.coverage_gaps(pairs, dims)
 
 
 def q_presentation_projection(spark, d):
-    return derived.presentation_projection(marts.question_summary(_fact(spark, d)))
+    return derived.presentation_projection(_summary(spark, d))
+
+
+def q_display_types(spark, d):
+    return derived.display(q_type_comparison(spark, d), derived.TYPE_TABLE)
+
+
+def q_display_revisions(spark, d):
+    return derived.display(q_belief_revision(spark, d), derived.REVISION_TABLE)
+
+
+def q_display_calibration(spark, d):
+    return derived.calibration_table(q_calibration_spread(spark, d), {p: t.title() for p, t in CATEGORIES})
+
+
+def q_display_profiles(spark, d):
+    return derived.display(q_engagement_profile(spark, d), derived.PROFILE_TABLE)
+
+
+def q_ordered_summary(spark, d):
+    return derived.ordered_summary(_summary(spark, d))
+
+
+def q_ordered_engagement(spark, d):
+    return derived.ordered_engagement(q_engagement(spark, d))
+
+
+def q_ordered_revisions(spark, d):
+    return derived.ordered_revisions(q_belief_revision(spark, d))
+
+
+def q_ascending_medians(spark, d):
+    return derived.ascending(q_question_label(spark, d).join(_summary(spark, d).select("question_id", "median_prediction"), "question_id"), "median_prediction", "question_id")
+
+
+def q_ascending_revisions(spark, d):
+    return derived.ascending(q_belief_revision(spark, d), "net_revision", "forecaster_sk", "question_id")
+
+
+def q_ascending_engagement(spark, d):
+    return derived.ascending(q_engagement(spark, d), "total_submissions", "forecaster_sk")
+
+
+def q_name_labels(spark, d):
+    """F18 on real names with leading blanks and tabs around their parts."""
+    p = read_table(spark, d, "part")
+    padded = F.concat(F.lit(" \t"), F.translate("p_name", " ", "\t"), F.lit(" "))
+    return p.select("p_partkey", labels.first_word(padded).alias("first"), labels.first_word(F.col("p_name")).alias("plain"))
 
 
 # ---------------------------------------------------------------- model build
@@ -180,31 +253,21 @@ def q_is_active_flag(spark, d):
     )
 
 
-def q_dim_forecasters(spark, d):
-    c = read_table(spark, d, "customer").select("c_custkey", "c_name")
-    pre = read_table(spark, d, "events").groupBy(F.col("user_id").alias("c_custkey")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("event_type").alias("last_type")
-    )
-    keyed = dense_key(c.join(pre, "c_custkey", "left"), ["c_custkey"], "forecaster_sk")
-    return keyed.select(
-        "forecaster_sk", "c_custkey", "c_name", F.col("n").isNotNull().alias("is_active"), "last_type"
-    )
+def _dim_forecasters(spark, d):
+    return model.dim_forecasters(raw_forecasts(spark, d), raw_demographics(spark, d), SEGMENT_VOCAB)
 
 
-def _question_keys(spark, d):
-    q = read_table(spark, d, "events").groupBy(F.col("event_type").alias("question_id")).agg(
-        F.max(F.upper("event_type")).alias("question_text")
-    )
-    return dense_key(q, ["question_id"], "question_sk")
+def q_dim_forecasters(spark, d):
+    return _dim_forecasters(spark, d)
 
 
 def q_dim_questions(spark, d):
-    return _question_keys(spark, d).select("question_sk", "question_id", "question_text")
+    return model.dim_questions(raw_forecasts(spark, d))
 
 
 def _dim_date(spark, d):
-    days = read_table(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("date_day")).distinct()
-    return days.select("date_day", *dates.date_parts(F.col("date_day")))
+    days = read_table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("ts"))
+    return model.dim_date(days, "ts")
 
 
 def q_dim_date(spark, d):
@@ -216,27 +279,18 @@ def _supplier_keys(spark, d):
 
 
 def q_bridge_tags(spark, d):
-    li = read_table(spark, d, "lineitem").select("l_suppkey", "l_partkey")
-    part = read_table(spark, d, "part").select(
-        F.col("p_partkey").alias("l_partkey"), clean.normalize_tag("p_brand").alias("tag")
-    )
-    pairs = li.join(part, "l_partkey").select("l_suppkey", "tag").distinct()
-    sk = _supplier_keys(spark, d).select(F.col("s_suppkey").alias("l_suppkey"), F.col("sk").alias("question_sk"))
-    return pairs.join(sk, "l_suppkey").select("question_sk", "tag")
+    """Suppliers as questions, the brands of their parts as tags. The
+    (supplier, part) pairs are distinct before the parts' text joins."""
+    li = read_table(spark, d, "lineitem").select("l_suppkey", "l_partkey").distinct()
+    part = read_table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("tag"))
+    tags = li.join(part, "l_partkey").select(F.col("l_suppkey").alias("question_id"), "tag")
+    questions = _supplier_keys(spark, d).select(F.col("s_suppkey").alias("question_id"), F.col("sk").alias("question_sk"))
+    return model.bridge_question_tags(tags, questions)
 
 
 def q_fct_build(spark, d):
-    e = read_table(spark, d, "events")
-    known = read_table(spark, d, "customer").select(F.col("c_custkey").alias("user_id"))
-    qk = _question_keys(spark, d).select(F.col("question_id").alias("event_type"), "question_sk")
-    return e.join(known, "user_id", "left_semi").join(qk, "event_type").select(
-        "event_id",
-        F.col("user_id").alias("forecaster_sk"),
-        "question_sk",
-        F.col("ts").alias("forecast_timestamp"),
-        F.floor("value").cast("int").alias("prediction"),
-        F.col("ts").cast("date").alias("date_day"),
-    )
+    forecasters_, questions = _dim_forecasters(spark, d), q_dim_questions(spark, d)
+    return model.fct_forecasts(raw_forecasts(spark, d), forecasters_, questions)
 
 
 def q_surrogate_key_fact(spark, d):
@@ -304,6 +358,17 @@ def q_parse_mixed_dates(spark, d):
     return _mixed_dates(spark, d).select("o_orderkey", clean.parse_mixed_dates("t").alias("d"))
 
 
+def q_partial_dates(spark, d):
+    """F9 guards: an order's date cut to its year or month isn't a date, one
+    with slashes is, by order status."""
+    o = read_table(spark, d, "orders")
+    layouts = {"F": "yyyy", "O": "yyyy-MM", "P": "yyyy/MM/dd"}
+    text = F.coalesce(*[F.when(F.col("o_orderstatus") == k, F.date_format("o_orderdate", f)) for k, f in layouts.items()])
+    return o.select("o_orderkey", text.alias("t")).select(
+        "o_orderkey", clean.parse_mixed_dates("t").alias("d"), clean.unparsable_iso_date("t").alias("bad")
+    )
+
+
 # ---------------------------------------------------------------- data quality
 
 def _doc_rows(spark, d):
@@ -352,11 +417,8 @@ def q_dq_orphans(spark, d):
 
 
 def _words(spark, d):
-    # regex word split + explode of every text is the CPU-heavy part: spread
-    # an under-split scan over all cores first (no-op for large inputs)
-    docs = spread_input(read_table(spark, d, "documents").select("text"))
-    w = docs.select(F.explode(F.split("text", r"\s+")).alias("w"))
-    return w.where(F.col("w") != "")
+    docs = read_table(spark, d, "documents").select("text")
+    return docs.select(F.explode(F.split("text", r"\s+")).alias("w")).where(F.col("w") != "")
 
 
 def q_dq_case_variants(spark, d):
@@ -375,23 +437,36 @@ def q_dq_model_reconciliation(spark, d):
     """Raw extracts against the built model: events vs fact rows, lineitem
     (supplier, part) rows vs bridge pairs."""
     return quality.model_reconciliation(
-        read_table(spark, d, "events"), q_fct_build(spark, d),
+        raw_forecasts(spark, d), q_fct_build(spark, d),
         read_table(spark, d, "lineitem"), q_bridge_tags(spark, d),
     )
 
 
 def q_dq_issue_register(spark, d):
+    """Documents are read twice: once for copies, conflicts and blanks (one
+    aggregate on digest, language and source), once for their words."""
     cust = read_table(spark, d, "customer")
-    dup = quality.exact_duplicates(_doc_rows(spark, d), ["text_h", "lang", "source"], "doc_id")
-    frag = _fragments(spark, d)
+    blanks = F.size(F.filter(F.split("text", r"\."), lambda x: F.trim(x) == "")).cast("long")
+    docs = read_table(spark, d, "documents").select(text_digest("text").alias("text_h"), "lang", "source", blanks.alias("blanks"))
+    versions = docs.groupBy("text_h", "lang", "source").agg(F.count(F.lit(1)).alias("copies"), F.sum("blanks").alias("blanks"))
+    texts = versions.groupBy("text_h").agg(
+        F.sum(F.col("copies") - 1).alias("copies"),
+        F.count(F.lit(1)).alias("versions"),
+        F.sum("blanks").alias("blanks"),
+    )
+    found = texts.agg(
+        F.sum("copies").alias("copies"), F.count_if(F.col("versions") > 1).alias("conflicts"), F.sum("blanks").alias("blanks")
+    )
+    documents = quality.issues(
+        found,
+        [
+            ("copies", "high", "documents", "*", "exact duplicate rows", "keep one row per group"),
+            ("conflicts", "high", "documents", "text", "same text, different attributes", "pick a survivor by a total order"),
+            ("blanks", "medium", "documents", "text", "blank text standing for NULL", "NULLIF(TRIM(x), '')"),
+        ],
+    )
     issues = [
-        quality.issue(dup, F.sum(F.col("copies") - 1), "high", "documents", "*",
-                      "exact duplicate rows", "keep one row per group"),
-        quality.issue(quality.conflicting_duplicates(_doc_rows(spark, d).drop("doc_id"), ["text_h"]),
-                      F.count(F.lit(1)), "high", "documents", "text", "same text, different attributes",
-                      "pick a survivor by a total order"),
-        quality.issue(frag, F.count_if(F.trim("frag") == ""), "medium", "documents", "text",
-                      "blank text standing for NULL", "NULLIF(TRIM(x), '')"),
+        documents,
         quality.issue(_mixed_dates(spark, d), F.count_if(clean.unparsable_iso_date("t")), "medium",
                       "orders", "o_orderdate", "mixed date formats", "COALESCE of typed parses"),
         quality.issue(quality.vocab_violations(cust, "c_mktsegment", ACCEPTED_SEGMENTS), F.sum("n"),
@@ -419,7 +494,17 @@ def _csv_copy(spark, d, table, name):
 def q_scan_csv_strings(spark, d):
     path = _csv_copy(spark, d, "customer", "csv_customer")
     schema = schemas.all_strings("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
-    return csv_src.scan_csv_strings(spark, path, schema).select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return csv_src.scan_csv_strings(spark, path, schema)
+
+
+def q_scan_csv_quoted(spark, d):
+    """Cells with commas (prose dates) are quoted, and empty cells
+    (the date of open orders) become NULL."""
+    o = _mixed_dates(spark, d).join(read_table(spark, d, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority"), "o_orderkey")
+    path = scratch_path(spark, "csv_orders")
+    cells = o.select("o_orderkey", F.when(F.col("o_orderstatus") != "O", F.col("t")).alias("o_date"), "o_orderpriority")
+    cells.write.mode("overwrite").option("header", True).csv(path)
+    return csv_src.scan_csv_strings(spark, path, schemas.all_strings("o_orderkey", "o_date", "o_orderpriority"))
 
 
 # Raw extracts written from driver tables for the multi-source load.

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from augur.functions.labels import pair_label, question_label as _qlabel, signed_points
+from augur.functions.labels import first_word, pair_label, question_label as _qlabel, signed_points
+from augur.plans.marts import FACT_KEY, pair_predictions
 
 
 def kpi_header(summary: DataFrame, engagement: DataFrame, revisions: DataFrame) -> DataFrame:
@@ -51,13 +52,64 @@ def question_label(summary: DataFrame, width: int = 62) -> DataFrame:
     )
 
 
+# The display tables' columns and headings, in order.
+SUMMARY_TABLE = {
+    "question_id": "ID",
+    "question_text": "Question",
+    "forecaster_count": "Forecasters",
+    "median_prediction": "Median %",
+    "mean_prediction": "Mean %",
+    "stddev_prediction": "Std Dev",
+    "min_prediction": "Min %",
+    "max_prediction": "Max %",
+}
+TYPE_TABLE = {
+    "forecaster_type": "Type",
+    "forecaster_count": "Forecasters",
+    "total_forecasts": "Total Forecasts",
+    "avg_prediction": "Avg %",
+    "median_prediction": "Median %",
+    "prediction_stddev": "Std Dev",
+}
+REVISION_TABLE = {
+    "forecaster_name": "Forecaster",
+    "forecaster_type": "Type",
+    "question_id": "Question",
+    "first_prediction": "First %",
+    "last_prediction": "Last %",
+    "net_revision": "Net Change",
+    "total_submissions": "Submissions",
+}
+PROFILE_TABLE = {
+    "forecaster_name": "Name",
+    "forecaster_type": "Type",
+    "years": "Exp (yrs)",
+    "education_level": "Education",
+    "country": "Country",
+    "questions_covered": "Questions",
+    "total_submissions": "Submissions",
+    "avg_prediction": "Avg %",
+}
+CALIBRATION_AVG, CALIBRATION_SD = "{} Avg", "{} \u03c3"
+
+
+def display(mart: DataFrame, headings: dict[str, str]) -> DataFrame:
+    """A mart's display columns under their headings."""
+    return mart.select(*[F.col(c).alias(h) for c, h in headings.items()])
+
+
 def presentation_projection(summary: DataFrame) -> DataFrame:
-    """Column subset renamed for display."""
-    return summary.select(
-        F.col("question_id").alias("ID"),
-        F.col("forecaster_count").alias("Forecasters"),
-        F.col("median_prediction").alias("Median"),
-    )
+    """The question table."""
+    return display(summary, SUMMARY_TABLE)
+
+
+def calibration_table(spread: DataFrame, names: dict[str, str], sd_suffix: str = "sd") -> DataFrame:
+    """The calibration table; ``names`` gives each prefix's display name."""
+    headings = {"question_id": "Question"}
+    for prefix, name in names.items():
+        headings[f"{prefix}_avg"] = CALIBRATION_AVG.format(name)
+        headings[f"{prefix}_{sd_suffix}"] = CALIBRATION_SD.format(name)
+    return display(spread, headings)
 
 
 def revision_counts(revisions: DataFrame) -> DataFrame:
@@ -70,7 +122,7 @@ def revision_counts(revisions: DataFrame) -> DataFrame:
     )
 
 
-def revision_label(revisions: DataFrame, name_sep: str = " ") -> DataFrame:
+def revision_label(revisions: DataFrame, name_sep: str | None = None) -> DataFrame:
     """``<first name> / <question>`` and ``+5 pts`` text."""
     return revisions.select(
         "forecaster_sk",
@@ -92,10 +144,15 @@ def hypothesis_check(
     )
 
 
-def experience_vs_avg(engagement: DataFrame) -> DataFrame:
-    """Experience against average prediction and volume."""
+def experience_vs_avg(engagement: DataFrame, name_sep: str | None = None) -> DataFrame:
+    """Experience against average prediction and volume, with the
+    first word of the name as label."""
     return engagement.na.drop(subset=["years"]).select(
-        "years", "avg_prediction", "total_submissions", "forecaster_type"
+        "years",
+        "avg_prediction",
+        "total_submissions",
+        "forecaster_type",
+        first_word(F.col("forecaster_name"), name_sep).alias("label"),
     )
 
 
@@ -116,16 +173,21 @@ def ordered_revisions(revisions: DataFrame) -> DataFrame:
     )
 
 
+def ascending(mart: DataFrame, column: str, *ties: str) -> DataFrame:
+    """A mart from its least to its greatest ``column`` (ties by the named columns)."""
+    return mart.orderBy(F.col(column).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in ties])
+
+
 def top_forecaster(engagement: DataFrame) -> DataFrame:
     """Highest volume, ties broken by the smaller id (top-1 report)."""
     return (
         engagement.orderBy(F.col("total_submissions").desc(), F.col("forecaster_sk").asc())
         .limit(1)
-        .select("forecaster_sk", "total_submissions")
+        .select("forecaster_sk", "forecaster_name", "forecaster_type", "total_submissions", "questions_covered")
     )
 
 
-def coverage_gaps(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
+def coverage_gaps(fact: DataFrame, forecasters: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Per question, how many forecasters answered it against how many
     are active (have any forecast) and registered (in the dimension);
     ``has_gap`` marks questions answered by fewer than all active ones.
@@ -133,12 +195,13 @@ def coverage_gaps(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     Counts, not pairs: the missing (forecaster, question) pairs are never
     enumerated, so nothing grows with forecasters x questions.
     """
-    active = fact.agg(F.count_distinct("forecaster_sk")).scalar()
+    pairs = pair_predictions(fact, known).select(*FACT_KEY).distinct()
+    active = pairs.agg(F.count_distinct("forecaster_sk")).scalar()
     registered = forecasters.agg(F.count(F.lit(1))).scalar()
     covered = F.col("covered")
     return (
-        fact.groupBy("question_id")
-        .agg(F.count_distinct("forecaster_sk").alias("covered"))
+        pairs.groupBy("question_id")
+        .agg(F.count("forecaster_sk").alias("covered"))
         .select(
             "question_id",
             "covered",

@@ -1,9 +1,10 @@
 """Gold layer: every mart computed once from the model and written, the
 dashboard roll-ups computed from the written marts (SURVEY §3.3, §4.1).
 
-silver/latest_forecasts   latest prediction per (forecaster, question),
-                          shared by the type comparison and both calibration
-                          marts instead of being recomputed by each
+silver/pair_predictions   counts and times per (forecaster, question,
+                          prediction): the only job that reads the fact
+silver/latest_forecasts   latest prediction per (forecaster, question), for
+                          the type comparison and both calibration marts
 gold/<mart>               U6-U14, written as concurrent jobs
 gold/<roll-up>            U15-U18, U21, read only the written marts
 """
@@ -50,24 +51,29 @@ def build_gold(
     fact, forecasters = mart_inputs(tables)
     read = lambda name: spark.read.parquet(os.path.join(gold_dir, name))
 
-    counts = _write_concurrently(spark, {"latest_forecasts": lambda: marts.latest_forecasts(fact)}, gold_dir)
+    counts = _write_concurrently(spark, {"pair_predictions": lambda: marts.pair_predictions(fact)}, gold_dir)
+    pairs = read("pair_predictions")
+    counts.update(
+        _write_concurrently(spark, {"latest_forecasts": lambda: marts.latest_forecasts(pairs)}, gold_dir)
+    )
     latest = read("latest_forecasts")
     counts.update(
         _write_concurrently(
             spark,
             {
-                "question_summary": lambda: marts.question_summary(fact),
-                "type_comparison": lambda: marts.type_comparison(fact, forecasters, latest),
-                "belief_revision": lambda: marts.belief_revision(fact, forecasters),
-                "belief_revision_chrono": lambda: marts.belief_revision_chrono(fact),
+                "question_summary": lambda: marts.question_summary(pairs),
+                "type_comparison": lambda: marts.type_comparison(pairs, forecasters, latest),
+                "type_counts": lambda: marts.type_counts(pairs, forecasters, latest),
+                "belief_revision": lambda: marts.belief_revision(pairs, forecasters),
+                "belief_revision_chrono": lambda: marts.belief_revision_chrono(pairs, forecasters),
                 "calibration_spread": lambda: marts.calibration_spread(
-                    fact, forecasters, types, "stddev", latest
+                    pairs, forecasters, types, "stddev", latest
                 ),
                 "calibration_long": lambda: marts.calibration_long(
-                    fact, forecasters, [t for _, t in types], latest
+                    pairs, forecasters, [t for _, t in types], latest
                 ),
-                "engagement": lambda: marts.engagement(fact, forecasters),
-                "coverage_gaps": lambda: derived.coverage_gaps(fact, forecasters),
+                "engagement": lambda: marts.engagement(pairs, forecasters),
+                "coverage_gaps": lambda: derived.coverage_gaps(pairs, forecasters),
             },
             gold_dir,
         )
@@ -102,9 +108,19 @@ def register_views(spark: SparkSession, model_dir: str, gold_dir: str | None = N
     for t in MODEL_TABLES:
         spark.read.parquet(os.path.join(model_dir, t)).createOrReplaceTempView(t)
         names.append(t)
-    if gold_dir and os.path.isdir(gold_dir):
-        for t in sorted(os.listdir(gold_dir)):
-            if os.path.isdir(os.path.join(gold_dir, t)) and not t.startswith(("_", ".")):
-                spark.read.parquet(os.path.join(gold_dir, t)).createOrReplaceTempView(t)
-                names.append(t)
+    if gold_dir:
+        for t in _folders(spark, gold_dir):
+            spark.read.parquet(os.path.join(gold_dir, t)).createOrReplaceTempView(t)
+            names.append(t)
     return names
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the table folders under ``path``, on whatever file system."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(conf)
+    if not fs.exists(folder):
+        return []
+    found = [s for s in fs.listStatus(folder) if s.isDirectory()]
+    return sorted(n for s in found if not (n := s.getPath().getName()).startswith(("_", ".")))

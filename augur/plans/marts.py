@@ -2,13 +2,19 @@
 
 Fact columns:       forecaster_sk, question_id, question_text, prediction,
                     forecast_timestamp
-Forecaster columns: forecaster_sk, forecaster_name, forecaster_type, years
-
-Plan shape, for every mart: aggregate the fact first (map-side partial
-aggregation, so few or hot groups are cheap), then join the forecaster
-attributes onto the much smaller aggregate. Joins carry no broadcast hint:
-AQE broadcasts the dimension only when its measured size is under the
-threshold and keeps a sort-merge join otherwise.
+Forecaster columns: forecaster_sk, forecaster_name, forecaster_type, years,
+                    and where there are any forecaster_id, education_level,
+                    country
+
+Every mart reads the fact once, through ``pair_predictions``: counts and first
+and last times per (forecaster, question, prediction), a map-side aggregate.
+Predictions are whole percentages, so a pair has at most 101 such rows however
+often it was updated, and the table serves all marts: latest and first
+predictions, extremes, sums, and exact medians (a percentile weighted by the
+counts). Each function takes the fact or that table, so a caller may compute
+and write it once. Forecaster attributes join the aggregate, never the fact.
+Joins carry no broadcast hint: AQE broadcasts the dimension only when its
+measured size is under the threshold and keeps a sort-merge join otherwise.
 """
 
 from __future__ import annotations
@@ -20,9 +26,11 @@ from pyspark.sql import functions as F
 
 from augur.operators.latest import latest_by
 from augur.operators.reshape import conditional_aggs, wide_to_long
+from augur.operators.sequence import sequence_number
 
 FACT_KEY = ["forecaster_sk", "question_id"]
 TS = "forecast_timestamp"
+PAIR_COLUMNS = ["n", "first_ts", "last_ts"]
 
 # Revision direction labels.
 UP, DOWN, SAME = "revised up", "revised down", "no change"
@@ -32,43 +40,72 @@ def _r1(c):
     return F.round(c, 1)
 
 
-def with_distinct_count(
-    df: DataFrame, keys: Sequence[str], distinct_col: str, name: str, aggs: Sequence
-) -> DataFrame:
-    """``groupBy(keys).agg(count(DISTINCT distinct_col) AS name, *aggs)``.
-
-    Spark plans a distinct count beside other aggregates by first grouping on
-    (keys, distinct_col) and computing every other aggregate there; a
-    percentile then keeps one object buffer per (key, distinct value) and
-    falls back to sort-based aggregation. Computing the distinct count on its
-    own (distinct pairs, then a count) and joining the two per-key results
-    keeps both aggregates hash-based and shuffles only fixed-width rows.
+def pair_predictions(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """Counts (n), first and last time of every prediction of every
+    (forecaster, question). Given that table, it is returned as it is.
+    ``known`` (forecaster_sk) drops forecasts of unknown forecasters, after
+    the aggregation."""
+    pairs = fact
+    if not set(PAIR_COLUMNS) <= set(fact.columns):
+        pairs = fact.groupBy(*FACT_KEY, "question_text", "prediction").agg(
+            F.count(F.lit(1)).alias("n"), F.min(TS).alias("first_ts"), F.max(TS).alias("last_ts")
+        )
+    return pairs if known is None else pairs.join(known.select("forecaster_sk"), "forecaster_sk", "left_semi")
+
+
+def weighted_profile(df: DataFrame, keys: Sequence[str], value: str, weight: str, members: str) -> DataFrame:
+    """Per ``keys``: rows (sum of ``weight``), distinct ``members`` and the
+    exact median, mean, stddev, min and max of whole-number ``value``.
+
+    One pass: counts per (keys, member, value), of which a member's first is
+    marked (at most 101 rows a window for percentages), then per (keys, value),
+    then per keys. So neither a distinct count beside a percentile nor a join
+    of the two is needed, and the percentile buffer has one entry a value.
     """
-    stats = df.groupBy(*keys).agg(*aggs)
+    first = F.row_number().over(Window.partitionBy(*keys, members).orderBy(value)) == 1
     counts = (
-        df.where(F.col(distinct_col).isNotNull())
-        .select(*keys, distinct_col)
-        .distinct()
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias(name))
+        df.groupBy(*keys, members, value)
+        .agg(F.sum(weight).alias("_n"))
+        .withColumn("_first", F.when(F.col(members).isNotNull() & first, 1).otherwise(0))
+        .groupBy(*keys, value)
+        .agg(F.sum("_n").alias("_n"), F.sum("_first").alias("_first"))
+    )
+    v = F.col(value).cast("decimal(20,0)")
+    n = F.when(F.col(value).isNotNull(), F.col("_n"))
+    out = counts.groupBy(*keys).agg(
+        F.sum("_first").alias("members"),
+        F.sum("_n").alias("rows"),
+        F.percentile(value, F.lit(0.5), F.col("_n")).alias("median"),
+        F.sum(n).alias("_n"),
+        F.sum(v * n).cast("double").alias("_s"),
+        F.sum(v * v * n).cast("double").alias("_q"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
     )
-    s, c = stats.alias("_s"), counts.alias("_c")
-    cond = [F.col(f"_s.{k}").eqNullSafe(F.col(f"_c.{k}")) for k in keys]
-    return s.join(c, cond, "left").select(
-        *[F.col(f"_s.{k}") for k in keys],
-        F.coalesce(F.col(f"_c.{name}"), F.lit(0)).alias(name),
-        *[F.col(f"_s.{c}") for c in stats.columns if c not in keys],
+    spread = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1)
+    return out.select(
+        *keys,
+        "members",
+        "rows",
+        "median",
+        (F.col("_s") / F.col("_n")).alias("mean"),
+        F.when(F.col("_n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("stddev"),
+        "min",
+        "max",
     )
 
 
-def question_summary(fact: DataFrame, with_stddev: bool = True, approximate: bool = False) -> DataFrame:
+def question_summary(
+    fact: DataFrame, with_stddev: bool = True, approximate: bool = False, known: DataFrame | None = None
+) -> DataFrame:
     """Per question, distinct forecasters and the prediction profile.
 
-    ``approximate=True`` trades exactness for one single-pass aggregate:
-    HyperLogLog++ for the distinct count (about 1% relative error) and
-    ``percentile_approx`` for the median (a data value within 1/10000 of the
-    rank, not the interpolated midpoint). The default is exact.
+    ``approximate=True`` trades exactness for one single-pass aggregate over
+    the fact itself: HyperLogLog++ for the distinct count (about 1% relative
+    error) and ``percentile_approx`` for the median (a data value within
+    1/10000 of the rank, not the interpolated midpoint). The default is exact.
     """
+    keys = ["question_id", "question_text"]
     if approximate:
         aggs = [
             F.approx_count_distinct("forecaster_sk", 0.01).alias("forecaster_count"),
@@ -78,22 +115,22 @@ def question_summary(fact: DataFrame, with_stddev: bool = True, approximate: boo
         if with_stddev:
             aggs.append(_r1(F.stddev_samp("prediction")).alias("stddev_prediction"))
         aggs += [F.min("prediction").alias("min_prediction"), F.max("prediction").alias("max_prediction")]
-        return fact.groupBy("question_id", "question_text").agg(*aggs)
-    aggs = [
-        _r1(F.median("prediction")).alias("median_prediction"),
-        _r1(F.avg("prediction")).alias("mean_prediction"),
-    ]
-    if with_stddev:
-        aggs.append(_r1(F.stddev_samp("prediction")).alias("stddev_prediction"))
-    aggs += [F.min("prediction").alias("min_prediction"), F.max("prediction").alias("max_prediction")]
-    return with_distinct_count(
-        fact, ["question_id", "question_text"], "forecaster_sk", "forecaster_count", aggs
+        return fact.groupBy(*keys).agg(*aggs)
+    profile = weighted_profile(pair_predictions(fact, known), keys, "prediction", "n", "forecaster_sk")
+    return profile.select(
+        *keys,
+        F.col("members").alias("forecaster_count"),
+        _r1("median").alias("median_prediction"),
+        _r1("mean").alias("mean_prediction"),
+        *([_r1("stddev").alias("stddev_prediction")] if with_stddev else []),
+        F.col("min").alias("min_prediction"),
+        F.col("max").alias("max_prediction"),
     )
 
 
-def latest_forecasts(fact: DataFrame) -> DataFrame:
+def latest_forecasts(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Each forecaster's most recent prediction per question."""
-    return latest_by(fact, FACT_KEY, TS, ["prediction"])
+    return latest_by(pair_predictions(fact, known), FACT_KEY, "last_ts", ["prediction"])
 
 
 def latest_with_type(
@@ -108,121 +145,106 @@ def type_comparison(
     fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None
 ) -> DataFrame:
     """U8: forecaster types compared on their latest forecasts."""
-    aggs = [
-        F.count(F.lit(1)).alias("total_forecasts"),
-        _r1(F.avg("prediction")).alias("avg_prediction"),
-        _r1(F.median("prediction")).alias("median_prediction"),
-        _r1(F.stddev_samp("prediction")).alias("prediction_stddev"),
-    ]
-    return with_distinct_count(
-        latest_with_type(fact, forecasters, latest), ["forecaster_type"], "forecaster_sk", "forecaster_count", aggs
+    rows = latest_with_type(fact, forecasters, latest).withColumn("n", F.lit(1).cast("long"))
+    profile = weighted_profile(rows, ["forecaster_type"], "prediction", "n", "forecaster_sk")
+    return profile.select(
+        "forecaster_type",
+        F.col("members").alias("forecaster_count"),
+        F.col("rows").alias("total_forecasts"),
+        _r1("mean").alias("avg_prediction"),
+        _r1("median").alias("median_prediction"),
+        _r1("stddev").alias("prediction_stddev"),
     )
 
 
+def type_counts(fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    """Latest forecasts of every type, counted, with a title-cased label."""
+    rows = latest_with_type(fact, forecasters, latest).groupBy("forecaster_type").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("forecaster_type", F.initcap("forecaster_type").alias("label"), "n")
+
+
 def type_slice(fact: DataFrame, forecasters: DataFrame, forecaster_type: str) -> DataFrame:
-    """Latest forecasts of one type, counted, with a title-cased label.
-    The type filter reaches the dimension scan before the join."""
-    dim = forecasters.where(F.col("forecaster_type") == forecaster_type)
-    return (
-        latest_forecasts(fact)
-        .join(dim.select("forecaster_sk", "forecaster_type"), "forecaster_sk")
-        .groupBy("forecaster_type")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select("forecaster_type", F.initcap("forecaster_type").alias("label"), "n")
-    )
+    """``type_counts`` of one type. The type filter reaches the
+    dimension scan before the join."""
+    return type_counts(fact, forecasters.where(F.col("forecaster_type") == forecaster_type))
 
 
 def _who(forecasters: DataFrame, *attrs: str) -> list[str]:
-    """Forecaster key, the natural id when the dimension has one, then attrs."""
+    """Forecaster key, the natural id when the dimension has one, then those
+    of ``attrs`` that it has."""
     extra = ["forecaster_id"] if "forecaster_id" in forecasters.columns else []
-    return ["forecaster_sk", *extra, *attrs]
+    return ["forecaster_sk", *extra, *[a for a in attrs if a in forecasters.columns]]
 
 
-def _direction(last, first):
-    return F.when(last > first, F.lit(UP)).when(last < first, F.lit(DOWN)).otherwise(F.lit(SAME))
+def _revisions(per_pair: DataFrame, forecasters: DataFrame) -> DataFrame:
+    """Revision columns for pairs (first_prediction, last_prediction,
+    total_submissions) with more than one submission."""
+    who = _who(forecasters, "forecaster_name", "forecaster_type")
+    net = F.col("last_prediction") - F.col("first_prediction")
+    return (
+        per_pair.where(F.col("total_submissions") > 1)
+        .join(forecasters.select(*who), "forecaster_sk")
+        .select(
+            *who,
+            "question_id",
+            "first_prediction",
+            "last_prediction",
+            net.alias("net_revision"),
+            F.when(net > 0, UP).when(net < 0, DOWN).otherwise(SAME).alias("revision_direction"),
+            "total_submissions",
+        )
+    )
 
 
 def belief_revision(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
-    """U9 (literal): ``first`` is MIN(prediction) as in the reference SQL and
-    ``last`` is the prediction at the latest timestamp. Pairs with one
+    """U9 (literal): ``first`` is the least prediction, as in the reference,
+    and ``last`` the prediction at the latest timestamp. Pairs with one
     submission are dropped before the join."""
-    agg = (
-        fact.groupBy(*FACT_KEY)
+    per_pair = (
+        pair_predictions(fact)
+        .groupBy(*FACT_KEY)
         .agg(
             F.min("prediction").alias("first_prediction"),
-            F.max_by("prediction", TS).alias("last_prediction"),
-            F.count(F.lit(1)).alias("total_submissions"),
+            F.max_by("prediction", "last_ts").alias("last_prediction"),
+            F.sum("n").alias("total_submissions"),
         )
-        .where(F.col("total_submissions") > 1)
     )
-    first, last = F.col("first_prediction"), F.col("last_prediction")
-    who = _who(forecasters, "forecaster_name", "forecaster_type")
-    return agg.join(forecasters.select(*who), "forecaster_sk").select(
-        *who,
-        "question_id",
-        "first_prediction",
-        "last_prediction",
-        (last - first).alias("net_revision"),
-        _direction(last, first).alias("revision_direction"),
-        "total_submissions",
-    )
-
-
-def belief_revision_windowed(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
-    """U9 in the reference's literal shape (W5, W6, W8): an update number per
-    (forecaster, question), the group's largest update number as a second
-    window over the first, then a conditional MAX picks the last prediction.
-
-    Kept to check ``belief_revision`` against; both windows use the same
-    partition keys (the surrogate ones), so they share one shuffle. The
-    aggregate form needs no sort and is the one the catalog runs.
-    """
-    by_pair = Window.partitionBy(*FACT_KEY)
-    numbered = fact.withColumn("update_number", F.row_number().over(by_pair.orderBy(TS)))
-    with_max = numbered.withColumn("max_update", F.max("update_number").over(by_pair))
-    last = F.max(F.when(F.col("update_number") == F.col("max_update"), F.col("prediction")))
-    agg = (
-        with_max.groupBy(*FACT_KEY)
-        .agg(
-            F.min("prediction").alias("first_prediction"),
-            last.alias("last_prediction"),
-            F.count(F.lit(1)).alias("total_submissions"),
-        )
-        .where(F.col("total_submissions") > 1)
+    return _revisions(per_pair, forecasters)
+
+
+def numbered_revision(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
+    """U9 from update numbers (W5): a pair's last prediction is that of the
+    update whose number is the pair's count of updates (W6, W8). Numbers come
+    from ``sequence_number``, so a pair with a third of all updates is split
+    over tasks; ``belief_revision`` needs no order and is the cheaper form."""
+    updates = sequence_number(fact.select(*FACT_KEY, TS, "prediction"), FACT_KEY, [TS], "update_no")
+    per_pair = updates.groupBy(*FACT_KEY).agg(
+        F.min("prediction").alias("first_prediction"),
+        F.max(F.struct("update_no", F.col("prediction").alias("p"))).alias("_last"),
     )
-    first, lastc = F.col("first_prediction"), F.col("last_prediction")
-    who = _who(forecasters, "forecaster_name", "forecaster_type")
-    return agg.join(forecasters.select(*who), "forecaster_sk").select(
-        *who,
-        "question_id",
-        "first_prediction",
-        "last_prediction",
-        (lastc - first).alias("net_revision"),
-        _direction(lastc, first).alias("revision_direction"),
-        "total_submissions",
+    return _revisions(
+        per_pair.select(
+            *FACT_KEY,
+            "first_prediction",
+            F.col("_last.p").alias("last_prediction"),
+            F.col("_last.update_no").alias("total_submissions"),
+        ),
+        forecasters,
     )
 
 
-def belief_revision_chrono(fact: DataFrame) -> DataFrame:
+def belief_revision_chrono(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     """First and last by time (what the reference means to compute)."""
-    agg = (
-        fact.groupBy(*FACT_KEY)
+    per_pair = (
+        pair_predictions(fact)
+        .groupBy(*FACT_KEY)
         .agg(
-            F.min_by("prediction", TS).alias("first_prediction"),
-            F.max_by("prediction", TS).alias("last_prediction"),
-            F.count(F.lit(1)).alias("total_submissions"),
+            F.min_by("prediction", "first_ts").alias("first_prediction"),
+            F.max_by("prediction", "last_ts").alias("last_prediction"),
+            F.sum("n").alias("total_submissions"),
         )
-        .where(F.col("total_submissions") > 1)
-    )
-    first, last = F.col("first_prediction"), F.col("last_prediction")
-    return agg.select(
-        *FACT_KEY,
-        "first_prediction",
-        "last_prediction",
-        (last - first).alias("net_revision"),
-        _direction(last, first).alias("revision_direction"),
-        "total_submissions",
     )
+    return _revisions(per_pair, forecasters)
 
 
 def calibration_spread(
@@ -272,15 +294,21 @@ def calibration_unpivot(
 
 def engagement(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     """Per forecaster coverage and activity, aggregated before the
-    join (one row per forecaster reaches the join, not one per forecast)."""
-    per = fact.groupBy("forecaster_sk").agg(
-        F.count_distinct("question_id").alias("questions_covered"),
-        F.count(F.lit(1)).alias("total_submissions"),
-        _r1(F.avg("prediction")).alias("avg_prediction"),
-        F.min("prediction").alias("min_prediction"),
-        F.max("prediction").alias("max_prediction"),
+    join (one row per forecaster reaches the join, not one per forecast).
+    Of the profile, the columns that the dimension has."""
+    p, n = F.col("prediction"), F.when(F.col("prediction").isNotNull(), F.col("n"))
+    per = (
+        pair_predictions(fact)
+        .groupBy("forecaster_sk")
+        .agg(
+            F.count_distinct("question_id").alias("questions_covered"),
+            F.sum("n").alias("total_submissions"),
+            _r1(F.sum(p * n) / F.sum(n)).alias("avg_prediction"),
+            F.min("prediction").alias("min_prediction"),
+            F.max("prediction").alias("max_prediction"),
+        )
     )
-    who = _who(forecasters, "forecaster_name", "forecaster_type", "years")
+    who = _who(forecasters, "forecaster_name", "forecaster_type", "years", "education_level", "country")
     return per.join(forecasters.select(*who), "forecaster_sk").select(
         *who,
         "questions_covered",

@@ -156,6 +156,23 @@ def issue(findings: DataFrame, count_expr: Column, severity: str, table: str, co
     )
 
 
+def issues(found: DataFrame, rows: Sequence[tuple[str, str, str, str, str, str]]) -> DataFrame:
+    """Issue-register rows for several counts of one single-row frame: each
+    row names its count column, then severity, table, column, text, resolution."""
+    entries = [
+        F.struct(
+            F.lit(severity).alias("severity"),
+            F.lit(table).alias("table_name"),
+            F.lit(column).alias("column_name"),
+            F.lit(text).alias("issue"),
+            F.lit(resolution).alias("resolution"),
+            F.coalesce(F.col(count).cast("bigint"), F.lit(0).cast("bigint")).alias("affected"),
+        )
+        for count, severity, table, column, text, resolution in rows
+    ]
+    return found.select(F.inline(F.array(*entries)))
+
+
 def issue_register(issues: Sequence[DataFrame]) -> DataFrame:
     """Q10: union of issue rows."""
     out = issues[0]

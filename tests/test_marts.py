@@ -89,7 +89,7 @@ def test_type_comparison(inputs, pdfact):
 def test_belief_revision_literal_and_chrono(inputs, pdfact, ids):
     fact, dims = inputs
     lit = {pair(r, ids): r for r in marts.belief_revision(fact, dims).collect()}
-    chrono = {pair(r, ids): r for r in marts.belief_revision_chrono(fact).collect()}
+    chrono = {pair(r, ids): r for r in marts.belief_revision_chrono(fact, dims).collect()}
     s = pdfact.sort_values("forecast_timestamp")
     exp_pairs = {k for k, g in s.groupby(["forecaster_id", "question_id"]) if len(g) > 1}
     assert set(lit) == exp_pairs == set(chrono) == {("F01", "Q1"), ("F02", "Q1"), ("F05", "Q1")}
@@ -101,6 +101,7 @@ def test_belief_revision_literal_and_chrono(inputs, pdfact, ids):
     assert (lit[("F02", "Q1")]["first_prediction"], lit[("F02", "Q1")]["last_prediction"]) == (26, 27)
     assert (chrono[("F02", "Q1")]["first_prediction"], chrono[("F02", "Q1")]["net_revision"]) == (28, -1)
     assert lit[("F02", "Q1")]["total_submissions"] == 3
+    assert (chrono[("F02", "Q1")]["forecaster_id"], chrono[("F02", "Q1")]["forecaster_type"]) == ("F02", lit[("F02", "Q1")]["forecaster_type"])
     assert lit[("F01", "Q1")]["revision_direction"] == "revised up"
     counts = derived.revision_counts(marts.belief_revision(fact, dims)).collect()[0]
     assert (counts["up"], counts["down"], counts["max_abs"]) == (2, 0, 5)
@@ -140,6 +141,7 @@ def test_engagement(inputs, pdfact, ids):
         assert got[fid]["avg_prediction"] == r1(p.mean())
         assert (got[fid]["min_prediction"], got[fid]["max_prediction"]) == (p.min(), p.max())
     assert got["F02"]["years"] == 12
+    assert {"education_level", "country"} <= set(got["F02"]) and got["F02"]["country"]
 
 
 def test_derived(inputs, pdfact, ids):
@@ -167,17 +169,25 @@ def test_derived(inputs, pdfact, ids):
     hc = derived.hypothesis_check(marts.calibration_spread(fact, dims, TYPES), ("sf", "ex", "pub"), ("sf", "pub"))
     assert hc.columns == ["sf_mean", "ex_mean", "pub_mean", "sf_tighter"]
     exp = derived.experience_vs_avg(eng)
-    assert exp.count() == 6
+    assert exp.count() == 6 and "Ada" in {r["label"] for r in exp.collect()}
     pp = derived.presentation_projection(qs)
-    assert pp.columns == ["ID", "Forecasters", "Median"]
+    assert pp.columns == ["ID", "Question", "Forecasters", "Median %", "Mean %", "Std Dev", "Min %", "Max %"]
+    profiles = derived.display(eng, derived.PROFILE_TABLE)
+    assert profiles.columns == ["Name", "Type", "Exp (yrs)", "Education", "Country", "Questions", "Submissions", "Avg %"]
+    assert derived.display(rev, derived.REVISION_TABLE).columns[-1] == "Submissions"
+    assert derived.display(marts.type_comparison(fact, dims), derived.TYPE_TABLE).count() == 3
+    table = derived.calibration_table(marts.calibration_spread(fact, dims, TYPES), {"sf": "SF", "ex": "Expert", "pub": "Public"})
+    assert table.columns == ["Question", "SF Avg", "SF \u03c3", "Expert Avg", "Expert \u03c3", "Public Avg", "Public \u03c3"]
+    best = top[0]
+    assert best["forecaster_name"].startswith("Ada") and best["questions_covered"] >= 1 and best["forecaster_type"]
     sl = marts.type_slice(fact, dims, "expert").collect()[0]
     assert (sl["label"], sl["n"]) == ("Expert", 5)
 
 
-def test_window_form_equals_aggregate_form(inputs):
+def test_numbered_form_equals_aggregate_form(inputs):
     fact, dims = inputs
     a = marts.belief_revision(fact, dims)
-    b = marts.belief_revision_windowed(fact, dims)
+    b = marts.numbered_revision(fact, dims)
     assert a.columns == b.columns
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 
@@ -190,6 +200,26 @@ def test_orderings(inputs):
     assert eng == sorted(eng, reverse=True)
     rev = [abs(r["net_revision"]) for r in derived.ordered_revisions(marts.belief_revision(fact, dims)).collect()]
     assert rev == sorted(rev, reverse=True)
+    up = [r["net_revision"] for r in derived.ascending(marts.belief_revision(fact, dims), "net_revision", "question_id").collect()]
+    assert up == sorted(up)
+
+
+def test_marts_from_the_pair_table_equal_those_from_the_fact(inputs):
+    fact, dims = inputs
+    pairs = marts.pair_predictions(fact).cache()
+    for mart in (marts.type_comparison, marts.type_counts, marts.belief_revision, marts.belief_revision_chrono, marts.engagement):
+        assert sorted(map(repr, mart(fact, dims).collect())) == sorted(map(repr, mart(pairs, dims).collect()))
+    assert sorted(map(repr, marts.question_summary(fact).collect())) == sorted(map(repr, marts.question_summary(pairs).collect()))
+    assert marts.pair_predictions(pairs) is pairs
+
+
+def test_profile_with_nulls(spark):
+    """NULL predictions count as submissions, not in the statistics."""
+    rows = [("q", "Q", 1, None), ("q", "Q", 2, 10), ("q", "Q", 2, 20), ("z", "Z", 1, None)]
+    fact = spark.createDataFrame([(f, q, t, p, i) for i, (q, t, f, p) in enumerate(rows)], "forecaster_sk int, question_id string, question_text string, prediction int, forecast_timestamp int")
+    got = as_dict(marts.question_summary(fact), "question_id")
+    assert (got["q"]["forecaster_count"], got["q"]["median_prediction"], got["q"]["stddev_prediction"]) == (2, 15.0, 7.1)
+    assert got["z"]["forecaster_count"] == 1 and got["z"]["median_prediction"] is None and got["z"]["stddev_prediction"] is None
 
 
 def test_question_summary_approximate(inputs, pdfact):

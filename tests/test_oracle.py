@@ -8,11 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as se
+from augur.plans.catalog import QUERIES
+from augur.plans.oracle import ORACLE_SQL as SQL
 from augur.sources.tables import TABLES
 from conftest import SF_SMALL
 
-SQL = se.oracle_sql()
-
 
 def norm(v):
     if isinstance(v, float):
@@ -40,12 +40,13 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(SQL) == set(se.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(se.queries()) and set(se.oracle_sql()) <= set(se.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_duckdb(spark, con, name):
-    df = se.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
     res = con.execute(SQL[name])
     dcols = [d[0] for d in res.description]

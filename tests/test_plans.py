@@ -30,6 +30,46 @@ def test_no_single_partition_on_fact_path(spark, name):
             assert "output=[_part#" in below and "_n#" in below, (name, below)
 
 
+def final_lines(plan):
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+    from plan_report import final_lines as lines
+
+    return lines(plan)
+
+
+@pytest.mark.parametrize(
+    "name", ["question_summary", "type_comparison", "belief_revision", "belief_revision_chrono", "calibration_spread", "engagement", "calibration_long"]
+)
+def test_marts_read_the_fact_once(spark, name):
+    lines = final_lines(final_plan(QUERIES[name](spark, SF_SMALL)))
+    assert sum("FileScan parquet" in x and "user_id" in x for x in lines) == 1
+
+
+def test_kpi_header_reads_written_pairs(spark):
+    plan = final_plan(QUERIES["kpi_header"](spark, SF_SMALL))
+    assert "FileScan" in plan and "event_type" not in plan
+
+
+def test_no_sort_aggregate_on_raw_rows(spark):
+    """MAX and MIN over text are planned as sorts: they may only see rows
+    that a hash aggregate has reduced."""
+    from augur.operators.dedup import reduced
+    from augur.plans import model
+    from augur.sources.tables import raw_demographics, raw_forecasts
+
+    raw = raw_forecasts(spark, SF_SMALL)
+    for df in (model.dedup_forecasts(raw), reduced(raw, "question_id", "question_text").groupBy("question_id").agg({"question_text": "max"})):
+        lines = final_lines(final_plan(df))
+        for i, line in enumerate(lines):
+            if "SortAggregate" in line and "partial_" in line:
+                below = "".join(lines[i:])
+                assert "HashAggregate" in below, below
+    assert raw_demographics(spark, SF_SMALL).columns[0] == "forecaster_id"
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_udfs(spark, name):
     df = QUERIES[name](spark, SF_SMALL)

@@ -34,7 +34,7 @@ def frame(spark, rows):
 def test_revision_forms_agree(spark, rows):
     fact, dims = frame(spark, rows)
     a = sorted(map(tuple, marts.belief_revision(fact, dims).collect()), key=repr)
-    b = sorted(map(tuple, marts.belief_revision_windowed(fact, dims).collect()), key=repr)
+    b = sorted(map(tuple, marts.numbered_revision(fact, dims).collect()), key=repr)
     assert a == b
 
 

@@ -15,9 +15,24 @@ from augur.plans.catalog import QUERIES  # noqa: E402
 from augur.session import build_session  # noqa: E402
 
 
+def final_lines(plan: str) -> list[str]:
+    """The lines that ran: every nested adaptive plan (subqueries have their
+    own) prints its final and then its initial plan; the initial ones end
+    where the indentation falls back to that of their heading."""
+    out, skip = [], None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-"))
+        if "== Initial Plan ==" in line and skip is None:
+            skip = depth
+        if skip is not None and line.strip() and depth < skip:
+            skip = None
+        if skip is None:
+            out.append(line)
+    return out
+
+
 def summarise(plan: str) -> dict:
-    final = plan.split("== Initial Plan ==")[0]
-    lines = final.splitlines()
+    lines = final_lines(plan)
     ex = [x for x in lines if re.search(r"\bExchange (hashpartitioning|rangepartitioning|SinglePartition|RoundRobin)", x)]
     return {
         "hash": sum("hashpartitioning" in x for x in ex),
@@ -40,8 +55,9 @@ def main():
     print("`tools/plan_report.py`). `single` exchanges carry at most one row per task or per")
     print("file: the final merge of a global (ungrouped) aggregate, or the per-file offset table")
     print("of dense keys. The range exchange of a dense key runs in the job that writes the")
-    print("sorted ranges, so it is not part of the plans below. `window` counts window operators")
-    print("(only the offset window over one row per range file). Joins are chosen by AQE at")
+    print("sorted ranges, so it is not part of the plans below; so do tables a query writes first.")
+    print("Subqueries count. `window` counts window operators: the offset window over one row per")
+    print("range file, and the per-range numbering of update sequences. Joins are chosen by AQE at")
     print("runtime; at this scale every dimension is under the broadcast threshold.\n")
     print("| query | hash | range | single | reused | broadcast | SMJ | BHJ | window | pushed filters |")
     print("|---|---|---|---|---|---|---|---|---|---|")
