@@ -80,10 +80,10 @@ def main(argv: list[str] | None = None) -> dict:
 
         export_json(spark.read.parquet(os.path.join(args.gold, args.table)), args.out)
         out = {"exported": args.table}
-    clear_scratch(spark)  # nothing reads the intermediate tables any more
     print(json.dumps(out, sort_keys=True))
     return out
 
 
 if __name__ == "__main__":
     main()
+    clear_scratch(build_session())  # the process ends: nothing reads the intermediate tables any more
