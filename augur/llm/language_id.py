@@ -44,9 +44,12 @@ def word_characters() -> tuple[np.ndarray, np.ndarray]:
     return letter | np.array([k == "M" for k in kinds]), letter
 
 
-def n_grams(text: str, in_word: np.ndarray) -> np.ndarray:
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype=np.uint32)
+
+
+def n_grams(points: np.ndarray, in_word: np.ndarray) -> np.ndarray:
     """All n-grams of a lower-cased text as integers, in no particular order."""
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), dtype=np.uint32)
     inside = in_word[points]
     if not inside.any():
         return np.zeros(0, dtype=np.int64)
@@ -81,7 +84,7 @@ def _count():
             found: dict[str, list[np.ndarray]] = {}
             for lang, text in zip(langs, part["text"].to_pylist(), strict=True):
                 if text:
-                    found.setdefault(lang, []).append(n_grams(text.lower(), in_word))
+                    found.setdefault(lang, []).append(n_grams(code_points(text), in_word))
             for lang, grams in found.items():
                 keys, counts = np.unique(np.concatenate(grams), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
@@ -128,14 +131,12 @@ def _predict(profiles: dict[str, list[int]], size: int):
         for part in slices(batches, "text"):
             names, scores = [], []
             for text in part["text"].to_pylist():
-                text = (text or "").lower()
-                own = ranked(n_grams(text, in_word), size) if langs else grams
-                one = own[own < 1 << 21]
-                if not letter[one].any() and not any(map(str.isalpha, text if len(own) else "")):
+                points = code_points(text or "")
+                if not langs or not letter[points].any():
                     names.append("und")
                     scores.append(0.0)
                 else:
-                    best, score = nearest(own, grams, ranks, size)
+                    best, score = nearest(ranked(n_grams(points, in_word), size), grams, ranks, size)
                     names.append(langs[best])
                     scores.append(score)
             carried = [c for c in part.schema.names if c not in ADDED]

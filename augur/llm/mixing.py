@@ -44,8 +44,9 @@ WEIGHTS = {
 
 
 def domain_of(source: Column) -> Column:
-    """``documents`` names no domain: four groups of sources stand for them."""
-    return F.concat(F.lit("d"), F.pmod(F.crc32(source.cast("binary")), F.lit(4)).cast("string"))
+    """``documents`` names no domain: four groups of sources stand for them,
+    dealt by the first byte of the name's MD5."""
+    return F.concat(F.lit("d"), (F.conv(F.substring(F.md5(source), 1, 2), 16, 10).cast("int") % 4).cast("string"))
 
 
 def tokens_of(text: Column) -> Column:
@@ -88,14 +89,14 @@ def leaf_budgets(leaves: DataFrame, budget: Column, weights=None, epochs: int =
         leaves = leaves.withColumn(f"{level}_weight", _weight(level, weights))
     leaves = leaves.filter(" and ".join(f"{level}_weight > 0" for level in TREE))
     total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("room"), F.lit(0)).alias("all"))
-    given = total.select(F.least(F.floor(budget), F.col("all")).cast("long").alias("given"))
+    whole = total.select(F.least(F.floor(budget), F.col("all")).cast("long")).scalar()
     parent: list[str] = []
     for depth, level in enumerate(TREE):
         keys = list(TREE[: depth + 1])
         nodes = leaves.groupBy(*keys).agg(
             F.sum("room").alias("room"), F.sum("tokens").alias("tokens"), F.max(f"{level}_weight").alias("weight")
         )
-        nodes = nodes.join(given, parent) if parent else nodes.join(F.broadcast(given), F.lit(True))  # one row
+        nodes = nodes.join(given, parent) if parent else nodes.withColumn("given", whole)
         shared = share_out(nodes, parent, level)
         given = shared.select(*keys, F.col("budget").alias("given"))
         parent = keys

@@ -12,7 +12,7 @@ so two entities of one shape can't meet) and is written in the mention's own
 format: punctuation, case, script, country digit, card and IBAN check digits,
 private or public address range, hexadecimal or alphanumeric secrets. First
 names become first names of the same gender and script, other name parts
-pronounceable words of the same script.
+pronounceable words of the same script (there two may meet; the check settles it).
 
 Collisions are checked over the whole corpus: no surrogate may be the surrogate of
 another entity or any entity that really occurs (first names from the lists,

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from augur.llm import url_reputation
 from augur.llm.decontaminate import op4_benchmark_decontamination
 from augur.llm.language_id import op1_language_id
 from augur.llm.mixing import op9_mixing_sources
+from augur.llm.oracle import ORACLE_SQL
 from augur.llm.pii import op6_pii_surrogates
 from augur.llm.quality_rules import op7_quality_rules
 from augur.llm.simhash_dedup import op3_simhash_dedup
@@ -26,4 +26,5 @@ QUERIES = {
     "op9_mixing_sources": op9_mixing_sources,
     "op10_url_reputation": op10_url_reputation,
 }
-ORACLE_SQL: dict[str, str] = {"op10_url_reputation": url_reputation.ORACLE}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]

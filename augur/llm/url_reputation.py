@@ -77,35 +77,35 @@ def groups_of(host: Column, long_suffixes=LONG_SUFFIXES) -> list[Column]:
     return [F.substring_index(name, ".", -1).alias("suffix"), two.alias("domain")]
 
 
-def _shrink(groups: DataFrame, keys: list[str], mean: str) -> DataFrame:
+def _shrink(groups: DataFrame, keys: list[str], mean: str | Column) -> DataFrame:
     """groups (keys.., n, bad, ``mean`` = prior mean) with alpha and beta of the
     posterior. The level's strength: 1 / rho - 1, where rho is the excess of the
     squared deviations over binomial ones, for each pair of trials, kept in
     [0.0001, 0.5]."""
-    m, n, k = F.col(mean), F.col("n"), F.col("bad")
-    fit = groups.agg(
+    m, n, k = (F.col(mean) if isinstance(mean, str) else mean), F.col("n"), F.col("bad")
+    rho = groups.agg(
         F.sum((k - n * m) * (k - n * m) - n * m * (1 - m)).alias("excess"), F.sum(n * (n - 1) * m * (1 - m)).alias("pairs")
     ).select(
         F.least(
             F.lit(0.5), F.greatest(F.lit(0.0001), F.when(F.col("pairs") > 0, F.col("excess") / F.col("pairs")).otherwise(0.0001))
-        ).alias("rho")
-    )
-    strength = 1 / F.col("rho") - 1
-    # one row, joined to every group
-    return groups.join(F.broadcast(fit), F.lit(True)).select(
+        )
+    ).scalar()
+    strength = 1 / rho - 1
+    return groups.select(
         *keys, (strength * m + k).alias("alpha"), (strength * (1 - m) + n - k).alias("beta")
     )
 
 
-def reputation(outcomes: DataFrame, hosts: DataFrame) -> DataFrame:
+def reputation(outcomes: DataFrame, hosts: DataFrame, limit: float = MAX_BAD) -> DataFrame:
     """``outcomes`` (host, suffix, domain, n, bad) per labelled host, ``hosts``
-    (host, suffix, domain) to judge -> (host, bad_rate, bad_sd)."""
+    (host, suffix, domain) to judge -> (host, bad_rate, bad_sd). The overall rate counts
+    one page more, at the limit, so that without outcomes no host is over it."""
     # labelled or not, each host belongs to its groups; unlabelled ones have n = 0
     known = hosts.join(outcomes.select("host", "n", "bad"), "host", "left").fillna(0, ["n", "bad"])
-    overall = known.agg(((F.sum("bad") + 1) / (F.sum("n") + 2)).alias("prior"))
+    overall = known.agg((F.coalesce(F.sum("bad"), F.lit(0)) + limit) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).scalar()
     posterior = lambda a, b: (F.col(a) / (F.col(a) + F.col(b)))
     suffixes = known.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = _shrink(suffixes.join(F.broadcast(overall), F.lit(True)), ["suffix"], "prior")
+    suffixes = _shrink(suffixes, ["suffix"], overall)
     domains = known.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = domains.join(suffixes.select("suffix", posterior("alpha", "beta").alias("prior")), "suffix")
     domains = _shrink(domains, ["domain"], "prior")
@@ -139,7 +139,7 @@ def judge_urls(
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bad").cast("long")).alias("bad"))
     )
     hosts = hosts.unionByName(labelled.select("host")).distinct().select("host", suffix, domain)
-    rates = reputation(labelled, hosts)
+    rates = reputation(labelled, hosts, max_bad)
     bound = F.col("bad_rate") - z * F.col("bad_sd")
     own = F.when(bound > max_bad, "block").otherwise("allow")
     return (
@@ -172,45 +172,3 @@ def op10_url_reputation(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     outcomes = page_outcomes(pages, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return judge_urls(pages, outcomes).select("page_id", "host", "path", "rule", "verdict")
-
-
-ORACLE = r"""
-with p as (
-  select page_id, url,
-         translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
-         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') as path
-  from pages),
-o as (
-  select p.host, l.bad
-  from (select *, try_cast(regexp_extract(path, '^/[^/]*/([0-9]{1,18})(?:[^0-9]|$)', 1) as bigint) as doc_id from p) p
-  join (select doc_id, max((quality = 0 or toxic = 1)::int) as bad from labels group by doc_id) l using (doc_id)
-  where l.bad is not null),
-c as (select host, count(*) as n, sum(bad) as bad from o group by host),
-parts as (select host, regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', '') as name from (select distinct host from p)),
-h as (
-  select host,
-         case when two in ('co.uk', 'org.uk', 'com.au', 'co.jp', 'com.br') then two else labels[-1] end as suffix,
-         case when two in ('co.uk', 'org.uk', 'com.au', 'co.jp', 'com.br') then array_to_string(labels[-3:], '.') else two end as domain
-  from (select host, string_split(name, '.') as labels, array_to_string(string_split(name, '.')[-2:], '.') as two from parts)),
-k as (select h.*, coalesce(n, 0)::double as n, coalesce(bad, 0)::double as bad from h left join c using (host)),
-overall as (select (sum(bad) + 1) / (sum(n) + 2) as m from k),
-s0 as (select suffix, sum(n) as n, sum(bad) as bad, any_value(m) as m from k, overall group by suffix),
-s1 as (select 1 / least(0.5, greatest(0.0001, coalesce(sum((bad - n * m) ** 2 - n * m * (1 - m)) / nullif(sum(n * (n - 1) * m * (1 - m)), 0), 0.0001))) - 1 as s from s0),
-s2 as (select suffix, (s * m + bad) / (s + n) as m from s0, s1),
-d0 as (select domain, n, bad, m from (select suffix, domain, sum(n) as n, sum(bad) as bad from k group by all) join s2 using (suffix)),
-d1 as (select 1 / least(0.5, greatest(0.0001, coalesce(sum((bad - n * m) ** 2 - n * m * (1 - m)) / nullif(sum(n * (n - 1) * m * (1 - m)), 0), 0.0001))) - 1 as s from d0),
-d2 as (select domain, (s * m + bad) / (s + n) as m from d0, d1),
-h0 as (select host, n, bad, m from k join d2 using (domain)),
-h1 as (select 1 / least(0.5, greatest(0.0001, coalesce(sum((bad - n * m) ** 2 - n * m * (1 - m)) / nullif(sum(n * (n - 1) * m * (1 - m)), 0), 0.0001))) - 1 as s from h0),
-h2 as (select host, (s * m + bad) / (s + n) as rate, s + n as size from h0, h1),
-rules(verdict, rule) as (values ('allow', 'com/'), ('block', 'example.com/en/'), ('allow', 'www.example.com/en/'), ('block', 'net/es/'), ('block', 'net/fr/')),
-fit as (
-  select host, path, max_by(rule, length(rule)) as rule, max_by(verdict, length(rule)) as verdict
-  from (select distinct host, path from p) p
-  join rules on (host = split_part(rule, '/', 1) or ends_with(host, '.' || split_part(rule, '/', 1)))
-            and starts_with(path, substr(rule, position('/' in rule)))
-  group by all)
-select page_id, p.host, p.path, fit.rule,
-       coalesce(fit.verdict, case when rate - 1.645 * sqrt(rate * (1 - rate) / (size + 1)) > 0.25 then 'block' else 'allow' end) as verdict
-from p join h2 on h2.host = p.host left join fit on fit.host = p.host and fit.path = p.path
-"""
