@@ -9,9 +9,10 @@ The comparison works on distinct fingerprints, so copies cost nothing:
 1. Candidate groups. Two fingerprints within ``distance`` bits agree on at
    least two of ``distance`` + 2 blocks of bits; a fingerprint goes to one group per pair
    of blocks. A group of over ``max_group`` fingerprints is split again the
-   same way over its remaining free bits, as often as needed: with log2(``max_group``)
-   free bits left it can't be larger, so every group fits a task and no pair
-   is lost.
+   same way over its remaining free bits. What is still larger (thousands of
+   fingerprints that nearly agree everywhere) is cut into parts of about
+   ``max_group`` / 2 and compared part by part, each pair of parts in a
+   group of its own. So every group fits a task and no pair is lost.
 2. Inside a group, every fingerprint's Hamming distances to ``PIVOTS`` fixed
    reference fingerprints are tabulated. The group is sorted by the first
    distance; by the triangle inequality a pair whose distances to any pivot
@@ -143,18 +144,22 @@ def _links(distance: int):
         held = None
 
         def star(rows: tuple[np.ndarray, ...]) -> pa.RecordBatch:
-            fps, mask, agreed, first = rows
-            group = np.cumsum(np.r_[False, (mask[1:] != mask[:-1]) | (agreed[1:] != agreed[:-1])])
-            label = linked_in_groups(group, fps.view(np.uint64), first, distance)
+            fps, first, *keys = rows
+            new = np.zeros(len(fps), dtype=bool)
+            for key in keys:
+                new[1:] |= key[1:] != key[:-1]
+            label = linked_in_groups(np.cumsum(new), fps.view(np.uint64), first, distance)
             far = label != np.arange(len(label))
             return pa.RecordBatch.from_arrays([pa.array(fps[far]), pa.array(fps[label[far]])], names=["u", "v"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = tuple(batch[c].to_numpy() for c in ("fp", "mask", "agreed", "pivot"))
+            rows = tuple(batch[c].to_numpy() for c in ("fp", "pivot", *GROUP))
             held = rows if held is None else tuple(np.concatenate(x) for x in zip(held, rows, strict=True))
-            other = (held[1] != held[1][-1]) | (held[2] != held[2][-1])
+            other = np.zeros(len(held[0]), dtype=bool)
+            for key in held[2:]:
+                other |= key != key[-1]
             last = len(other) - int(np.argmax(other[::-1])) if other.any() else 0
             if last:
                 yield star(tuple(x[:last] for x in held))
@@ -165,28 +170,46 @@ def _links(distance: int):
     return links
 
 
+GROUP = ("mask", "agreed", "pair")
+
+
 def links(fps: DataFrame, distance: int = DISTANCE, max_group: int = MAX_GROUP) -> DataFrame:
     """Distinct fingerprints ``fp`` -> edges (u, v) whose connected components
     are those of all links of at most ``distance`` bits."""
     if not 0 <= distance <= 30 or max_group < 2:
         raise ValueError("need 0 <= distance <= 30 and max_group >= 2")
-    rows = fps.select("fp", F.lit(0).cast("long").alias("mask"))
-    found = None
-    while True:
+
+    def spread(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """Rows of finer groups, and the groups among them that are too large."""
         rows = rows.mapInArrow(_spread(distance + 2), "fp long, mask long, agreed long, pivot short")
-        large = stored(rows.groupBy("mask", "agreed").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_group).drop("n"), "groups")
-        split = not large.isEmpty()
-        here = (
-            (rows.join(large, ["mask", "agreed"], "left_anti") if split else rows)
-            .select("fp", "mask", "agreed", "pivot")
-            .repartition("mask", "agreed")
-            .sortWithinPartitions("mask", "agreed", "pivot")
+        counts = rows.groupBy("mask", "agreed").agg(F.count(F.lit(1)).alias("n"))
+        large = stored(counts.filter(F.col("n") > max_group), "groups")
+        return rows, None if large.isEmpty() else large
+
+    def compared(rows: DataFrame) -> DataFrame:
+        return (
+            rows.select("fp", "pivot", *GROUP)
+            .repartition(*GROUP)
+            .sortWithinPartitions(*GROUP, "pivot")
             .mapInArrow(_links(distance), "u long, v long")
         )
-        found = here if found is None else found.unionByName(here)
-        if not split:
-            return found
-        rows = stored(rows.join(large, ["mask", "agreed"], "left_semi").select("fp", "mask").distinct(), "dense")
+
+    whole = F.lit(0).cast("long").alias("pair")
+    rows, large = spread(fps.select("fp", F.lit(0).cast("long").alias("mask")))
+    if large is None:
+        return compared(rows.select("*", whole))
+    found = compared(rows.join(large, ["mask", "agreed"], "left_anti").select("*", whole))
+    dense = stored(rows.join(large, ["mask", "agreed"], "left_semi").select("fp", "mask").distinct(), "dense")
+    rows, large = spread(dense)
+    if large is None:
+        return found.unionByName(compared(rows.select("*", whole)))
+    found = found.unionByName(compared(rows.join(large, ["mask", "agreed"], "left_anti").select("*", whole)))
+    parts = F.ceil(2 * F.col("n") / max_group).cast("long")
+    cut = rows.join(large, ["mask", "agreed"]).select("fp", "mask", "agreed", "pivot", parts.alias("parts"))
+    cut = cut.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("parts")))
+    cut = cut.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    pair = F.least("own", "other") * F.col("parts") + F.greatest("own", "other")
+    return found.unionByName(compared(cut.select("fp", "mask", "agreed", "pivot", pair.alias("pair"))))
 
 
 def near_duplicates(
