@@ -28,10 +28,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from augur.llm.scratch import stored
+
 SEED = "mix-1"
 EPOCHS = 2
 SHARE = 0.6
 RANGE_DIGITS = 3  # hex digits: 4,096 ranges
+MAX_BROADCAST = 50_000  # leaves: some 10 MB
 TREE = ("domain", "language", "origin")
 ADDED = ("domain", "language", "origin", "n_tokens", "copies")
 # Target weights by branch; what isn't named weighs 1. Languages and sources are
@@ -111,6 +114,7 @@ def mix(
     seed: str = SEED,
     domain: Column | None = None,
     tokens: Column | None = None,
+    max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
     """The documents taken, all columns, with domain, language, origin,
     n_tokens and ``copies`` (how many epochs take the document). ``budget`` is
@@ -125,12 +129,14 @@ def mix(
         branch(F.col("source")).alias("origin"),
         (tokens_of(F.col("text")) if tokens is None else tokens).alias("n_tokens"),
     ).filter("n_tokens > 0")
-    leaves = rows.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens"))
+    leaves = stored(rows.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens")), "leaves")
+    # what is joined to documents has a row a leaf: broadcast while their counted number allows, so texts stay put
+    small = F.broadcast if leaves.count() <= max_broadcast else (lambda df: df)
     plan = leaf_budgets(leaves, budget, weights, epochs).select(
         *TREE, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("rest")
     )
     drawn = F.md5(F.concat_ws("-", F.lit(seed), F.col("whole"), F.col("doc_id").cast("string")))
-    ranked = rows.join(plan, list(TREE)).withColumn("_order", drawn).withColumn("_range", F.substring("_order", 1, RANGE_DIGITS))
+    ranked = rows.join(small(plan), list(TREE)).withColumn("_order", drawn).withColumn("_range", F.substring("_order", 1, RANGE_DIGITS))
     sums = ranked.groupBy(*TREE, "_range").agg(F.sum("n_tokens").alias("n"), F.max("rest").alias("rest"))
     upto = F.sum("n").over(Window.partitionBy(*TREE).orderBy("_range"))
     ends = (  # the range where each leaf's prefix ends, and what is left for it there
@@ -139,7 +145,7 @@ def mix(
         .groupBy(*TREE)
         .agg(F.min("_range").alias("_end"), F.min_by(F.col("rest") - F.col("upto") + F.col("n"), "_range").alias("_left"))
     )
-    placed = ranked.join(ends, list(TREE))
+    placed = ranked.join(small(ends), list(TREE))
     before = placed.filter("_range <> _end").withColumn("copies", F.col("whole") + (F.col("_range") < F.col("_end")).cast("long"))
     last = Window.partitionBy(*TREE).orderBy("_order", "doc_id", F.xxhash64("text")).rowsBetween(Window.unboundedPreceding, 0)
     within = placed.filter("_range = _end").withColumn(

@@ -89,6 +89,8 @@ def test_mix_cases(docs, empty):
     assert found.count() == tokens.count() and {r["copies"] for r in found.collect()} == {2}
     assert found.first()["host"] == "own host"
     assert mixing.mix(empty).count() == 0
+    joined = mixing.mix(docs, budget=F.lit(10**9), max_broadcast=0)
+    assert joined.count() == found.count()
     only = mixing.mix(docs, weights={"origin": {"src1": 0, "src2": 0, "src3": 0, "?": 0}}, budget=F.col("tokens"))
     assert {r["origin"] for r in only.collect()} == {"src0"}
 
