@@ -183,55 +183,68 @@ def viterbi(scores: list[list[float]], moves: list[list[float]]) -> list[int]:
     return path[::-1]
 
 
+class Batch:
+    """Sequences of similar length, padded; all lines of one have its state."""
+
+    def __init__(self, sequences: list[np.ndarray], states: list[int], weight: np.ndarray):
+        n, steps = len(sequences), max(map(len, sequences))
+        self.feats = np.full((n, steps, len(RANGES)), N_FEATURES, dtype=np.int64)  # the extra row of weights stays 0
+        self.real = np.zeros((n, steps), dtype=bool)
+        for i, seq in enumerate(sequences):
+            self.feats[i, : len(seq)], self.real[i, : len(seq)] = seq, True
+        self.pairs = self.real[:, 1:] & self.real[:, :-1]
+        state = np.array(states)
+        self.weight = weight[state]
+        truth = np.zeros((n, 2))
+        truth[np.arange(n), state] = self.weight
+        self.seen, self.moved = np.zeros((N_FEATURES + 1, 2)), np.zeros((2, 2))
+        np.add.at(self.seen, self.feats[self.real], truth[np.nonzero(self.real)[0]][:, None, :])
+        np.add.at(self.moved, (state, state), self.pairs.sum(axis=1) * self.weight)
+
+    def expected(self, weights: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Expected features and moves under the model (forward-backward)."""
+        score = np.vstack([weights, np.zeros((1, 2))])[self.feats].sum(axis=2)
+        steps = score.shape[1]
+        ahead, behind = np.zeros_like(score), np.zeros_like(score)
+        ahead[:, 0] = score[:, 0]
+        for k in range(1, steps):
+            step = np.logaddexp(ahead[:, k - 1, :1] + moves[0], ahead[:, k - 1, 1:] + moves[1]) + score[:, k]
+            ahead[:, k] = np.where(self.real[:, k, None], step, ahead[:, k - 1])
+        for k in range(steps - 2, -1, -1):
+            nxt = behind[:, k + 1] + score[:, k + 1]
+            step = np.logaddexp(nxt[:, :1] + moves[:, 0], nxt[:, 1:] + moves[:, 1])
+            behind[:, k] = np.where(self.real[:, k + 1, None], step, 0)
+        total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
+        prob = np.exp(ahead + behind - total[:, None, None]) * self.weight[:, None, None]
+        found = np.zeros((N_FEATURES + 1, 2))
+        np.add.at(found, self.feats[self.real], prob[self.real][:, None, :])
+        joint = ahead[:, :-1, :, None] + moves + (score + behind)[:, 1:, None, :] - total[:, None, None, None]
+        joint = np.exp(np.where(self.pairs[:, :, None, None], joint, -np.inf)) * self.weight[:, None, None, None]
+        return found, joint.sum(axis=(0, 1))
+
+
 def train(sequences: list[np.ndarray], states: list[int], rounds: int = 150, rate: float = 0.2, ridge: float = 1e-3):
     """Weights (features x 2) and moves (2 x 2) of the field: gradient ascent
-    on the likelihood of line labels, all lines of a sequence having one state."""
+    on the likelihood of line labels, all lines of a sequence having one state.
+    Both labels weigh the same, however many lines each has."""
     weights, moves = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
     if len(set(states)) < 2:
         return weights, moves
-    steps = max(map(len, sequences))
-    n = len(sequences)
-    feats = np.full((n, steps, len(RANGES)), N_FEATURES, dtype=np.int64)  # the extra row of weights stays 0
-    real = np.zeros((n, steps), dtype=bool)
+    lines = np.zeros(2)
+    np.add.at(lines, states, [len(s) for s in sequences])
+    alike: dict[int, list[int]] = {}
     for i, seq in enumerate(sequences):
-        feats[i, : len(seq)], real[i, : len(seq)] = seq, True
-    truth = np.zeros((n, 2))
-    truth[np.arange(n), states] = 1
-    n_lines = real.sum()
-    # both labels weigh the same, however many lines each has
-    lines_of = np.array([real[np.array(states) == s].sum() for s in (0, 1)])
-    weight_of = (n_lines / (2 * np.maximum(lines_of, 1)))[np.array(states)]
-    seen = np.zeros((N_FEATURES + 1, 2))
-    np.add.at(seen, feats[real], (truth * weight_of[:, None])[np.nonzero(real)[0]][:, None, :])
-    pairs = real[:, 1:] & real[:, :-1]
-    moved = np.zeros((2, 2))
-    for s in (0, 1):
-        moved[s, s] = (pairs.sum(axis=1) * weight_of)[np.array(states) == s].sum()
+        alike.setdefault(len(seq).bit_length(), []).append(i)
+    weight = lines.sum() / (2 * lines)
+    batches = [Batch([sequences[i] for i in own], [states[i] for i in own], weight) for _, own in sorted(alike.items())]
+    seen, moved = sum(b.seen for b in batches), sum(b.moved for b in batches)
     m = [np.zeros_like(weights), np.zeros_like(moves)]
     v = [np.zeros_like(weights), np.zeros_like(moves)]
     for t in range(1, rounds + 1):
-        padded = np.vstack([weights, np.zeros((1, 2))])
-        score = padded[feats].sum(axis=2)
-        ahead, behind = np.zeros((n, steps, 2)), np.zeros((n, steps, 2))
-        ahead[:, 0] = score[:, 0]
-        for k in range(1, steps):
-            step = np.logaddexp(ahead[:, k - 1, :1] + moves[0], ahead[:, k - 1, 1:] + moves[1]) + score[:, k]
-            ahead[:, k] = np.where(real[:, k, None], step, ahead[:, k - 1])
-        for k in range(steps - 2, -1, -1):
-            nxt = behind[:, k + 1] + score[:, k + 1]
-            step = np.logaddexp(nxt[:, :1] + moves[:, 0], nxt[:, 1:] + moves[:, 1])
-            behind[:, k] = np.where(real[:, k + 1, None], step, 0)
-        total = np.logaddexp(ahead[:, -1, 0], ahead[:, -1, 1])
-        prob = np.exp(ahead + behind - total[:, None, None]) * real[:, :, None] * weight_of[:, None, None]
-        expected = np.zeros((N_FEATURES + 1, 2))
-        np.add.at(expected, feats[real], prob[real][:, None, :])
-        joint = (
-            ahead[:, :-1, :, None] + moves + (score + behind)[:, 1:, None, :] - total[:, None, None, None]
-        )
-        expected_moves = (np.exp(np.where(pairs[:, :, None, None], joint, -np.inf)) * weight_of[:, None, None, None]).sum(axis=(0, 1))
+        found = [b.expected(weights, moves) for b in batches]
         slopes = [
-            (seen - expected)[:N_FEATURES] / n_lines - ridge * weights,
-            (moved - expected_moves) / n_lines - ridge * moves,
+            (seen - sum(f for f, _ in found))[:N_FEATURES] / lines.sum() - ridge * weights,
+            (moved - sum(j for _, j in found)) / lines.sum() - ridge * moves,
         ]
         for i, (value, slope) in enumerate(zip((weights, moves), slopes, strict=True)):
             m[i] = 0.9 * m[i] + 0.1 * slope

@@ -209,3 +209,27 @@ def test_fingerprint_matches_definition():
     for text in ["", "a", "A b C", "a b c d e f g a b c d", "é ß 中文 x y"]:
         assert simhash_dedup.fingerprint(text.encode()) == brute.fingerprint(text)
     assert hashlib.sha256(b"").hexdigest() == brute.sha("")
+
+
+def test_expected_counts_are_those_of_all_paths():
+    """Forward-backward against the sum over every state sequence."""
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(0)
+    seqs = [rng.integers(0, 3, size=(n, len(quality_rules.RANGES))) for n in (1, 3, 4)]
+    seqs = [(s + quality_rules.BASE[:-1]).clip(max=quality_rules.N_FEATURES - 1).astype(np.int16) for s in seqs]
+    weights, moves = rng.normal(size=(quality_rules.N_FEATURES, 2)), rng.normal(size=(2, 2))
+    found, joint = quality_rules.Batch(seqs, [0, 1, 1], np.array([0.5, 2.0])).expected(weights, moves)
+    exp_found, exp_joint = np.zeros_like(found), np.zeros((2, 2))
+    for seq, weight in zip(seqs, (0.5, 2.0, 2.0), strict=True):
+        score = weights[seq].sum(axis=1)
+        paths = list(itertools.product((0, 1), repeat=len(seq)))
+        mass = np.exp([sum(score[i, s] for i, s in enumerate(p)) + sum(moves[a, b] for a, b in itertools.pairwise(p)) for p in paths])
+        for p, w in zip(paths, mass / mass.sum() * weight, strict=True):
+            for i, s in enumerate(p):
+                np.add.at(exp_found, (seq[i], s), w)
+            for a, b in itertools.pairwise(p):
+                exp_joint[a, b] += w
+    assert np.allclose(found, exp_found) and np.allclose(joint, exp_joint)
