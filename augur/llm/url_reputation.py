@@ -26,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from augur.llm.scratch import stored
+
 RULES = (
     ("allow", "com/"),
     ("block", "example.com/en/"),
@@ -102,14 +104,16 @@ def reputation(outcomes: DataFrame, hosts: DataFrame, limit: float = MAX_BAD) ->
     one page more, at the limit, so that without outcomes no host is over it."""
     # labelled or not, each host belongs to its groups; unlabelled ones have n = 0
     known = hosts.join(outcomes.select("host", "n", "bad"), "host", "left").fillna(0, ["n", "bad"])
+    # each level is written: it is read several times by the next, and nested plans would grow level by level
+    known = stored(known, "hosts")
     overall = known.agg((F.coalesce(F.sum("bad"), F.lit(0)) + limit) / (F.coalesce(F.sum("n"), F.lit(0)) + 1)).scalar()
     posterior = lambda a, b: (F.col(a) / (F.col(a) + F.col(b)))
     suffixes = known.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    suffixes = _shrink(suffixes, ["suffix"], overall)
+    suffixes = stored(_shrink(suffixes, ["suffix"], overall), "suffixes")
     domains = known.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = domains.join(suffixes.select("suffix", posterior("alpha", "beta").alias("prior")), "suffix")
-    domains = _shrink(domains, ["domain"], "prior")
-    single = known.join(domains.select("domain", posterior("alpha", "beta").alias("prior")), "domain")
+    domains = stored(_shrink(domains, ["domain"], "prior"), "domains")
+    single = stored(known.join(domains.select("domain", posterior("alpha", "beta").alias("prior")), "domain"), "priors")
     single = _shrink(single, ["host"], "prior")
     total = F.col("alpha") + F.col("beta")
     return single.select(
