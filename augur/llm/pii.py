@@ -17,8 +17,13 @@ pronounceable words of the same script (there two may meet; the check settles it
 Collisions are checked over the whole corpus: no surrogate may be the surrogate of
 another entity or any entity that really occurs (first names from the lists,
 which are rotated, excepted). Entities that collide are drawn again, round by
-round, until none does; those few with a round over 0 travel with the job
+round, until none does; from round ``MAX_ROUNDS`` on a surrogate is longer than
+its entity, by one character or syllable more each round (an IPv4 address
+becomes an IPv6 one), so a full or tiny space runs out of collisions and never stops the job.
+Those few with a round over 0 travel with the job
 while they are at most ``max_redrawn``, and are joined to their documents beyond.
+A value after a keyword that is a mask (no letter or digit, at most two
+different characters inside its brackets) is no entity.
 
 Null texts stay null, texts without entities stay as they are, byte for byte.
 Repeated rows get equal texts. All columns of the input are kept, ``text``
@@ -27,7 +32,9 @@ changed; ``entities`` (type, start, end in code points of the new text) and ``n_
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import itertools
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -143,10 +150,15 @@ def _canonical(kind: str, mention: str, at: int, match: re.Match) -> Iterator[tu
                 what = f"family {script_of(word)}"
             yield at, at + len(part), what, word
             at += len(part) + 1
-    else:
+    elif kind != "secret" or not is_mask(mention):
         yield at, end, kind, mention
 
 
+def is_mask(value: str) -> bool:
+    """Whether a secret has been blanked out already, as in ``[********]``."""
+    return not any(c.isalnum() for c in value) and len(set(value.strip("[](){}<>"))) <= 2
+
+
 def permuted(value: int, size: int, key: bytes, tweak: str) -> int:
     """A keyed permutation of range(size)."""
     if size < 2:
@@ -165,6 +177,7 @@ def permuted(value: int, size: int, key: bytes, tweak: str) -> int:
 
 
 LETTERS, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
+SYMBOLS = "!#$%&()*+-./:<=>?@[\\]^_`{|}~"  # those that a secret can hold
 
 
 def reshaped(text: str, alphabets: list[str], key: bytes, tweak: str) -> str:
@@ -184,8 +197,20 @@ def reshaped(text: str, alphabets: list[str], key: bytes, tweak: str) -> str:
     return "".join(reversed(out))
 
 
+@functools.lru_cache(4096)
+def _alphabet(c: str) -> str:
+    """The class of a letter, digit or symbol outside ASCII: its own ten digits, or
+    the characters of its general category in its 256 code points; others have none."""
+    kind, block = unicodedata.category(c), ord(c) & ~0xFF
+    if kind == "Nd":
+        return "".join(chr(ord(c) - unicodedata.decimal(c) + i) for i in range(10))
+    return "".join(x for x in map(chr, range(max(block, 0x80), block + 0x100)) if unicodedata.category(x) == kind) if kind[0] in "LNSP" else ""
+
+
 def _by_class(text: str) -> list[str]:
-    return [next((a for a in (LETTERS, LETTERS.upper(), DIGITS) if c in a), "") for c in text]
+    """Alphabets of the characters; symbols have one only where there is nothing else."""
+    known = (LETTERS, LETTERS.upper(), DIGITS) if any(c.isalnum() for c in text) else (SYMBOLS,)
+    return [next((a for a in known if c in a), _alphabet(c) if c > "\x7f" and (known[0] == SYMBOLS or c.isalnum()) else "") for c in text]
 
 
 def _address_class(value: int) -> int:
@@ -196,44 +221,54 @@ def _address_class(value: int) -> int:
 
 
 def surrogate(kind: str, canonical: str, key: bytes, draw: int = 0) -> str:
-    """Canonical form of the entity that stands for this one."""
+    """Canonical form of the entity that stands for this one; longer from draw MAX_ROUNDS on."""
     tweak = f"{kind}|{draw}"
+    more = max(0, draw - MAX_ROUNDS + 1)
     if kind == "email":
         keep = len(canonical) - canonical.rindex(".")  # the top-level domain stays
-        return reshaped(canonical[:-keep], _by_class(canonical[:-keep]), key, tweak) + canonical[-keep:]
+        body = "a" * more + canonical[:-keep]
+        return reshaped(body, _by_class(body), key, tweak) + canonical[-keep:]
     if kind == "card":
-        body = canonical[:-1]
+        body = canonical[:-1] + "0" * more
         body = body[0] + reshaped(body[1:], [DIGITS] * (len(body) - 1), key, tweak + body[0])
         return body + str(luhn(body))
     if kind == "iban":
-        account = reshaped(canonical[4:], _by_class(canonical[4:]), key, tweak + canonical[:2])
+        account = canonical[4:] + "0" * more
+        account = reshaped(account, _by_class(account), key, tweak + canonical[:2])
         return canonical[:2] + iban_check(canonical[:2], account) + account
     if kind == "phone":
         keep = 2 if canonical[0] == "+" else 0
-        return canonical[:keep] + reshaped(canonical[keep:], [DIGITS] * (len(canonical) - keep), key, tweak + canonical[:keep])
+        digits = canonical[keep:] + "0" * more
+        return canonical[:keep] + reshaped(digits, [DIGITS] * len(digits), key, tweak + canonical[:keep])
     if kind == "ssn":
+        canonical += "0" * more
         return reshaped(canonical, _by_class(canonical), key, tweak)
     if kind == "ip":
         value = int.from_bytes(bytes(map(int, canonical.split("."))), "big")
         own = _address_class(value)
+        if more:  # one to one, and no IPv4 address: never collides
+            value = permuted(value, 1 << 32, key, tweak)
+            return f"{'fd00' if own == 1 else '2001:db8'}::{value >> 16:x}:{value & 0xFFFF:x}"
         while True:
             value = permuted(value, 1 << 32, key, tweak)
             if _address_class(value) == own:
                 return ".".join(map(str, value.to_bytes(4, "big")))
     if kind == "secret":
         if canonical[:4] in ("AKIA", "ASIA") and len(canonical) == 20:
-            return canonical[:4] + reshaped(canonical[4:], [LETTERS.upper() + DIGITS] * 16, key, tweak + canonical[:4])
+            return canonical[:4] + reshaped(canonical[4:] + "A" * more, [LETTERS.upper() + DIGITS] * (16 + more), key, tweak + canonical[:4])
         hexadecimal = all(c in HEX for c in canonical)
+        canonical += ("0" if hexadecimal else "a") * more
         return reshaped(canonical, [HEX] * len(canonical) if hexadecimal else _by_class(canonical), key, tweak)
     _, script, *gender = kind.split(" ")
     if kind.startswith("first"):  # a rotation: no name stays, none meet
         names = FIRST[script, gender[0]]
         shift = 1 + int.from_bytes(hashlib.blake2b(key + kind.encode(), digest_size=8).digest(), "big") % (len(names) - 1)
         return names[(names.index(canonical) + shift) % len(names)]
-    return _pronounceable(canonical, script, gender[0] if gender else "", key, tweak)
+    return _pronounceable(canonical, script, gender[0] if gender else "", key, tweak, more)
 
 
-def _pronounceable(word: str, script: str, gender: str, key: bytes, tweak: str) -> str:
+def _pronounceable(word: str, script: str, gender: str, key: bytes, tweak: str, more: int = 0) -> str:
+    """A word of the script, with ``more`` syllables than usual."""
     value = int.from_bytes(word.encode("utf-8", "surrogatepass"), "big")
     consonants, vowels = SYLLABLES[script]
     base = len(consonants) * len(vowels)
@@ -242,12 +277,15 @@ def _pronounceable(word: str, script: str, gender: str, key: bytes, tweak: str)
     room = max(base**2, min(256 ** len(word.encode("utf-8", "surrogatepass")), base ** (len(word) + 1)))
     while size < room:
         size, count = size * base, count + 1
+    usual = 2 * count
+    usual = usual // 2 if count > 6 else usual
+    size, count = size * base**more, count + more
     value = permuted(value % size, size, key, f"{tweak}|{count}")
     out = ""
     for _ in range(count):
         value, place = divmod(value, base)
         out += consonants[place // len(vowels)] + vowels[place % len(vowels)]
-    out = out[: max(2, len(out) // 2 + len(out) % 2)] if count > 6 else out
+    out = out[: usual + 2 * more]
     if gender == "f":
         out = out[:-1] + ("а" if script == "cyrillic" else "α" if script == "greek" else "a")
     return out
@@ -257,9 +295,10 @@ def written(mention: str, kind: str, canonical: str, new: str) -> str:
     """The surrogate in the mention's format."""
     if kind in ("card", "phone", "iban"):
         plain = iter(new.lstrip("+"))
-        return "".join(next(plain) if c.isalnum() else c for c in mention)
+        return "".join(next(plain) if c.isalnum() else c for c in mention) + "".join(plain)
     if kind == "email":
-        return "".join(n.upper() if c.isupper() else n for c, n in zip(mention, new, strict=True))
+        more = len(new) - len(mention)
+        return new[:more] + "".join(n.upper() if c.isupper() else n for c, n in zip(mention, new[more:], strict=True))
     if kind.split(" ")[0] in ("first", "given", "family"):
         return new.upper() if len(mention) > 1 and mention.isupper() else new[:1].upper() + new[1:]
     return new
@@ -307,16 +346,17 @@ def _draw(key: bytes, draw: int):
 
 def redrawn(docs: DataFrame, key: bytes = KEY) -> DataFrame | None:
     """(type, entity, draw) of the entities whose first surrogate collides;
-    None if there are none. Raises if ``MAX_ROUNDS`` rounds leave collisions."""
+    None if there are none. Surrogates grow from round ``MAX_ROUNDS`` on, past the
+    length of any that is taken, so the rounds end."""
     entities = stored(docs.select("text").mapInArrow(_entities, "type string, entity string").distinct(), "entities")
     entities = entities.filter("type not like 'first %'")
     pending, taken, drawn = entities, None, None
-    for draw in range(MAX_ROUNDS):
+    for draw in itertools.count():
         made = stored(pending.mapInArrow(_draw(key, draw), "type string, entity string, new string"), "surrogates")
         real = entities.select("type", F.col("entity").alias("new"))
         used = real if taken is None else real.unionByName(taken)
         first = made.groupBy("type", "new").agg(F.min("entity").alias("entity"))  # of several that meet, one keeps it
-        good = first.join(used, ["type", "new"], "left_anti")
+        good = stored(first.join(used, ["type", "new"], "left_anti"), "good")  # so plans don't nest
         pending = stored(made.join(good, ["type", "new", "entity"], "left_anti").select("type", "entity"), "pending")
         if draw:
             now = good.select("type", "entity", F.lit(draw).alias("draw"))
@@ -324,7 +364,6 @@ def redrawn(docs: DataFrame, key: bytes = KEY) -> DataFrame | None:
         if pending.isEmpty():
             return drawn
         taken = good.select("type", "new") if taken is None else taken.unionByName(good.select("type", "new"))
-    raise ValueError(f"surrogates still collide after {MAX_ROUNDS} rounds: a type's space is exhausted")
 
 
 def _apply(key: bytes, known: dict[tuple[str, str], int], own: bool):
