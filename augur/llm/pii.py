@@ -71,16 +71,16 @@ SYLLABLES = {
 GENDER_OF = {name: (script, gender) for (script, gender), names in FIRST.items() for name in names}
 
 NAME = r"[A-ZÀ-ÖØ-ÞΑ-ΩΆ-ΏА-ЯЁ][a-zß-öø-ÿα-ωά-ώа-яё]+"
-FOUND: list[tuple[str, re.Pattern, str]] = [  # type, pattern, a string without which it can't match ("0": a digit)
-    ("email", re.compile(r"(?<![\w.%+-])([A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,})(?![A-Za-z0-9])"), "@"),
-    ("secret", re.compile(r"(?<!\w)((?:AKIA|ASIA)[0-9A-Z]{16})(?!\w)"), "IA"),
-    ("secret", re.compile(r"(?<!\w)(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?([^\s\"',;]{6,})"), "0"),
-    ("iban", re.compile(r"(?<!\w)([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"), "0"),
-    ("card", re.compile(r"(?<![\w.+-])(\d(?:[ -]?\d){12,18})(?![\w-])"), "0"),
-    ("ssn", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])"), "0"),
-    ("phone", re.compile(r"(?<![\w+])(\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"), "0"),
-    ("ip", re.compile(r"(?<![\w.])((?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d))(?!\w|\.\d)"), "0"),
-    ("name", re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? ({NAME}(?: {NAME}){{0,2}})|((?i:{'|'.join(GENDER_OF)}) {NAME}))(?!\w)"), " "),
+FOUND: list[tuple[str, re.Pattern, tuple[str, ...]]] = [  # type, pattern, strings of which it needs one ("0": any digit)
+    ("email", re.compile(r"(?<![\w.%+-])([A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,})(?![A-Za-z0-9])"), ("@",)),
+    ("secret", re.compile(r"(?<!\w)((?:AKIA|ASIA)[0-9A-Z]{16})(?!\w)"), ("IA",)),
+    ("secret", re.compile(r"(?<!\w)(?i:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\s*[=:]\s*[\"']?([^\s\"',;]{6,})"), ("=", ":")),
+    ("iban", re.compile(r"(?<!\w)([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)(?!\w)"), ("0",)),
+    ("card", re.compile(r"(?<![\w.+-])(\d(?:[ -]?\d){12,18})(?![\w-])"), ("0",)),
+    ("ssn", re.compile(r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])"), ("0",)),
+    ("phone", re.compile(r"(?<![\w+])(\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w)"), ("0",)),
+    ("ip", re.compile(r"(?<![\w.])((?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d))(?!\w|\.\d)"), ("0",)),
+    ("name", re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? ({NAME}(?: {NAME}){{0,2}})|((?i:{'|'.join(GENDER_OF)}) {NAME}))(?!\w)"), (" ",)),
 ]
 DIGIT = re.compile("[0-9]")
 
@@ -110,7 +110,7 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     spans: list[tuple[int, int, str, str]] = []
     digit = DIGIT.search(text) is not None
     for kind, pattern, need in FOUND:
-        if not (digit if need == "0" else need in text):
+        if not (digit if need == ("0",) else any(n in text for n in need)):
             continue
         for match in pattern.finditer(text):
             group = 1 if match.group(1) is not None else 2

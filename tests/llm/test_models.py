@@ -212,6 +212,13 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert (None, None) in small
 
 
+@pytest.mark.parametrize("text", ["password=correcthorse", "the API-Key: 'correcthorse' is", "pwd = correcthorse\nand 7 more"])
+def test_secrets_of_letters_need_no_digit(text):
+    new, where = pii.replace(text, KEY, lambda *_: 0)
+    assert [w["type"] for w in where] == ["secret"] and "correcthorse" not in new
+    assert re.fullmatch("[a-z]{12}", new[where[0]["start"] : where[0]["end"]])
+
+
 def test_full_spaces_and_masks_dont_stop_the_job(spark):
     """Every x@y.de is real, so no surrogate of that shape is free."""
     rows = [(i, f"{a}@{b}.de") for i, (a, b) in enumerate(itertools.product(string.ascii_lowercase, repeat=2))]
