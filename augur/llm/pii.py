@@ -9,7 +9,7 @@ An entity is its canonical form (digits of a number, lower-case address or
 name part), so mentions in other formats corefer. Its surrogate is a keyed
 permutation of all canonical forms of the same type and shape (a Feistel network with cycle walking,
 so two entities of one shape can't meet) and is written in the mention's own
-format: punctuation, case, script, country digit, card and IBAN check digits,
+format: punctuation, case, script, kind of digit, country digit, card and IBAN check digits,
 private or public address range, hexadecimal or alphanumeric secrets. First
 names become first names of the same gender and script, other name parts
 pronounceable words of the same script (there two may meet; the check settles it).
@@ -82,7 +82,8 @@ FOUND: list[tuple[str, re.Pattern, tuple[str, ...]]] = [  # type, pattern, strin
     ("ip", re.compile(r"(?<![\w.])((?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d))(?!\w|\.\d)"), ("0",)),
     ("name", re.compile(rf"(?<!\w)(?:(?:{'|'.join(TITLES)})\.? ({NAME}(?: {NAME}){{0,2}})|((?i:{'|'.join(GENDER_OF)}) {NAME}))(?!\w)"), (" ",)),
 ]
-DIGIT = re.compile("[0-9]")
+DIGIT = re.compile(r"\d")
+OTHER_DIGIT = re.compile(r"[^\D0-9]")
 
 
 def luhn(digits: str) -> int:
@@ -109,10 +110,12 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
     where two types claim a place, the one named first in FOUND has it."""
     spans: list[tuple[int, int, str, str]] = []
     digit = DIGIT.search(text) is not None
+    # digits of other scripts are read as ASCII ones in numbers; places stay the same
+    ascii_digits = OTHER_DIGIT.sub(lambda m: str(unicodedata.decimal(m.group())), text) if digit and not text.isascii() else text
     for kind, pattern, need in FOUND:
         if not (digit if need == ("0",) else any(n in text for n in need)):
             continue
-        for match in pattern.finditer(text):
+        for match in pattern.finditer(ascii_digits if need == ("0",) else text):
             group = 1 if match.group(1) is not None else 2
             for start, end, what, canonical in _canonical(kind, match.group(group), match.start(group), match):
                 if all(end <= s or start >= e for s, e, _, _ in spans):
@@ -291,11 +294,20 @@ def _pronounceable(word: str, script: str, gender: str, key: bytes, tweak: str,
     return out
 
 
+def _in_digits_of(mention: str, new: str) -> str:
+    """``new`` with the mention's kind of digit at each of its places (the last kind beyond)."""
+    zeros = [ord(c) - unicodedata.decimal(c) for c in mention if c.isdecimal()]
+    places = itertools.count()
+    return "".join(chr(zeros[min(next(places), len(zeros) - 1)] + int(c)) if c.isdecimal() else c for c in new)
+
+
 def written(mention: str, kind: str, canonical: str, new: str) -> str:
     """The surrogate in the mention's format."""
-    if kind in ("card", "phone", "iban"):
-        plain = iter(new.lstrip("+"))
-        return "".join(next(plain) if c.isalnum() else c for c in mention) + "".join(plain)
+    if kind in ("card", "phone", "iban", "ssn", "ip"):
+        if kind in ("card", "phone", "iban"):
+            plain = iter(new.lstrip("+"))
+            new = "".join(next(plain) if c.isalnum() else c for c in mention) + "".join(plain)
+        return new if mention.isascii() else _in_digits_of(mention, new)
     if kind == "email":
         more = len(new) - len(mention)
         return new[:more] + "".join(n.upper() if c.isupper() else n for c, n in zip(mention, new[more:], strict=True))

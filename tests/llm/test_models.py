@@ -219,6 +219,17 @@ def test_secrets_of_letters_need_no_digit(text):
     assert re.fullmatch("[a-z]{12}", new[where[0]["start"] : where[0]["end"]])
 
 
+@pytest.mark.parametrize("zero", ["٠", "０", "०"])
+@pytest.mark.parametrize("more", ["", " or 7"])
+def test_digits_of_other_scripts(zero, more):
+    own = str.maketrans(string.digits, "".join(chr(ord(zero) + i) for i in range(10)))
+    for kind in ("phone", "card", "ip", "ssn", "iban"):
+        for value in SAMPLES[kind]:
+            new, where = pii.replace(f"see {value.translate(own)} now{more}", KEY, lambda *_: 0)
+            plain, _ = pii.replace(f"see {value} now", KEY, lambda *_: 0)
+            assert [w["type"] for w in where] == [kind] and new == plain.translate(own) + more
+
+
 def test_full_spaces_and_masks_dont_stop_the_job(spark):
     """Every x@y.de is real, so no surrogate of that shape is free."""
     rows = [(i, f"{a}@{b}.de") for i, (a, b) in enumerate(itertools.product(string.ascii_lowercase, repeat=2))]
