@@ -3,7 +3,10 @@
 Detected are e-mail addresses, phone numbers, payment cards (Luhn), IPv4
 addresses, US social security numbers, IBANs (mod 97), secrets (access keys,
 values after ``password=`` and the like) and person names (after a title, or a
-known first name before a capitalised word; Latin, Greek and Cyrillic script).
+known first name before a capitalised word; Latin, Greek and Cyrillic script;
+then every bare occurrence of these name parts in the same text, capitalised
+or in capitals, but not inflected or in small letters). A given name that isn't listed is one
+entity whatever its title; only the ending follows the gender that the text's titles tell.
 
 An entity is its canonical form (digits of a number, lower-case address or
 name part), so mentions in other formats corefer. Its surrogate is a keyed
@@ -32,6 +35,7 @@ changed; ``entities`` (type, start, end in code points of the new text) and ``n_
 
 from __future__ import annotations
 
+import bisect
 import functools
 import hashlib
 import itertools
@@ -40,7 +44,7 @@ import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from augur.llm.scratch import stored
@@ -108,7 +112,24 @@ def script_of(word: str) -> str:
 def find(text: str) -> list[tuple[int, int, str, str]]:
     """Mentions (start, end, type, canonical form) in order, none overlapping;
     where two types claim a place, the one named first in FOUND has it."""
+    return [mention[:4] for mention in find_gendered(text)]
+
+
+def find_gendered(text: str) -> list[tuple[int, int, str, str, str]]:
+    """As ``find``, with the gender that the text's titles give a given name ("n": none)."""
+    starts: list[int] = []
     spans: list[tuple[int, int, str, str]] = []
+
+    def take(start: int, end: int, what: str, canonical: str) -> bool:
+        i = bisect.bisect_left(starts, start)
+        free = (i == 0 or spans[i - 1][1] <= start) and (i == len(starts) or end <= starts[i])
+        if free:
+            starts.insert(i, start)
+            spans.insert(i, (start, end, what, canonical))
+        return free
+
+    parts: dict[str, tuple[str, str]] = {}  # a name part as written -> its type and canonical form
+    genders: dict[str, str] = {}
     digit = DIGIT.search(text) is not None
     # digits of other scripts are read as ASCII ones in numbers; places stay the same
     ascii_digits = OTHER_DIGIT.sub(lambda m: str(unicodedata.decimal(m.group())), text) if digit and not text.isascii() else text
@@ -118,9 +139,29 @@ def find(text: str) -> list[tuple[int, int, str, str]]:
         for match in pattern.finditer(ascii_digits if need == ("0",) else text):
             group = 1 if match.group(1) is not None else 2
             for start, end, what, canonical in _canonical(kind, match.group(group), match.start(group), match):
-                if all(end <= s or start >= e for s, e, _, _ in spans):
-                    spans.append((start, end, what, canonical))
-    return sorted(spans)
+                if take(start, end, what, canonical) and kind == "name":
+                    written_as = text[start:end]
+                    for form in (written_as[:1].upper() + written_as[1:], written_as.upper()):
+                        parts.setdefault(form, (what, canonical))
+                    gender = _title_gender(match)
+                    if what.startswith("given") and gender != "n":
+                        genders.setdefault(canonical, gender)
+    for form, (what, canonical) in parts.items():  # bare occurrences of the text's names
+        at = text.find(form)
+        while at >= 0:
+            end = at + len(form)
+            if not (at and _in_word(text[at - 1]) or end < len(text) and _in_word(text[end])):
+                take(at, end, what, canonical)
+            at = text.find(form, end)
+    return [(*s, genders.get(s[3], "n") if s[2].startswith("given") else "n") for s in spans]
+
+
+def _in_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
+def _title_gender(match: re.Match) -> str:
+    return TITLES.get(match.group(0).split(" ")[0].rstrip("."), "n") if match.group(1) is not None else "n"
 
 
 def _canonical(kind: str, mention: str, at: int, match: re.Match) -> Iterator[tuple[int, int, str, str]]:
@@ -140,15 +181,14 @@ def _canonical(kind: str, mention: str, at: int, match: re.Match) -> Iterator[tu
         if 7 <= len(digits) <= 15:
             yield at, end, kind, ("+" if mention[0] == "+" else "") + digits
     elif kind == "name":
-        title = match.group(0).split(" ")[0].rstrip(".") if match.group(1) is not None else ""
-        gender = TITLES.get(title, "n")
+        gender = _title_gender(match)
         parts = mention.split(" ")
         for i, part in enumerate(parts):
             word = part.lower()
             if word in GENDER_OF and (i < len(parts) - 1 or len(parts) == 1 and gender != "n"):
                 what = f"first {GENDER_OF[word][0]} {GENDER_OF[word][1]}"
             elif len(parts) > 1 and i == 0:
-                what = f"given {script_of(word)} {gender}"
+                what = f"given {script_of(word)}"
             else:
                 what = f"family {script_of(word)}"
             yield at, at + len(part), what, word
@@ -267,10 +307,10 @@ def surrogate(kind: str, canonical: str, key: bytes, draw: int = 0) -> str:
         names = FIRST[script, gender[0]]
         shift = 1 + int.from_bytes(hashlib.blake2b(key + kind.encode(), digest_size=8).digest(), "big") % (len(names) - 1)
         return names[(names.index(canonical) + shift) % len(names)]
-    return _pronounceable(canonical, script, gender[0] if gender else "", key, tweak, more)
+    return _pronounceable(canonical, script, key, tweak, more)
 
 
-def _pronounceable(word: str, script: str, gender: str, key: bytes, tweak: str, more: int = 0) -> str:
+def _pronounceable(word: str, script: str, key: bytes, tweak: str, more: int = 0) -> str:
     """A word of the script, with ``more`` syllables than usual."""
     value = int.from_bytes(word.encode("utf-8", "surrogatepass"), "big")
     consonants, vowels = SYLLABLES[script]
@@ -288,10 +328,7 @@ def _pronounceable(word: str, script: str, gender: str, key: bytes, tweak: str,
     for _ in range(count):
         value, place = divmod(value, base)
         out += consonants[place // len(vowels)] + vowels[place % len(vowels)]
-    out = out[: usual + 2 * more]
-    if gender == "f":
-        out = out[:-1] + ("а" if script == "cyrillic" else "α" if script == "greek" else "a")
-    return out
+    return out[: usual + 2 * more]
 
 
 def _in_digits_of(mention: str, new: str) -> str:
@@ -301,8 +338,8 @@ def _in_digits_of(mention: str, new: str) -> str:
     return "".join(chr(zeros[min(next(places), len(zeros) - 1)] + int(c)) if c.isdecimal() else c for c in new)
 
 
-def written(mention: str, kind: str, canonical: str, new: str) -> str:
-    """The surrogate in the mention's format."""
+def written(mention: str, kind: str, canonical: str, new: str, gender: str = "n") -> str:
+    """The surrogate in the mention's format; a woman's given name ends in a."""
     if kind in ("card", "phone", "iban", "ssn", "ip"):
         if kind in ("card", "phone", "iban"):
             plain = iter(new.lstrip("+"))
@@ -312,6 +349,8 @@ def written(mention: str, kind: str, canonical: str, new: str) -> str:
         more = len(new) - len(mention)
         return new[:more] + "".join(n.upper() if c.isupper() else n for c, n in zip(mention, new[more:], strict=True))
     if kind.split(" ")[0] in ("first", "given", "family"):
+        if gender == "f":
+            new = new[:-1] + {"cyrillic": "а", "greek": "α"}.get(kind.split(" ")[1], "a")
         return new.upper() if len(mention) > 1 and mention.isupper() else new[:1].upper() + new[1:]
     return new
 
@@ -319,8 +358,8 @@ def written(mention: str, kind: str, canonical: str, new: str) -> str:
 def replace(text: str, key: bytes, draw_of: Callable[[str, str], int]) -> tuple[str, list[dict]]:
     """The text with surrogates, and where they are."""
     out, spans, at, size = [], [], 0, 0
-    for start, end, kind, canonical in find(text):
-        new = written(text[start:end], kind, canonical, surrogate(kind, canonical, key, draw_of(kind, canonical)))
+    for start, end, kind, canonical, gender in find_gendered(text):
+        new = written(text[start:end], kind, canonical, surrogate(kind, canonical, key, draw_of(kind, canonical)), gender)
         out += [text[at:start], new]
         size += start - at
         spans.append({"type": kind, "start": size, "end": size + len(new)})
@@ -356,6 +395,11 @@ def _draw(key: bytes, draw: int):
     return run
 
 
+def _stem(column: str) -> Column:
+    """What of a surrogate or entity must not meet: a given name up to the letter that gender may change."""
+    return F.expr(f"if(type like 'given %', substring({column}, 1, char_length({column}) - 1), {column})")
+
+
 def redrawn(docs: DataFrame, key: bytes = KEY) -> DataFrame | None:
     """(type, entity, draw) of the entities whose first surrogate collides;
     None if there are none. Surrogates grow from round ``MAX_ROUNDS`` on, past the
@@ -364,8 +408,8 @@ def redrawn(docs: DataFrame, key: bytes = KEY) -> DataFrame | None:
     entities = entities.filter("type not like 'first %'")
     pending, taken, drawn = entities, None, None
     for draw in itertools.count():
-        made = stored(pending.mapInArrow(_draw(key, draw), "type string, entity string, new string"), "surrogates")
-        real = entities.select("type", F.col("entity").alias("new"))
+        made = stored(pending.mapInArrow(_draw(key, draw), "type string, entity string, new string").withColumn("new", _stem("new")), "surrogates")
+        real = entities.select("type", _stem("entity").alias("new"))
         used = real if taken is None else real.unionByName(taken)
         first = made.groupBy("type", "new").agg(F.min("entity").alias("entity"))  # of several that meet, one keeps it
         good = stored(first.join(used, ["type", "new"], "left_anti"), "good")  # so plans don't nest

@@ -219,6 +219,30 @@ def test_secrets_of_letters_need_no_digit(text):
     assert re.fullmatch("[a-z]{12}", new[where[0]["start"] : where[0]["end"]])
 
 
+def test_bare_names_corefer():
+    text = "SMITH's car. Mr. John Smith met Zed; later Smith wrote, John read, Smithson_ and blacksmith stayed. (Smith)"
+    new, where = pii.replace(text, KEY, lambda *_: 0)
+    john, family = new.split("Mr. ")[1].split()[:2]
+    assert new == text.replace("Smithson", "\0").replace("SMITH", family.upper()).replace("Smith", family).replace("John", john).replace("\0", "Smithson")
+    assert len(where) == 6 and "Smith " not in new and [w["start"] for w in where] == sorted(w["start"] for w in where)
+
+
+def test_given_names_are_one_entity_whatever_the_title():
+    names = [pii.replace(f"{t} Zoltan Kovacs came", KEY, lambda *_: 0)[0].split()[1] for t in ("Mr.", "Dr.", "Mrs")]
+    assert names[0] == names[1] and names[2] == names[0][:-1] + "a" and "Zoltan" not in names
+    one = pii.replace("Dr. Zoltan Kovacs is Mrs Zoltan Kovacs, or Zoltan", KEY, lambda *_: 0)[0].replace(",", "").split()
+    assert one[1] == one[5] == one[-1] == names[2] and one[2] == one[6]
+
+
+def test_given_names_stay_apart_with_any_ending(spark):
+    rows = [(i, f"{t} {a}{b} Kovacs") for i, (t, a, b) in enumerate(itertools.product(("Mrs", "Dr."), ["Ab", "Bo", "Ci", "Du"] * 2, "bcdefghijk"))]
+    found = {r["doc_id"]: r["text"] for r in pii.replace_personal_data(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    owners = {}
+    for i, text in rows:
+        owners.setdefault(found[i].split()[1], set()).add(text.split()[1])
+    assert all(len(o) == 1 for o in owners.values()) and not owners.keys() & {t.split()[1] for _, t in rows}
+
+
 @pytest.mark.parametrize("zero", ["٠", "０", "०"])
 @pytest.mark.parametrize("more", ["", " or 7"])
 def test_digits_of_other_scripts(zero, more):
