@@ -12,9 +12,11 @@ positions come from a range-partitioned numbering. No task ever holds a whole
 conversation, so one may have any share of the rows.
 
 Defined cases: a call without a result has status ``open``; a result without a
-call is an ``orphan`` line; several results keep the least text (``n_results``
-counts them), repeated rows of a call are one call, and of different calls
-under one identifier the first by turn, name and arguments stays. Calls in or
+call is an ``orphan`` line; of several results the least text is the call's
+(``n_results`` counts them), repeated rows of a call are one call, and of different calls
+under one identifier the first by turn, name and arguments is linked. The other
+calls, and with ``all_results`` each other content of the results (with the number of its rows), are lines
+with status ``duplicate`` and an error, after those in order. Calls in or
 behind a dependency cycle get level -1 and come last with the error ``cycle``.
 A dependency on an unknown identifier is the error ``unknown dependency``, and
 doesn't hold the call back. Unknown tools, arguments that aren't a JSON object
@@ -129,14 +131,20 @@ def _serialise(schemas: dict[str, dict]):
             for row in batch.select(["conv", "call_id", "position", "status", "name", "arguments", "depends_on", "level", "unknown", "n_results", "content"]).to_pylist():
                 line = {"conversation": row["conv"], "id": row["call_id"], "position": row["position"], "status": row["status"]}
                 faults: list[str] = []
-                if row["status"] != "orphan":
+                further = row["status"] == "duplicate"
+                if further and row["n_results"]:
+                    faults = ["duplicate result"]
+                    line["errors"] = faults
+                elif row["status"] != "orphan":
                     value, faults = checked(row["name"], row["arguments"], schemas)
                     if row["level"] == -1:
                         faults.append("cycle")
                     if row["unknown"]:
                         faults.append("unknown dependency")
+                    if further:
+                        faults.append("duplicate call")
                     line |= {"name": row["name"], "arguments": value, "depends_on": sorted(row["depends_on"] or []), "errors": faults}
-                if row["status"] != "open":
+                if row["n_results"]:
                     line |= {"result": row["content"], "results": row["n_results"]}
                 valid.append(row["status"] == "linked" and not faults)
                 errors.append(faults)
@@ -180,10 +188,11 @@ def levels(calls: DataFrame) -> DataFrame:
     return placed.join(unknown, ["conv", "call_id"], "left")
 
 
-def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
+def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], all_results: bool = False) -> DataFrame:
     """``calls`` (conv_id, call_id, turn, name, arguments, depends_on) and
     ``results`` (conv_id, call_id, turn, content) -> one line each: (conv_id,
-    position, call_id, name, status, valid, errors, json)."""
+    position, call_id, name, status, valid, errors, json). ``all_results``:
+    further results of a call are lines too, not only counted."""
     conv_type = calls.schema["conv_id"].dataType.simpleString()
     linkable = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     named = calls.filter(linkable).select(
@@ -222,8 +231,28 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
         F.lit(0).alias("level"), F.lit(False).alias("unknown"), F.lit(1).cast("long").alias("n_results"),
         "content", F.lit("orphan").alias("status"),
     )
-    lines = linked.unionByName(lone_calls).unionByName(lone_results)
-    lines = lines.withColumns({"_last": F.col("level") == -1, "_tie": F.xxhash64("name", "arguments", "content")})
+    # further calls and results of an identifier; only those of keys that have any are joined
+    keys = ["conv", "call_id"]
+    several = named.groupBy(keys).agg(F.min(first).alias("c"), F.max(first).alias("m")).filter("not c <=> m").select(*keys, "c")
+    more_calls = named.select(*keys, first.alias("o")).join(several, keys).filter("not o <=> c").select(*keys, "o").distinct().select(
+        "o.conv_id", *keys, "o.turn", "o.name", "o.arguments", "o.depends_on",
+        F.lit(-2).alias("level"), F.lit(False).alias("unknown"), F.lit(0).cast("long").alias("n_results"),
+        F.lit(None).cast("string").alias("content"), F.lit("duplicate").alias("status"),
+    )
+    lines = linked.unionByName(lone_calls).unionByName(lone_results).unionByName(more_calls)
+    if all_results:
+        given = results.filter(linkable).withColumn("conv", F.col("conv_id").cast("string"))
+        mixed = F.min("content").isNotNull() & ((F.min("content") != F.max("content")) | (F.count("content") < F.count(F.lit(1))))
+        mixed = given.groupBy(keys).agg(F.min("content").alias("c"), mixed.alias("mixed")).filter("mixed").select(*keys, "c")
+        further = given.join(mixed, keys).filter("not content <=> c").groupBy(*keys, "content")
+        lines = lines.unionByName(
+            further.agg(F.min("turn").alias("turn"), F.min("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n_results")).select(
+                "conv_id", *keys, "turn", F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"),
+                F.lit(None).cast("array<string>").alias("depends_on"), F.lit(-2).alias("level"), F.lit(False).alias("unknown"),
+                "n_results", "content", F.lit("duplicate").alias("status"),
+            )
+        )
+    lines = lines.withColumns({"_last": F.col("level") < 0, "_tie": F.xxhash64("name", "arguments", "content")})
     numbered = sequence_number(lines, ["conv"], ["_last", "level", "turn", "call_id", "status", "_tie"], "position")
     return numbered.mapInArrow(
         _serialise(schemas),
@@ -235,7 +264,8 @@ def chat_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that a plain conversation (conv_id, turn, role, text)
     stands for: a user turn calls ``reply``, a system turn ``configure``; an
     assistant turn is the result of the turn before it. Replies depend on the
-    conversation's first system turn if that is before it."""
+    conversation's first system turn if that is before it. A turn of any other
+    role (or none) is a call of that name without an identifier, so it stays open."""
     ident = lambda turn: F.concat_ws(":", F.col("conv_id").cast("string"), turn.cast("string"))
     whole = F.when(F.col("conv_id").isNotNull() & F.col("turn").isNotNull(), ident(F.col("turn")))
     system = (
@@ -262,10 +292,18 @@ def chat_calls(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
         "turn",
         F.col("text").alias("content"),
     )
-    return calls, results
+    others = messages.filter("role is null or role not in ('user', 'system', 'assistant')").select(
+        "conv_id",
+        F.lit(None).cast("string").alias("call_id"),
+        "turn",
+        F.col("role").alias("name"),
+        F.to_json(F.struct(F.col("text").alias("message"), "turn")).alias("arguments"),
+        F.array().cast("array<string>").alias("depends_on"),
+    )
+    return calls.unionByName(others), results
 
 
 def op5_tool_call_linking(spark, sf_dir: str) -> DataFrame:
     """Every turn of ``conversations`` as linked, validated lines."""
     messages = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    return link_calls(*chat_calls(messages), CHAT_SCHEMAS)
+    return link_calls(*chat_calls(messages), CHAT_SCHEMAS, all_results=True)

@@ -183,6 +183,23 @@ def test_links_order_and_validation(spark):
     assert lines(spark, []) == []
 
 
+def test_no_turn_is_lost(spark, tmp_path):
+    turns = [
+        (1, 0, "user", "q1"), (1, 0, "user", "q2"), (1, 0, "user", "q2"), (1, 1, "assistant", "a1"), (1, 1, "assistant", "a2"), (1, 1, "assistant", "a2"),
+        (1, 1, "assistant", None), (1, 2, "tool", "t1"), (1, 2, None, "n1"), (1, 3, "assistant", "a3"), (None, 0, "tool", "t2"),
+    ]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    found = [r.asDict() | {"line": json.loads(r["json"])} for r in tool_calls.op5_tool_call_linking(spark, str(tmp_path)).collect()]
+    asked = sorted((r["status"], r["name"], r["line"]["arguments"]["message"]) for r in found if r["name"] not in (None,))
+    assert asked == [("duplicate", "reply", "q2"), ("linked", "reply", "q1"), ("open", "tool", "t1"), ("open", "tool", "t2")]
+    assert sorted((r["status"], str(r["line"].get("result")), r["line"]["results"]) for r in found if "results" in r["line"]) == [
+        ("duplicate", "None", 1), ("duplicate", "a2", 2), ("linked", "a1", 4), ("orphan", "a3", 1),
+    ]
+    assert [r["line"]["arguments"]["message"] for r in found if r["status"] == "open" and r["name"] is None] == ["n1"]
+    assert all(r["errors"] and not r["valid"] for r in found if r["status"] == "duplicate")
+    assert sorted(r["position"] for r in found if r["conv_id"] == 1) == list(range(1, 8))
+
+
 def test_canonical_json():
     assert tool_calls.canonical({"b": 1.0, "a": [True, None, 0.5, "é\n"], "\U0001f600": 1, "\ufb33": 2}) == '{"a":[true,null,0.5,"é\\n"],"b":1,"\U0001f600":1,"\ufb33":2}'
     assert tool_calls.checked("reply", '{"message": NaN}', tool_calls.CHAT_SCHEMAS)[1] == ["arguments: not JSON"]
