@@ -129,9 +129,44 @@ select page_id, p.host, p.path, fit.rule,
 from p join h2 on h2.host = p.host left join fit on fit.host = p.host and fit.path = p.path
 """
 
+# Codebooks by plain nearest entries: distance * 64 + entry orders by distance, then by index.
+_CODED = """a{k} as (
+  select r, p.part, arg_min(entry, list_sum(list_transform(p.v, lambda x, i: (x - c.v[i]) * (x - c.v[i]))) * 64 + entry) as entry,
+         min(list_sum(list_transform(p.v, lambda x, i: (x - c.v[i]) * (x - c.v[i])))) as d
+  from p join c{k} c on c.part = p.part group by r, p.part),
+"""
+_MOVED = """m{k} as (
+  select part, entry, pos, (s - ((s % n) + n) % n) // n as x
+  from (select part, entry, pos, sum(x) as s, count(*) as n
+        from (select a.part, a.entry, unnest(p.v) as x, generate_subscripts(p.v, 1) as pos from a{k} a join p using (r, part))
+        group by all)),
+c{next} as (
+  select part, entry, coalesce(moved, c.v) as v from c{k} c
+  left join (select part, entry, list(x order by pos) as moved from m{k} group by all) using (part, entry)),
+"""
+VECTOR_CODES = (
+    """
+with kept as (
+  select row_number() over (order by vec_id nulls last, embedding) - 1 as r, vec_id, label, list_transform(embedding, lambda c: cast(floor(256 * cast(c as double)) as bigint)) as x
+  from embeddings where len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+p as (
+  select r, part, x[part * len(x) // 16 + 1:(part + 1) * len(x) // 16] as v from (select r, x, unnest(range(16)) as part from kept)),
+c0 as (select part, r as entry, v from p where r < 64),
+"""
+    + "".join(_CODED.format(k=k) + _MOVED.format(k=k, next=k + 1) for k in range(2))
+    + _CODED.format(k=2)
+    + """
+coded as (select r, string_agg(lower(printf('%02x', entry)), '' order by part) as code, cast(sum(d) as bigint) as error from a2 group by r)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(array_to_string(v, ','), ',' order by part, entry)) from c2) as codebooks_sha256
+from kept join coded using (r)
+"""
+)
+
 ORACLE_SQL = {
     "op4_benchmark_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRING_DEDUP,
     "op9_mixing_sources": MIXING,
     "op10_url_reputation": URL_REPUTATION,
+    "op11_vector_codes": VECTOR_CODES,
 }
