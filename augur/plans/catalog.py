@@ -69,8 +69,13 @@ def _dims(spark, d):
 
 # ---------------------------------------------------------------- marts
 
+def _question_cells(spark, d):
+    return marts.question_cells(_unchecked(spark, d), _dims(spark, d))
+
+
 def q_question_summary(spark, d):
-    return marts.question_summary(_unchecked(spark, d), known=_dims(spark, d))
+    # the driver's question texts are a function of the id; a model has dim_questions
+    return marts.question_summary(_question_cells(spark, d), questions=F.upper("question_id"))
 
 
 def q_latest_forecast(spark, d):
@@ -174,18 +179,15 @@ def q_question_label(spark, d):
 
 
 def q_kpi_header(spark, d):
-    """The fact is read once: all three marts come from the written pairs."""
+    """Engagement and revisions come from the written pairs."""
     dims = _dims(spark, d)
-    pairs = _stored(spark, marts.pair_predictions(_unchecked(spark, d), dims), "pair_predictions")
-    return derived.kpi_header(
-        marts.question_summary(pairs), marts.engagement(pairs, dims), marts.belief_revision(pairs, dims)
-    )
+    pairs = _stored(spark, marts.pair_table(_unchecked(spark, d), dims), "pair_table")
+    return derived.kpi_header(_summary(spark, d), marts.engagement(pairs, dims), marts.belief_revision(pairs, dims))
 
 
 def q_coverage_gaps(spark, d):
-    dims = _dims(spark, d)
-    pairs = _stored(spark, marts.pair_predictions(_unchecked(spark, d), dims), "pair_predictions")
-    return derived.coverage_gaps(pairs, dims)
+    cells = _stored(spark, _question_cells(spark, d), "question_cells")
+    return derived.coverage_gaps(cells, _dims(spark, d))
 
 
 def q_presentation_projection(spark, d):
@@ -536,7 +538,7 @@ def q_materialize_table(spark, d):
 
 
 def q_mart_export_json(spark, d):
-    mart = marts.question_summary(_fact(spark, d))
+    mart = _summary(spark, d)
     path = scratch_path(spark, "question_summary_json")
     sinks.export_json(mart, path)
     return spark.read.schema(mart.schema).json(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from augur.functions.labels import first_word, pair_label, question_label as _qlabel, signed_points
-from augur.plans.marts import FACT_KEY, pair_predictions
+from augur.plans.marts import MEMBER, merge_cells, profile, question_cells
 
 
 def kpi_header(summary: DataFrame, engagement: DataFrame, revisions: DataFrame) -> DataFrame:
@@ -192,16 +192,18 @@ def coverage_gaps(fact: DataFrame, forecasters: DataFrame, known: DataFrame | No
     are active (have any forecast) and registered (in the dimension);
     ``has_gap`` marks questions answered by fewer than all active ones.
 
-    Counts, not pairs: the missing (forecaster, question) pairs are never
-    enumerated, so nothing grows with forecasters x questions.
+    From the fact or ``marts.question_cells``: a question's forecasters are
+    the bits of its words, the active ones those of all questions' words
+    together. Counts, not pairs; ``missing_pairs`` lists the pairs.
     """
-    pairs = pair_predictions(fact, known).select(*FACT_KEY).distinct()
-    active = pairs.agg(F.count_distinct("forecaster_sk")).scalar()
+    cells = question_cells(fact, known)
+    words = merge_cells(cells.where(F.col("kind") == MEMBER), [])
+    active = words.agg(F.sum(F.bit_count("bits")).cast("long")).scalar()
     registered = forecasters.agg(F.count(F.lit(1))).scalar()
     covered = F.col("covered")
     return (
-        pairs.groupBy("question_id")
-        .agg(F.count("forecaster_sk").alias("covered"))
+        profile(cells, ["question_id"])
+        .withColumnRenamed("members", "covered")
         .select(
             "question_id",
             "covered",

@@ -51,8 +51,11 @@ def build_gold(
     fact, forecasters = mart_inputs(tables)
     read = lambda name: spark.read.parquet(os.path.join(gold_dir, name))
 
-    counts = _write_concurrently(spark, {"pair_predictions": lambda: marts.pair_predictions(fact)}, gold_dir)
-    pairs = read("pair_predictions")
+    questions = tables["dim_questions"]
+    counts = _write_concurrently(
+        spark, {"pair_table": lambda: marts.pair_table(fact), "question_cells": lambda: marts.question_cells(fact)}, gold_dir
+    )
+    pairs, cells = read("pair_table"), read("question_cells")
     counts.update(
         _write_concurrently(spark, {"latest_forecasts": lambda: marts.latest_forecasts(pairs)}, gold_dir)
     )
@@ -61,7 +64,7 @@ def build_gold(
         _write_concurrently(
             spark,
             {
-                "question_summary": lambda: marts.question_summary(pairs),
+                "question_summary": lambda: marts.question_summary(cells, questions=questions),
                 "type_comparison": lambda: marts.type_comparison(pairs, forecasters, latest),
                 "type_counts": lambda: marts.type_counts(pairs, forecasters, latest),
                 "belief_revision": lambda: marts.belief_revision(pairs, forecasters),
@@ -73,7 +76,7 @@ def build_gold(
                     pairs, forecasters, [t for _, t in types], latest
                 ),
                 "engagement": lambda: marts.engagement(pairs, forecasters),
-                "coverage_gaps": lambda: derived.coverage_gaps(pairs, forecasters),
+                "coverage_gaps": lambda: derived.coverage_gaps(cells, forecasters),
             },
             gold_dir,
         )

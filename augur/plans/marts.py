@@ -6,31 +6,38 @@ Forecaster columns: forecaster_sk, forecaster_name, forecaster_type, years,
                     and where there are any forecaster_id, education_level,
                     country
 
-Every mart reads the fact once, through ``pair_predictions``: counts and first
-and last times per (forecaster, question, prediction), a map-side aggregate.
-Predictions are whole percentages, so a pair has at most 101 such rows however
-often it was updated, and the table serves all marts: latest and first
-predictions, extremes, sums, and exact medians (a percentile weighted by the
-counts). Each function takes the fact or that table, so a caller may compute
-and write it once. Forecaster attributes join the aggregate, never the fact.
+Per-pair marts read the fact once, through ``pair_table``: one row for each
+(forecaster, question) with counts, sums, extremes and the first and last
+prediction, a map-side hash aggregate. Profiles (median, moments, distinct
+forecasters) read it once through ``profile_cells``: a histogram of values and
+64-bit words of a bitmap of members, both combined map-side by one hash
+aggregate, so neither pairs nor texts are shuffled for them. Both tables are
+mergeable (``merge_pairs``, ``merge_cells``): states of parts of the fact add up to
+the state of the whole, which is what the incremental gold layer keeps. Each
+function takes the fact or such a table, so a caller may write it once.
+Forecaster attributes join aggregates, never the fact, and question texts come last.
 Joins carry no broadcast hint: AQE broadcasts the dimension only when its
 measured size is under the threshold and keeps a sort-merge join otherwise.
+
+Of several predictions of a pair at one time, the greatest counts as the last
+and the least as the first, so reruns agree.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from augur.operators.latest import latest_by
 from augur.operators.reshape import conditional_aggs, wide_to_long
 from augur.operators.sequence import sequence_number
 
 FACT_KEY = ["forecaster_sk", "question_id"]
 TS = "forecast_timestamp"
-PAIR_COLUMNS = ["n", "first_ts", "last_ts"]
+PAIR_COLUMNS = ["n", "n_predicted", "total", "least", "greatest", "first_at", "first_prediction", "last_at", "last_prediction"]
+CELL_COLUMNS = ["kind", "cell", "n", "bits"]
+VALUE, MEMBER = 0, 1  # kinds of a profile's cells
 
 # Revision direction labels.
 UP, DOWN, SAME = "revised up", "revised down", "no change"
@@ -40,47 +47,90 @@ def _r1(c):
     return F.round(c, 1)
 
 
-def pair_predictions(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
-    """Counts (n), first and last time of every prediction of every
-    (forecaster, question). Given that table, it is returned as it is.
-    ``known`` (forecaster_sk) drops forecasts of unknown forecasters, after
-    the aggregation."""
+def _at(ts: str, prediction: str):
+    """A time and the prediction made then as one ordered number (buffers of a
+    hash aggregate hold numbers, not structs)."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp")).cast("decimal(20,0)")
+    return micros * F.lit(1 << 33).cast("decimal(11,0)") + F.coalesce(F.col(prediction), F.lit(-(1 << 31))).cast("decimal(11,0)")
+
+
+def pair_table(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """One row for each (forecaster, question): submissions (n), predictions
+    that aren't NULL with their sum and extremes, first and last prediction and their
+    order keys. Given that table, it is returned as it is. ``known``
+    (forecaster_sk) drops forecasts of unknown forecasters, after the aggregation."""
     pairs = fact
     if not set(PAIR_COLUMNS) <= set(fact.columns):
-        pairs = fact.groupBy(*FACT_KEY, "question_text", "prediction").agg(
-            F.count(F.lit(1)).alias("n"), F.min(TS).alias("first_ts"), F.max(TS).alias("last_ts")
+        rows = fact.select(*FACT_KEY, "prediction", _at(TS, "prediction").alias("_at"))
+        pairs = rows.groupBy(*FACT_KEY).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count("prediction").alias("n_predicted"),
+            F.sum("prediction").alias("total"),
+            F.min("prediction").alias("least"),
+            F.max("prediction").alias("greatest"),
+            F.min("_at").alias("first_at"),
+            F.min_by("prediction", "_at").alias("first_prediction"),
+            F.max("_at").alias("last_at"),
+            F.max_by("prediction", "_at").alias("last_prediction"),
         )
     return pairs if known is None else pairs.join(known.select("forecaster_sk"), "forecaster_sk", "left_semi")
 
 
-def weighted_profile(df: DataFrame, keys: Sequence[str], value: str, weight: str, members: str) -> DataFrame:
-    """Per ``keys``: rows (sum of ``weight``), distinct ``members`` and the
-    exact median, mean, stddev, min and max of whole-number ``value``.
+def merge_pairs(states: DataFrame) -> DataFrame:
+    """Pair tables of disjoint sets of forecasts, unioned, as one."""
+    return states.groupBy(*FACT_KEY).agg(
+        *[F.sum(c).alias(c) for c in ("n", "n_predicted", "total")],
+        F.min("least").alias("least"),
+        F.max("greatest").alias("greatest"),
+        F.min("first_at").alias("first_at"),
+        F.min_by("first_prediction", "first_at").alias("first_prediction"),
+        F.max("last_at").alias("last_at"),
+        F.max_by("last_prediction", "last_at").alias("last_prediction"),
+    )
+
+
+def profile_cells(df: DataFrame, keys: Sequence[str], value: str, member: str, weight: str | None = None) -> DataFrame:
+    """Mergeable state of the profiles of ``df`` per ``keys``: a histogram of
+    whole-number ``value`` (kind 0: cell = value, n rows) and a bitmap of the
+    integer ``member`` keys (kind 1: cell = word number, 64 members a word).
 
-    One pass: counts per (keys, member, value), of which a member's first is
-    marked (at most 101 rows a window for percentages), then per (keys, value),
-    then per keys. So neither a distinct count beside a percentile nor a join
-    of the two is needed, and the percentile buffer has one entry a value.
+    One scan, one shuffle of at most (values + members / 64) rows a key and
+    task. Spark's own bitmap aggregate has a binary buffer and is planned as a sort of
+    all rows; BIT_OR of 64-bit words stays in the hash aggregate.
     """
-    first = F.row_number().over(Window.partitionBy(*keys, members).orderBy(value)) == 1
-    counts = (
-        df.groupBy(*keys, members, value)
-        .agg(F.sum(weight).alias("_n"))
-        .withColumn("_first", F.when(F.col(members).isNotNull() & first, 1).otherwise(0))
-        .groupBy(*keys, value)
-        .agg(F.sum("_n").alias("_n"), F.sum("_first").alias("_first"))
-    )
-    v = F.col(value).cast("decimal(20,0)")
-    n = F.when(F.col(value).isNotNull(), F.col("_n"))
-    out = counts.groupBy(*keys).agg(
-        F.sum("_first").alias("members"),
-        F.sum("_n").alias("rows"),
-        F.percentile(value, F.lit(0.5), F.col("_n")).alias("median"),
-        F.sum(n).alias("_n"),
-        F.sum(v * n).cast("double").alias("_s"),
-        F.sum(v * v * n).cast("double").alias("_q"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    m = F.col(member).cast("long")
+    word, bit = F.shiftright(m, 6), F.call_function("shiftleft", F.lit(1).cast("long"), m.bitwiseAND(F.lit(63)).cast("int"))
+    n = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    zero = F.lit(0).cast("long")
+    cells = F.stack(
+        F.lit(2),
+        F.lit(VALUE), F.col(value).cast("long"), n, zero,
+        F.lit(MEMBER), word, zero, F.coalesce(bit, zero),
+    ).alias(*CELL_COLUMNS)
+    return merge_cells(df.select(*keys, cells), keys)
+
+
+def merge_cells(states: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cells of disjoint sets of rows, unioned, as one."""
+    return states.groupBy(*keys, "kind", "cell").agg(F.sum("n").alias("n"), F.bit_or("bits").alias("bits"))
+
+
+def profile(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per ``keys``: rows, distinct members and the exact median, mean,
+    stddev, min and max of the values, from ``profile_cells``."""
+    value = F.when(F.col("kind") == VALUE, F.col("cell"))
+    known = F.when(value.isNotNull(), F.col("n"))
+    v = F.col("_v").cast("decimal(20,0)")
+    rows = cells.select(*keys, "n", value.alias("_v"), known.alias("_k"), F.bit_count("bits").alias("_b"))
+    out = rows.groupBy(*keys).agg(
+        F.sum("_b").cast("long").alias("members"),
+        F.sum("n").alias("rows"),
+        F.percentile("_v", F.lit(0.5), F.col("n")).alias("median"),
+        F.sum("_k").alias("_n"),
+        F.sum(v * F.col("_k")).cast("double").alias("_s"),
+        F.sum(v * v * F.col("_k")).cast("double").alias("_q"),
+        F.min("_v").cast("int").alias("min"),
+        F.max("_v").cast("int").alias("max"),
     )
     spread = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1)
     return out.select(
@@ -95,30 +145,61 @@ def weighted_profile(df: DataFrame, keys: Sequence[str], value: str, weight: str
     )
 
 
+def question_cells(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """``profile_cells`` of the predictions per question. Given that table,
+    it is returned as it is. ``known`` (forecaster_sk) drops forecasts of unknown
+    forecasters before: cells don't tell whose forecasts they hold."""
+    if set(CELL_COLUMNS) <= set(fact.columns):
+        return fact
+    if known is not None:
+        fact = fact.join(known.select("forecaster_sk"), "forecaster_sk", "left_semi")
+    return profile_cells(fact, ["question_id"], "prediction", "forecaster_sk")
+
+
+def with_text(df: DataFrame, questions: DataFrame | Column) -> DataFrame:
+    """``question_text`` after ``question_id``: an expression of the id, or from
+    a table of both (a NULL id is an id of its own)."""
+    if isinstance(questions, Column):
+        joined = df.withColumn("question_text", questions)
+    else:
+        d, q = df.alias("_d"), questions.select("question_id", "question_text").alias("_q")
+        same = F.col("_d.question_id").eqNullSafe(F.col("_q.question_id"))
+        joined = d.join(q, same, "left").select("_d.*", "_q.question_text")
+    return joined.select("question_id", "question_text", *[c for c in df.columns if c != "question_id"])
+
+
 def question_summary(
-    fact: DataFrame, with_stddev: bool = True, approximate: bool = False, known: DataFrame | None = None
+    fact: DataFrame,
+    with_stddev: bool = True,
+    approximate: bool = False,
+    known: DataFrame | None = None,
+    questions: DataFrame | Column | None = None,
 ) -> DataFrame:
-    """Per question, distinct forecasters and the prediction profile.
+    """Per question, distinct forecasters and the prediction profile,
+    from the fact or ``question_cells``. ``questions`` gives the texts
+    (default: the distinct ids and texts of the fact).
 
     ``approximate=True`` trades exactness for one single-pass aggregate over
     the fact itself: HyperLogLog++ for the distinct count (about 1% relative
     error) and ``percentile_approx`` for the median (a data value within
     1/10000 of the rank, not the interpolated midpoint). The default is exact.
     """
-    keys = ["question_id", "question_text"]
+    if questions is None:
+        questions = fact.select("question_id", "question_text").distinct()
     if approximate:
-        aggs = [
-            F.approx_count_distinct("forecaster_sk", 0.01).alias("forecaster_count"),
-            _r1(F.percentile_approx("prediction", 0.5, 10000)).alias("median_prediction"),
-            _r1(F.avg("prediction")).alias("mean_prediction"),
-        ]
-        if with_stddev:
-            aggs.append(_r1(F.stddev_samp("prediction")).alias("stddev_prediction"))
-        aggs += [F.min("prediction").alias("min_prediction"), F.max("prediction").alias("max_prediction")]
-        return fact.groupBy(*keys).agg(*aggs)
-    profile = weighted_profile(pair_predictions(fact, known), keys, "prediction", "n", "forecaster_sk")
-    return profile.select(
-        *keys,
+        per = fact.groupBy("question_id").agg(
+            F.approx_count_distinct("forecaster_sk", 0.01).alias("members"),
+            F.percentile_approx("prediction", 0.5, 10000).alias("median"),
+            F.avg("prediction").alias("mean"),
+            F.stddev_samp("prediction").alias("stddev"),
+            F.min("prediction").alias("min"),
+            F.max("prediction").alias("max"),
+        )
+    else:
+        per = profile(question_cells(fact, known), ["question_id"])
+    return with_text(per, questions).select(
+        "question_id",
+        "question_text",
         F.col("members").alias("forecaster_count"),
         _r1("median").alias("median_prediction"),
         _r1("mean").alias("mean_prediction"),
@@ -130,7 +211,7 @@ def question_summary(
 
 def latest_forecasts(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Each forecaster's most recent prediction per question."""
-    return latest_by(pair_predictions(fact, known), FACT_KEY, "last_ts", ["prediction"])
+    return pair_table(fact, known).select(*FACT_KEY, F.col("last_prediction").alias("prediction"))
 
 
 def latest_with_type(
@@ -145,9 +226,8 @@ def type_comparison(
     fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None
 ) -> DataFrame:
     """U8: forecaster types compared on their latest forecasts."""
-    rows = latest_with_type(fact, forecasters, latest).withColumn("n", F.lit(1).cast("long"))
-    profile = weighted_profile(rows, ["forecaster_type"], "prediction", "n", "forecaster_sk")
-    return profile.select(
+    cells = profile_cells(latest_with_type(fact, forecasters, latest), ["forecaster_type"], "prediction", "forecaster_sk")
+    return profile(cells, ["forecaster_type"]).select(
         "forecaster_type",
         F.col("members").alias("forecaster_count"),
         F.col("rows").alias("total_forecasts"),
@@ -200,16 +280,10 @@ def belief_revision(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     """U9 (literal): ``first`` is the least prediction, as in the reference,
     and ``last`` the prediction at the latest timestamp. Pairs with one
     submission are dropped before the join."""
-    per_pair = (
-        pair_predictions(fact)
-        .groupBy(*FACT_KEY)
-        .agg(
-            F.min("prediction").alias("first_prediction"),
-            F.max_by("prediction", "last_ts").alias("last_prediction"),
-            F.sum("n").alias("total_submissions"),
-        )
+    pairs = pair_table(fact).select(
+        *FACT_KEY, F.col("least").alias("first_prediction"), "last_prediction", F.col("n").alias("total_submissions")
     )
-    return _revisions(per_pair, forecasters)
+    return _revisions(pairs, forecasters)
 
 
 def numbered_revision(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
@@ -217,7 +291,7 @@ def numbered_revision(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     update whose number is the pair's count of updates (W6, W8). Numbers come
     from ``sequence_number``, so a pair with a third of all updates is split
     over tasks; ``belief_revision`` needs no order and is the cheaper form."""
-    updates = sequence_number(fact.select(*FACT_KEY, TS, "prediction"), FACT_KEY, [TS], "update_no")
+    updates = sequence_number(fact.select(*FACT_KEY, TS, "prediction"), FACT_KEY, [TS, "prediction"], "update_no")
     per_pair = updates.groupBy(*FACT_KEY).agg(
         F.min("prediction").alias("first_prediction"),
         F.max(F.struct("update_no", F.col("prediction").alias("p"))).alias("_last"),
@@ -235,16 +309,10 @@ def numbered_revision(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
 
 def belief_revision_chrono(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     """First and last by time (what the reference means to compute)."""
-    per_pair = (
-        pair_predictions(fact)
-        .groupBy(*FACT_KEY)
-        .agg(
-            F.min_by("prediction", "first_ts").alias("first_prediction"),
-            F.max_by("prediction", "last_ts").alias("last_prediction"),
-            F.sum("n").alias("total_submissions"),
-        )
+    pairs = pair_table(fact).select(
+        *FACT_KEY, "first_prediction", "last_prediction", F.col("n").alias("total_submissions")
     )
-    return _revisions(per_pair, forecasters)
+    return _revisions(pairs, forecasters)
 
 
 def calibration_spread(
@@ -296,16 +364,15 @@ def engagement(fact: DataFrame, forecasters: DataFrame) -> DataFrame:
     """Per forecaster coverage and activity, aggregated before the
     join (one row per forecaster reaches the join, not one per forecast).
     Of the profile, the columns that the dimension has."""
-    p, n = F.col("prediction"), F.when(F.col("prediction").isNotNull(), F.col("n"))
     per = (
-        pair_predictions(fact)
+        pair_table(fact)
         .groupBy("forecaster_sk")
         .agg(
-            F.count_distinct("question_id").alias("questions_covered"),
+            F.count("question_id").alias("questions_covered"),
             F.sum("n").alias("total_submissions"),
-            _r1(F.sum(p * n) / F.sum(n)).alias("avg_prediction"),
-            F.min("prediction").alias("min_prediction"),
-            F.max("prediction").alias("max_prediction"),
+            _r1(F.sum("total") / F.sum("n_predicted")).alias("avg_prediction"),
+            F.min("least").alias("min_prediction"),
+            F.max("greatest").alias("max_prediction"),
         )
     )
     who = _who(forecasters, "forecaster_name", "forecaster_type", "years", "education_level", "country")

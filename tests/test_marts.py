@@ -5,6 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from augur.plans import derived, marts
 from augur.plans.model import mart_inputs
@@ -206,11 +207,44 @@ def test_orderings(inputs):
 
 def test_marts_from_the_pair_table_equal_those_from_the_fact(inputs):
     fact, dims = inputs
-    pairs = marts.pair_predictions(fact).cache()
+    pairs = marts.pair_table(fact).cache()
     for mart in (marts.type_comparison, marts.type_counts, marts.belief_revision, marts.belief_revision_chrono, marts.engagement):
         assert sorted(map(repr, mart(fact, dims).collect())) == sorted(map(repr, mart(pairs, dims).collect()))
-    assert sorted(map(repr, marts.question_summary(fact).collect())) == sorted(map(repr, marts.question_summary(pairs).collect()))
-    assert marts.pair_predictions(pairs) is pairs
+    cells, texts = marts.question_cells(fact).cache(), fact.select("question_id", "question_text").distinct()
+    assert sorted(map(repr, marts.question_summary(fact).collect())) == sorted(map(repr, marts.question_summary(cells, questions=texts).collect()))
+    assert sorted(map(repr, derived.coverage_gaps(fact, dims).collect())) == sorted(map(repr, derived.coverage_gaps(cells, dims).collect()))
+    assert marts.pair_table(pairs) is pairs and marts.question_cells(cells) is cells
+
+
+def test_states_of_parts_merge_to_the_state_of_the_whole(inputs, spark):
+    fact, _ = inputs
+    parts = [fact.where(f"abs(hash(forecaster_sk, question_id, forecast_timestamp)) % 3 = {k}") for k in range(3)]
+    whole = lambda df: sorted(map(repr, df.collect()))
+    a, b, c = (marts.pair_table(p) for p in parts)
+    assert whole(marts.merge_pairs(a.union(b).union(c))) == whole(marts.pair_table(fact))
+    a, b, c = (marts.question_cells(p) for p in parts)
+    assert whole(marts.merge_cells(a.union(b).union(c), ["question_id"])) == whole(marts.question_cells(fact))
+
+
+def test_bitmap_counts_equal_count_distinct(spark):
+    """Keys on both sides of zero, at word limits, NULL and repeated; a third of all rows in one key."""
+    keys = [None, 0, 1, 63, 64, 65, -1, -64, -65, 2**40, 2**40 + 1, 7, 7]
+    rows = [(f"q{i % 3}", k, i % 5 if i % 4 else None) for i in range(300) for k in keys[: 1 + i % len(keys)]] + [("q9", 5, 1)] * 900
+    df = spark.createDataFrame(rows, "q string, m long, v int").repartition(6)
+    got = {r["q"]: r for r in marts.profile(marts.profile_cells(df, ["q"], "v", "m"), ["q"]).collect()}
+    exp = df.groupBy("q").agg(F.count_distinct("m").alias("m"), F.count("*").alias("n"), F.median("v").alias("med"), F.stddev("v").alias("sd"))
+    for r in exp.collect():
+        g = got[r["q"]]
+        assert (g["members"], g["rows"], g["median"]) == (r["m"], r["n"], r["med"])
+        assert g["stddev"] == pytest.approx(r["sd"])
+
+
+def test_ties_on_time_are_settled_by_the_prediction(spark):
+    rows = [(1, "q", 10, 5), (1, "q", 40, 5), (1, "q", 20, 9), (1, "q", 70, 9), (1, "q", 30, 9), (2, "q", None, 3), (2, "q", -4, 3)]
+    fact = spark.createDataFrame(rows, "forecaster_sk int, question_id string, prediction int, forecast_timestamp int").repartition(4)
+    got = {r["forecaster_sk"]: r for r in marts.pair_table(fact).collect()}
+    assert (got[1]["first_prediction"], got[1]["last_prediction"]) == (10, 70)
+    assert (got[2]["first_prediction"], got[2]["last_prediction"], got[2]["n"], got[2]["n_predicted"]) == (None, -4, 2, 1)
 
 
 def test_profile_with_nulls(spark):
