@@ -1,10 +1,11 @@
 """Command line for spark-submit or ``python -m augur``.
 
   build   --forecasts F --demographics D --tags T --out MODEL
-  gold    --model MODEL --out GOLD
-  append  --forecasts F --model MODEL
+  gold    --model MODEL --out GOLD [--full]         (refreshed from the loads since)
+  append  --model MODEL [--forecasts F] [--demographics D] [--tags T]
   stream  --source DIR --model MODEL --checkpoint DIR
   export  --gold GOLD --table NAME --out PATH        (JSON records)
+  vacuum  --model DIR [--keep N]                     (remove old versions' files)
 
 ``--master`` is only for local runs; under spark-submit the cluster manager
 provides it. Row counts are printed as JSON.
@@ -14,7 +15,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 
 from augur.session import build_session, clear_scratch
 
@@ -28,12 +28,14 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--demographics", required=True)
     b.add_argument("--tags", required=True)
     b.add_argument("--out", required=True)
-    g = sub.add_parser("gold", help="model -> silver latest, gold marts and roll-ups")
+    g = sub.add_parser("gold", help="model -> mergeable state, gold marts and roll-ups")
     g.add_argument("--model", required=True)
     g.add_argument("--out", required=True)
-    a = sub.add_parser("append", help="append a new forecast extract to the model")
-    a.add_argument("--forecasts", required=True)
-    a.add_argument("--demographics", default=None, help="register forecasters that are new")
+    g.add_argument("--full", action="store_true", help="compute everything anew")
+    a = sub.add_parser("append", help="merge new extracts into the model")
+    a.add_argument("--forecasts", default=None)
+    a.add_argument("--demographics", default=None, help="register or update forecasters")
+    a.add_argument("--tags", default=None)
     a.add_argument("--model", required=True)
     s = sub.add_parser("stream", help="load every extract landing in a folder")
     s.add_argument("--source", required=True)
@@ -43,6 +45,9 @@ def _parser() -> argparse.ArgumentParser:
     e.add_argument("--gold", required=True)
     e.add_argument("--table", required=True)
     e.add_argument("--out", required=True)
+    v = sub.add_parser("vacuum", help="remove files that the newest versions don't use")
+    v.add_argument("--model", required=True, help="a model or gold folder")
+    v.add_argument("--keep", type=int, default=1)
     return p
 
 
@@ -58,27 +63,31 @@ def main(argv: list[str] | None = None) -> dict:
             "raw_question_tags": args.tags,
         }, args.out)
     elif args.cmd == "gold":
-        from augur.plans.gold import build_gold
+        from augur.plans.gold import build_gold, refresh_gold
 
-        out = build_gold(spark, args.model, args.out)
+        out = (build_gold if args.full else refresh_gold)(spark, args.model, args.out)
     elif args.cmd == "append":
         from augur.sources.csv import scan_csv_strings
-        from augur.sources.schemas import RAW_DEMOGRAPHICS, RAW_FORECASTS
-        from augur.streaming.incremental import append_forecasts
+        from augur.sources.schemas import RAW_DEMOGRAPHICS, RAW_FORECASTS, RAW_QUESTION_TAGS
+        from augur.streaming.incremental import load
 
-        demo = scan_csv_strings(spark, args.demographics, RAW_DEMOGRAPHICS) if args.demographics else None
-        new = scan_csv_strings(spark, args.forecasts, RAW_FORECASTS)
-        out = {"appended": append_forecasts(spark, new, args.model, demo)}
+        given = ((args.forecasts, RAW_FORECASTS), (args.demographics, RAW_DEMOGRAPHICS), (args.tags, RAW_QUESTION_TAGS))
+        out = load(spark, args.model, *[scan_csv_strings(spark, p, schema) if p else None for p, schema in given])
     elif args.cmd == "stream":
         from augur.streaming.incremental import stream_forecasts
 
         q = stream_forecasts(spark, args.source, args.model, args.checkpoint)
         q.awaitTermination()
         out = {"batches": len(q.recentProgress)}
+    elif args.cmd == "vacuum":
+        from augur.sources.store import Store
+
+        out = {"removed": Store(spark, args.model).vacuum(args.keep)}
     else:
+        from augur.plans.gold import gold_table
         from augur.sources.sinks import export_json
 
-        export_json(spark.read.parquet(os.path.join(args.gold, args.table)), args.out)
+        export_json(gold_table(spark, args.gold, args.table), args.out)
         out = {"exported": args.table}
     print(json.dumps(out, sort_keys=True))
     return out

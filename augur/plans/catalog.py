@@ -21,7 +21,7 @@ from augur.operators.keys import dense_key
 from augur.operators.median import exact_median
 from augur.operators.sequence import sequence_number
 from augur.plans import derived, marts, model, quality
-from augur.session import scratch_path
+from augur.session import scratch_path, stored
 from augur.sources import csv as csv_src
 from augur.sources import schemas, sinks
 from augur.sources.tables import (
@@ -46,13 +46,6 @@ ACCEPTED_SEGMENTS = ["BUILDING", "MACHINERY"]
 NAME_SEP = "#"
 
 
-def _stored(spark, df, name):
-    """``df`` written to the shared scratch folder and read back."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def _fact(spark, d):
     return forecasts(spark, d)
 
@@ -181,12 +174,12 @@ def q_question_label(spark, d):
 def q_kpi_header(spark, d):
     """Engagement and revisions come from the written pairs."""
     dims = _dims(spark, d)
-    pairs = _stored(spark, marts.pair_table(_unchecked(spark, d), dims), "pair_table")
+    pairs = stored(marts.pair_table(_unchecked(spark, d), dims), "pair_table")
     return derived.kpi_header(_summary(spark, d), marts.engagement(pairs, dims), marts.belief_revision(pairs, dims))
 
 
 def q_coverage_gaps(spark, d):
-    cells = _stored(spark, _question_cells(spark, d), "question_cells")
+    cells = stored(_question_cells(spark, d), "question_cells")
     return derived.coverage_gaps(cells, _dims(spark, d))
 
 

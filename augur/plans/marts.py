@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from augur.operators.reshape import conditional_aggs, wide_to_long
+from augur.operators.reshape import wide_to_long
 from augur.operators.sequence import sequence_number
 
 FACT_KEY = ["forecaster_sk", "question_id"]
@@ -76,9 +76,10 @@ def pair_table(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
     return pairs if known is None else pairs.join(known.select("forecaster_sk"), "forecaster_sk", "left_semi")
 
 
-def merge_pairs(states: DataFrame) -> DataFrame:
-    """Pair tables of disjoint sets of forecasts, unioned, as one."""
-    return states.groupBy(*FACT_KEY).agg(
+def merge_pairs(states: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Pair tables of disjoint sets of forecasts, unioned, as one. ``also``
+    names further columns that a forecaster determines."""
+    return states.groupBy(*FACT_KEY, *also).agg(
         *[F.sum(c).alias(c) for c in ("n", "n_predicted", "total")],
         F.min("least").alias("least"),
         F.max("greatest").alias("greatest"),
@@ -222,11 +223,27 @@ def latest_with_type(
     return base.join(forecasters.select("forecaster_sk", "forecaster_type"), "forecaster_sk")
 
 
+LATEST_KEY = ["question_id", "forecaster_type"]
+
+
+def latest_cells(fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None) -> DataFrame:
+    """``profile_cells`` of the latest predictions per question and
+    forecaster type, which serve the type comparison and both calibration marts.
+    Given that table, it is returned as it is."""
+    if set(CELL_COLUMNS) <= set(fact.columns):
+        return fact
+    return profile_cells(latest_with_type(fact, forecasters, latest), LATEST_KEY, "prediction", "forecaster_sk")
+
+
 def type_comparison(
     fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None
 ) -> DataFrame:
-    """U8: forecaster types compared on their latest forecasts."""
-    cells = profile_cells(latest_with_type(fact, forecasters, latest), ["forecaster_type"], "prediction", "forecaster_sk")
+    """U8: forecaster types compared on their latest forecasts, from the
+    fact, the pair table or ``latest_cells``."""
+    if set(CELL_COLUMNS) <= set(fact.columns):
+        cells = merge_cells(fact, ["forecaster_type"])
+    else:
+        cells = profile_cells(latest_with_type(fact, forecasters, latest), ["forecaster_type"], "prediction", "forecaster_sk")
     return profile(cells, ["forecaster_type"]).select(
         "forecaster_type",
         F.col("members").alias("forecaster_count"),
@@ -239,7 +256,10 @@ def type_comparison(
 
 def type_counts(fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None) -> DataFrame:
     """Latest forecasts of every type, counted, with a title-cased label."""
-    rows = latest_with_type(fact, forecasters, latest).groupBy("forecaster_type").agg(F.count(F.lit(1)).alias("n"))
+    if set(CELL_COLUMNS) <= set(fact.columns):
+        rows = fact.groupBy("forecaster_type").agg(F.sum("n").alias("n"))
+    else:
+        rows = latest_with_type(fact, forecasters, latest).groupBy("forecaster_type").agg(F.count(F.lit(1)).alias("n"))
     return rows.select("forecaster_type", F.initcap("forecaster_type").alias("label"), "n")
 
 
@@ -324,15 +344,19 @@ def calibration_spread(
 ) -> DataFrame:
     """Per question, avg and stddev of latest predictions for each
     listed type as ``<prefix>_avg`` / ``<prefix>_<sd_suffix>`` columns."""
-    metrics = [
-        ("avg", lambda c: _r1(F.avg(c))),
-        (sd_suffix, lambda c: _r1(F.stddev_samp(c))),
-    ]
-    return latest_with_type(fact, forecasters, latest).groupBy("question_id").agg(
-        *conditional_aggs("forecaster_type", categories, metrics, "prediction")
+    per = _calibration(fact, forecasters, latest).groupBy("question_id")
+    of = lambda t, c: F.max(F.when(F.col("forecaster_type") == t, F.col(c)))  # noqa: E731 - one row each
+    return per.agg(
+        *[of(t, c).alias(f"{prefix}_{suffix}") for prefix, t in categories for c, suffix in (("avg", "avg"), ("stddev", sd_suffix))]
     )
 
 
+def _calibration(fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None) -> DataFrame:
+    """avg and stddev of the latest predictions per (question, type)."""
+    per = profile(latest_cells(fact, forecasters, latest), LATEST_KEY)
+    return per.select(*LATEST_KEY, _r1("mean").alias("avg"), _r1("stddev").alias("stddev"))
+
+
 def calibration_long(
     fact: DataFrame,
     forecasters: DataFrame,
@@ -341,16 +365,9 @@ def calibration_long(
 ) -> DataFrame:
     """One row per (question, type); grouped directly instead of
     pivoting and un-pivoting."""
-    dim = forecasters.where(F.col("forecaster_type").isin(list(types)))
-    return (
-        (latest if latest is not None else latest_forecasts(fact))
-        .join(dim.select("forecaster_sk", "forecaster_type"), "forecaster_sk")
-        .groupBy("question_id", "forecaster_type")
-        .agg(
-            _r1(F.avg("prediction")).alias("avg"),
-            _r1(F.stddev_samp("prediction")).alias("stddev"),
-        )
-    )
+    cells = set(CELL_COLUMNS) <= set(fact.columns)
+    dim = forecasters if cells else forecasters.where(F.col("forecaster_type").isin(list(types)))
+    return _calibration(fact, dim, latest).where(F.col("forecaster_type").isin(list(types)))
 
 
 def calibration_unpivot(

@@ -12,12 +12,10 @@ joins wherever the grain allows.
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +33,12 @@ from augur.functions.dates import date_parts
 from augur.operators.dedup import reduced
 from augur.operators.keys import dense_key
 from augur.sources.csv import load_raw
-from augur.sources.schemas import RAW_FORECASTS
-from augur.sources.sinks import write_with_audit
+from augur.session import stored
+from augur.sources.store import Entry, Store
 
 # Fixed value: the one vocabulary repair the extract needs.
 EDUCATION_VOCAB = {"Bachelor": "Bachelors"}
 
-PENDING_SCHEMA = ", ".join(f"{f.name} string" for f in RAW_FORECASTS.fields)
 FORECAST_NATURAL_KEY = ["forecaster_id", "question_id", "forecast_timestamp"]
 
 
@@ -58,17 +55,39 @@ def dim_forecasters(
     NULL name/type and is_active = FALSE. Name and type are MAX over the
     forecasts as in the reference; years are cast before MAX so '12' > '8'.
     """
-    # reduced first: a hash aggregate that leaves few rows for MAX over text,
-    # which Spark can only plan as a sort
-    per = (
+    per = forecaster_names(forecasts)
+    joined = forecaster_profiles(demographics, vocab, profile_cols).join(per, "forecaster_id", "left")
+    return dense_key(joined, ["forecaster_id"], "forecaster_sk").select(
+        "forecaster_sk", "forecaster_id", *FORECASTER_ATTRIBUTES[:-2], F.coalesce("is_active", F.lit(False)).alias("is_active"), "has_complete_profile"
+    )
+
+
+FORECASTER_ATTRIBUTES = [
+    "forecaster_name", "forecaster_type", "education_level", "years_forecasting_experience", "country", "affiliation", "joined_date",
+    "is_active", "has_complete_profile",
+]
+
+
+def forecaster_names(forecasts: DataFrame) -> DataFrame:
+    """What forecasts tell about their forecasters: name, type, is_active.
+    Reduced first: a hash aggregate that leaves few rows for MAX over text,
+    which Spark can only plan as a sort."""
+    return (
         reduced(forecasts, "forecaster_id", "forecaster_name", "forecaster_type")
         .groupBy("forecaster_id")
         .agg(
             F.max("forecaster_name").alias("forecaster_name"),
             F.max("forecaster_type").alias("forecaster_type"),
-            F.lit(True).alias("_active"),
+            F.lit(True).alias("is_active"),
         )
     )
+
+
+def forecaster_profiles(
+    demographics: DataFrame, vocab: Mapping[str, str] = EDUCATION_VOCAB, profile_cols: Sequence[str] = ("education_level",)
+) -> DataFrame:
+    """One cleaned row per registered forecaster; every column is a MAX or an
+    OR, so rows of several extracts merge."""
     cleaned = demographics.select(
         "forecaster_id",
         normalize_vocab("education_level", vocab).alias("education_level"),
@@ -78,7 +97,7 @@ def dim_forecasters(
         parse_mixed_dates("joined_date").alias("joined_date"),
         is_complete(*profile_cols).alias("has_complete_profile"),
     )
-    demo = (
+    return (
         reduced(cleaned, *cleaned.columns)
         .groupBy("forecaster_id")
         .agg(
@@ -86,36 +105,29 @@ def dim_forecasters(
             F.bool_or("has_complete_profile").alias("has_complete_profile"),
         )
     )
-    joined = demo.join(per, "forecaster_id", "left")
-    return dense_key(joined, ["forecaster_id"], "forecaster_sk").select(
-        "forecaster_sk",
-        "forecaster_id",
-        "forecaster_name",
-        "forecaster_type",
-        "education_level",
-        "years_forecasting_experience",
-        "country",
-        "affiliation",
-        "joined_date",
-        F.coalesce("_active", F.lit(False)).alias("is_active"),
-        "has_complete_profile",
-    )
+
+
+def question_texts(forecasts: DataFrame) -> DataFrame:
+    """MAX(text) per question id, as in the reference."""
+    texts = reduced(forecasts, "question_id", "question_text")  # few: see forecaster_names
+    return texts.groupBy("question_id").agg(F.max("question_text").alias("question_text"))
 
 
 def dim_questions(forecasts: DataFrame) -> DataFrame:
     """One row per question id; text is MAX(text) as in the reference."""
-    texts = reduced(forecasts, "question_id", "question_text")  # few: see dim_forecasters
-    per = texts.groupBy("question_id").agg(F.max("question_text").alias("question_text"))
-    return dense_key(per, ["question_id"], "question_sk").select(
+    return dense_key(question_texts(forecasts), ["question_id"], "question_sk").select(
         "question_sk", "question_id", "question_text"
     )
 
 
+def question_tags(tags: DataFrame) -> DataFrame:
+    return tags.select("question_id", normalize_tag("tag").alias("tag")).distinct()
+
+
 def bridge_question_tags(tags: DataFrame, questions: DataFrame) -> DataFrame:
     """Normalise (lower, trim) first, then de-duplicate the pairs."""
     return (
-        tags.select("question_id", normalize_tag("tag").alias("tag"))
-        .distinct()
+        question_tags(tags)
         .join(questions.select("question_id", "question_sk"), "question_id")
         .select("question_sk", "tag")
     )
@@ -127,22 +139,37 @@ def dim_date(forecasts: DataFrame, ts_col: str = "forecast_timestamp") -> DataFr
     return days.select("date_day", *date_parts(F.col("date_day")))
 
 
+FORECAST_VALUES = ["prediction", "question_text", "rationale"]
+
+
+def typed_forecasts(forecasts: DataFrame) -> DataFrame:
+    """The natural key and the values of raw forecasts, typed as the fact has them."""
+    return forecasts.select(
+        "forecaster_id",
+        "question_id",
+        typed_timestamp("forecast_timestamp").alias("forecast_timestamp"),
+        typed_int("prediction").alias("prediction"),
+        "question_text",
+        blank_to_null("rationale").alias("rationale"),
+    )
+
+
 def dedup_forecasts(forecasts: DataFrame) -> DataFrame:
-    """One row per natural key. The survivor is the row smallest in
-    (prediction, name, type, text, rationale): a total order, so reruns keep
-    the same row even when two different rows share the key. Exact copies go
-    first, in a hash aggregate; only keys that different rows share are then
-    resolved by that order."""
-    rest = ["prediction", "forecaster_name", "forecaster_type", "question_text", "rationale"]
-    rows = forecasts.select(*FORECAST_NATURAL_KEY, *rest).distinct()
+    """One row per natural key (forecaster, question, time). The survivor
+    is the row smallest in (prediction, question text, rationale), NULL first:
+    a total order on what the fact stores, so reruns keep the same row, and a
+    later batch can be held against a row that the fact already has. Exact
+    copies go first, in a hash aggregate, and are written once; only keys that
+    different rows share are then resolved by that order."""
+    rows = stored(typed_forecasts(forecasts).distinct(), "forecast_rows")
     shared = rows.groupBy(*FORECAST_NATURAL_KEY).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    r, k = rows.alias("r"), shared.drop("_n").alias("k")
+    r, k = rows.alias("r"), stored(shared.drop("_n"), "shared_keys").alias("k")
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"k.{c}")) for c in FORECAST_NATURAL_KEY]
     resolved = (
         r.join(k, same, "left_semi")
         .groupBy(*FORECAST_NATURAL_KEY)
-        .agg(F.min(F.struct(*rest)).alias("_r"))
-        .select(*FORECAST_NATURAL_KEY, *[F.col(f"_r.{c}").alias(c) for c in rest])
+        .agg(F.min(F.struct(*FORECAST_VALUES)).alias("_r"))
+        .select(*FORECAST_NATURAL_KEY, *[F.col(f"_r.{c}").alias(c) for c in FORECAST_VALUES])
     )
     return r.join(k, same, "left_anti").unionByName(resolved)
 
@@ -158,25 +185,24 @@ def fact_rows(forecasts: DataFrame, forecasters: DataFrame, questions: DataFrame
     ).join(questions.select("question_id", "question_sk"), "question_id")
 
 
-def typed_fact(keyed: DataFrame) -> DataFrame:
-    """Final fact columns and types."""
+def fact_columns(keyed: DataFrame) -> DataFrame:
+    """Final fact columns."""
     return keyed.select(
         "forecast_sk",
         "forecaster_sk",
         "question_sk",
-        typed_timestamp("forecast_timestamp").alias("forecast_timestamp"),
-        typed_int("prediction").alias("prediction"),
-        blank_to_null("rationale").alias("rationale"),
+        "forecast_timestamp",
+        "prediction",
+        "rationale",
         F.col("question_text").alias("question_text_snapshot"),
-        typed_date(typed_timestamp("forecast_timestamp")).alias("date_day"),
+        typed_date("forecast_timestamp").alias("date_day"),
     )
 
 
 def fct_forecasts(forecasts: DataFrame, forecasters: DataFrame, questions: DataFrame) -> DataFrame:
-    """Dedup -> key lookups -> dense forecast_sk ordered by (timestamp
-    text, forecaster, question) -> typed columns."""
-    keyed = dense_key(fact_rows(forecasts, forecasters, questions), FACT_ORDER, "forecast_sk")
-    return typed_fact(keyed)
+    """Dedup -> key lookups -> dense forecast_sk ordered by (time,
+    forecaster, question)."""
+    return fact_columns(dense_key(fact_rows(forecasts, forecasters, questions), FACT_ORDER, "forecast_sk"))
 
 
 def build_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -193,106 +219,113 @@ def build_tables(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
-# Folder partitioning of the fact (one folder per forecast
-# date: appends and date filters touch only their dates) and the
-# sort-within-file columns of each model table.
-PARTITION_BY = {"fct_forecasts": ["date_day"]}
+# The partition column of each model table (the fact has a
+# folder per forecast date, the dimensions that later loads update one per
+# bucket of natural ids, which isn't a column of the table) and the
+# sort-within-file columns.
+BUCKET = "_bucket"
+PARTITION_BY = {"fct_forecasts": "date_day", "dim_forecasters": BUCKET, "dim_questions": BUCKET}
 SORT_WITHIN = {
     "dim_forecasters": ["forecaster_sk"],
     "dim_questions": ["question_sk"],
     "bridge_question_tags": ["question_sk", "tag"],
     "dim_date": ["date_day"],
     "fct_forecasts": ["forecaster_sk", "question_sk", "forecast_timestamp"],
+    "pending_forecasts": [],
+    "pending_tags": [],
 }
+MODEL_TABLES = ("dim_forecasters", "dim_questions", "bridge_question_tags", "dim_date", "fct_forecasts")
+BUCKETS = 8
+
+
+def bucket_of(key: str, buckets: int):
+    """The bucket of a natural id: an update rewrites only the buckets it touches."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_table(store: Store, name: str, df: DataFrame, buckets: int) -> Entry:
+    column = PARTITION_BY.get(name)
+    if column == BUCKET and BUCKET not in df.columns:
+        key = "forecaster_id" if name == "dim_forecasters" else "question_id"
+        df = df.withColumn(BUCKET, bucket_of(key, buckets))
+    return store.write(name, df, column, SORT_WITHIN[name], hidden=column == BUCKET)
 
 
-def _write_all(jobs: Mapping[str, Callable[[], DataFrame]], out_dir: str) -> dict[str, int]:
+def write_concurrently(store: Store, jobs: Mapping[str, Callable[[], DataFrame]], buckets: int) -> dict[str, Entry]:
     """Build and write independent tables as concurrent Spark jobs (one
-    submitting thread each; building may itself run jobs, e.g. dense keys);
-    returns observed row counts."""
+    submitting thread each; building may itself run jobs, e.g. dense keys)."""
     def one(item):
         name, make = item
-        path = os.path.join(out_dir, name)
-        return name, write_with_audit(
-            make(), path, name, partition_by=PARTITION_BY.get(name, ()), sort_within=SORT_WITHIN[name]
-        )
+        return name, write_table(store, name, make(), buckets)
 
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
         return dict(pool.map(one, jobs.items()))
 
 
-def pending(spark: SparkSession, model_dir: str) -> DataFrame | None:
-    """The parked raw forecasts (people not registered), or None."""
-    try:
-        version = spark.read.parquet(os.path.join(model_dir, "pending_log")).agg(F.max("version")).first()[0]
-    except AnalysisException:  # a model built before rows were parked
-        return None
-    if version is None:
-        return None
-    rows = spark.read.schema(f"{PENDING_SCHEMA}, version int").parquet(os.path.join(model_dir, "pending_forecasts"))
-    return rows.where(F.col("version") == version).drop("version")
-
-
-def park(spark: SparkSession, forecasts: DataFrame, forecasters: DataFrame, model_dir: str, first: bool = False) -> None:
-    """Make the forecasts of unregistered people the parked rows. A new
-    version folder is written, then its number is logged: readers see the
-    old rows or the new ones, never a half-written set."""
-    log, rows = os.path.join(model_dir, "pending_log"), os.path.join(model_dir, "pending_forecasts")
-    version = 0
-    if not first and pending(spark, model_dir) is not None:
-        version = spark.read.parquet(log).agg(F.max("version")).first()[0] + 1
-    unknown = forecasts.join(forecasters.select("forecaster_id"), "forecaster_id", "left_anti").distinct()
-    mode = "overwrite" if first else "append"
-    unknown.select(*forecasts.columns).withColumn("version", F.lit(version)).write.mode(mode).partitionBy("version").parquet(rows)
-    spark.createDataFrame([(version,)], "version int").coalesce(1).write.mode(mode).parquet(log)
-
-
-def build(spark: SparkSession, raw_paths: Mapping[str, str], out_dir: str) -> dict[str, int]:
+def unregistered(forecasts: DataFrame, forecasters: DataFrame) -> DataFrame:
+    """Forecasts of people who aren't registered, kept for later loads."""
+    return forecasts.join(forecasters.select("forecaster_id"), "forecaster_id", "left_anti").distinct().select(*forecasts.columns)
+
+
+def untied(tags: DataFrame, questions: DataFrame) -> DataFrame:
+    """Tags of questions without a forecast yet, kept for later loads."""
+    return question_tags(tags).join(questions.select("question_id"), "question_id", "left_anti").select("question_id", "tag")
+
+
+def build(
+    spark: SparkSession,
+    raw_paths: Mapping[str, str],
+    out_dir: str,
+    buckets: int = BUCKETS,
+    assertions: Mapping[str, Callable[[Mapping[str, Entry]], bool]] | None = None,
+) -> dict[str, int]:
     """CSV -> raw -> star schema, full refresh, returns observed row counts.
 
     The three dimensions do not depend on each other and are written as
     concurrent jobs; bridge and fact then read the *written* dimensions, so
     every key lookup sees stable numbers, and are written concurrently too.
-    All tables go to a staging folder and take their places when every one is
-    complete: a failed build leaves the old model as it was.
+    All tables are published by one commit record (``sources/store.py``): until
+    it is there, readers see the old version, and a failed build changes
+    nothing. ``assertions`` see the written tables' profiles (rows, NULLs per
+    column) and keep a version that fails one from being published.
     """
+    store = Store(spark, out_dir)
+    base = store.version()
     raw = load_raw(spark, raw_paths)
-    f = raw["raw_forecasts_export"]
-    staging = os.path.join(out_dir, f"_staging-{uuid.uuid4().hex}")
-    counts = _write_all(
+    f, tags = raw["raw_forecasts_export"], raw["raw_question_tags"]
+    entries = write_concurrently(
+        store,
         {
             "dim_forecasters": lambda: dim_forecasters(f, raw["raw_forecaster_demographics"]),
             "dim_questions": lambda: dim_questions(f),
             "dim_date": lambda: dim_date(f),
         },
-        staging,
+        buckets,
     )
-    forecasters = spark.read.parquet(os.path.join(staging, "dim_forecasters"))
-    questions = spark.read.parquet(os.path.join(staging, "dim_questions"))
-    park(spark, f, forecasters, staging, first=True)
-    counts.update(
-        _write_all(
-            {
-                "bridge_question_tags": lambda: bridge_question_tags(raw["raw_question_tags"], questions),
-                "fct_forecasts": lambda: fct_forecasts(f, forecasters, questions),
-            },
-            staging,
-        )
+    forecasters = store.read("dim_forecasters", entries["dim_forecasters"])
+    questions = store.read("dim_questions", entries["dim_questions"])
+    entries |= write_concurrently(
+        store,
+        {
+            "bridge_question_tags": lambda: bridge_question_tags(tags, questions),
+            "fct_forecasts": lambda: fct_forecasts(f, forecasters, questions),
+            "pending_forecasts": lambda: unregistered(f, forecasters),
+            "pending_tags": lambda: untied(tags, questions),
+        },
+        buckets,
     )
-    _take_places(spark, staging, out_dir)
-    return counts
-
-
-def _take_places(spark: SparkSession, staging: str, out_dir: str) -> None:
-    """Move every table folder of ``staging`` to ``out_dir``, in place of the old one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
-    for table in fs.listStatus(path(staging)):
-        place = path(out_dir, table.getPath().getName())
-        fs.delete(place, True)
-        if not fs.rename(table.getPath(), place):
-            raise OSError(f"can't move {table.getPath()} to {place}")
-    fs.delete(path(staging), True)
+    store.commit(base, entries, {"build": uuid.uuid4().hex, "buckets": buckets}, assertions)
+    return {t: entries[t].rows for t in MODEL_TABLES}
+
+
+def tables(spark: SparkSession, model_dir: str, version: int | None = None) -> dict[str, DataFrame]:
+    """The model's tables, all of one version (default: the newest)."""
+    snapshot = Store(spark, model_dir).snapshot(version)
+    return {t: snapshot.read(t) for t in MODEL_TABLES}
+
+
+def table(spark: SparkSession, model_dir: str, name: str, version: int | None = None) -> DataFrame:
+    return Store(spark, model_dir).snapshot(version).read(name)
 
 
 def mart_inputs(tables: Mapping[str, DataFrame]) -> tuple[DataFrame, DataFrame]:

@@ -6,7 +6,7 @@ import itertools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job in this library assumes. AQE re-plans joins from runtime
 # sizes (broadcast only below the threshold, skew-join splitting), coalesces
@@ -111,6 +111,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{_run}/{name}-{next(_counter)}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a ``scratch_path`` and read back: computed once, and
+    not anew where an executor is lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> bool:
     """Remove what this run wrote with ``scratch_path``. Call it when nothing
     that reads those tables is needed any more (the command line does so at

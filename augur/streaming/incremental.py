@@ -1,147 +1,255 @@
-"""Append-style incremental loads of new forecast extracts.
+"""Incremental loads: new extracts merged into the model, all tables in one version.
 
 The reference only rebuilds in full and lists incremental appends as future
-work; this module is that load, expressed two ways:
-
-* ``append_forecasts``: one batch of raw forecast rows is cleaned exactly as
-  the full build cleans them (dedup on the natural key, key lookups, typed
-  columns), rows already in the fact are removed with a NULL-safe anti-join on
-  the natural key, new questions get keys after the current maximum, and the
-  new fact rows are appended with keys after the current maximum. Running
-  the same batch twice appends nothing the second time.
-* ``stream_forecasts``: a Structured Streaming file source over a folder of
-  CSV extracts, feeding ``append_forecasts`` from ``foreachBatch``. The stream
-  keeps no state and has no watermark: however late a row is, the batch's own
-  dedup and the anti-join against the fact decide.
-
-Forecasts of people who aren't registered yet are parked, not dropped: they
-stay in ``pending_forecasts`` as raw rows, and every later batch tries them
-again (so does registering people, and the start of the stream). A full build
-parks such rows too.
+work. ``load`` merges a batch of raw forecasts, demographics and tags, so that
+after any sequence of loads the five model tables equal those of one full
+build over all extracts, up to the surrogate keys' values:
+
+* dimensions: every attribute of a forecaster or question is a MAX or an OR
+  over its raw rows, so the batch's value is merged with the stored one. Rows
+  that change by it are rewritten under their old key, with the bucket
+  folders that hold them; unseen ids get keys after the current maximum.
+* ``dim_date`` and the tag bridge: days and pairs that aren't there are added.
+* fact: rows with a new natural key (forecaster, question, time) are appended
+  with keys after the current maximum. Where a row with that key is there, the
+  smaller one in the order of ``dedup_forecasts`` survives, as in a full build; a
+  replaced row keeps its key, and its date folder is rewritten.
+* forecasts of people who aren't registered, and tags of questions without a
+  forecast, wait in ``pending_forecasts`` and ``pending_tags`` as raw rows; every load tries them again.
+
+Only the batch, the buckets of its ids and the date folders of its forecasts
+are read and written (and the bridge's and calendar's key columns). A load ends
+with one commit record (``sources/store.py``): stopped anywhere, it leaves the version before.
+Of two loads at once the later fails with ``Conflict`` and ``load`` runs it again on the
+new version, so keys never repeat. The same batch again changes nothing.
+
+What a load did to the fact is kept as a table of its own (``fact_changes``:
+rows with +1 and, for replaced ones, -1), from which the gold layer is refreshed.
+
+``stream_forecasts`` feeds ``load`` from a Structured Streaming file source. The
+stream keeps no state and has no watermark: however late a row is, the merge decides.
 """
 
 from __future__ import annotations
 
-import os
+from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from augur.functions.clean import typed_timestamp
-from augur.operators.dedup import reduced
+from augur.functions.dates import date_parts
 from augur.operators.keys import dense_key
-from augur.plans.model import (
-    FACT_ORDER,
-    PARTITION_BY,
-    dim_forecasters,
-    fact_rows,
-    park,
-    pending,
-    typed_fact,
-)
-from augur.sources.schemas import RAW_FORECASTS
-
-
-def _dense_max(df: DataFrame) -> int:
-    """Largest key of a table whose keys are dense 1..N: its row count,
-    which Parquet answers from row-group metadata without reading a column."""
-    return df.count()
-
-
-def extend_questions(spark: SparkSession, new_raw: DataFrame, model_dir: str) -> DataFrame:
-    """Key map for questions: existing keys kept, unseen question ids numbered
-    from max+1 in id order and appended to ``dim_questions``."""
-    path = os.path.join(model_dir, "dim_questions")
-    current = spark.read.parquet(path)
-    unseen = (
-        reduced(new_raw, "question_id", "question_text")
-        .groupBy("question_id")
-        .agg(F.max("question_text").alias("question_text"))
-        .join(current.select("question_id"), "question_id", "left_anti")
+from augur.plans import model as M
+from augur.session import stored
+from augur.sources.schemas import RAW_DEMOGRAPHICS, RAW_FORECASTS, RAW_QUESTION_TAGS
+from augur.sources.store import Conflict, Entry, Snapshot, Store
+
+TRIES = 5  # loads that find their version taken are run again
+CHANGES = "fact_changes"
+CHANGED_FORECASTERS = "changed_forecasters"
+
+
+def _same(left: str, right: str, keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+
+
+def _values(df: DataFrame, column: str) -> list:
+    """Distinct values of a column of buckets or dates: as many as folders at most."""
+    return [r[0] for r in df.select(column).distinct().collect()]
+
+
+def _in(column: str, values: Sequence) -> Column:
+    """Membership, NULL included; prunes the folders of a partition column."""
+    known = [v for v in values if v is not None]
+    among = F.col(column).isin(known) if known else F.lit(False)
+    return among | F.col(column).isNull() if None in values else among
+
+
+def _upsert(now: Snapshot, name: str, key: str, sk: str, news: DataFrame, attributes: Sequence[str], registers: Column) -> tuple[Entry, DataFrame | None]:
+    """Merge ``news`` (a row per id: ``key`` and attributes) into a dimension.
+    Attributes become the greater of old and new (NULL is less than all, TRUE greater than FALSE);
+    an unseen id is added where ``registers`` holds. Returns the new entry and the
+    changed rows (all columns and the bucket; None where there are none)."""
+    entry, buckets = now.entries[name], now.properties["buckets"]
+    news = stored(news.withColumn(M.BUCKET, M.bucket_of(key, buckets)), f"news_{name}")
+    touched = _values(news, M.BUCKET)
+    if not touched:
+        return entry, None
+    old = now.read(name, with_hidden=True).where(_in(M.BUCKET, touched))
+    merged = {a: F.greatest(f"o.{a}", f"n.{a}") for a in attributes}
+    differs = reduce(or_, [~F.col(f"o.{a}").eqNullSafe(m) for a, m in merged.items()])
+    joined = news.alias("n").join(old.alias("o"), F.col(f"n.{key}").eqNullSafe(F.col(f"o.{key}")), "left")
+    is_new = F.col(f"o.{sk}").isNull()
+    changes = joined.where(F.when(is_new, registers).otherwise(differs)).select(
+        F.col(f"o.{sk}").alias(sk), F.col(f"n.{key}").alias(key), *[m.alias(a) for a, m in merged.items()], F.col(f"n.{M.BUCKET}").alias(M.BUCKET)
     )
-    base = _dense_max(current)
-    keyed = dense_key(unseen, ["question_id"], "_k").select(
-        (F.col("_k") + F.lit(base)).alias("question_sk"), "question_id", "question_text"
+    changes = stored(changes, f"changes_{name}")
+    rewritten = _values(changes, M.BUCKET)
+    if not rewritten:
+        return entry, None
+    # unseen ids are numbered from the row count on (keys are dense 1..N), in id order
+    added = dense_key(changes.where(F.col(sk).isNull()).drop(sk), [key], sk)
+    added = added.withColumn(sk, F.col(sk) + F.lit(entry.rows))
+    changed = changes.where(F.col(sk).isNotNull()).unionByName(added)
+    kept = now.read(name, with_hidden=True).where(_in(M.BUCKET, rewritten)).alias("o")
+    kept = kept.join(changes.select(key).alias("c"), _same("o", "c", [key]), "left_anti")
+    rows = kept.unionByName(changed.select(*kept.columns))
+    part = M.write_table(now.store, name, rows, buckets)
+    return entry.without(M.BUCKET, rewritten).plus(part, entry.rows + added.count()), changed
+
+
+def _dimensions(now: Snapshot, forecasts: DataFrame, demographics: DataFrame) -> tuple[dict[str, Entry], DataFrame | None]:
+    """Merged dimensions, calendar days included, and the changed forecasters."""
+    profiles = M.forecaster_profiles(demographics).withColumn("_registers", F.lit(True))
+    names = M.forecaster_names(forecasts).where("forecaster_id is not null")
+    news = names.join(profiles, "forecaster_id", "full")
+    news = news.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("is_active", "has_complete_profile", "_registers")})
+    people, changed = _upsert(
+        now, "dim_forecasters", "forecaster_id", "forecaster_sk", news, M.FORECASTER_ATTRIBUTES, F.col("n._registers")
     )
-    keyed.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    questions, _ = _upsert(now, "dim_questions", "question_id", "question_sk", M.question_texts(forecasts), ["question_text"], F.lit(True))
+    entries = {"dim_forecasters": people, "dim_questions": questions, "dim_date": now.entries["dim_date"]}
+    days = M.typed_forecasts(forecasts).select(F.col("forecast_timestamp").cast("date").alias("date_day")).distinct().alias("n")
+    unseen = stored(days.join(now.read("dim_date").alias("o"), _same("n", "o", ["date_day"]), "left_anti"), "new_days")
+    if not unseen.isEmpty():
+        part = M.write_table(now.store, "dim_date", unseen.select("date_day", *date_parts(F.col("date_day"))), now.properties["buckets"])
+        entries["dim_date"] = entries["dim_date"].plus(part)
+    return entries, changed
 
 
-def extend_forecasters(
-    spark: SparkSession, new_demographics: DataFrame, new_raw: DataFrame, model_dir: str
-) -> int:
-    """Key map for forecasters: ids of ``new_demographics`` not yet in
-    ``dim_forecasters`` are built with the full build's logic (names and
-    types from their forecasts, repaired attributes) and numbered from
-    max+1 in id order. Existing rows are not rewritten, so their is_active
-    flag is refreshed by a full rebuild. Returns the number of new rows."""
-    path = os.path.join(model_dir, "dim_forecasters")
-    current = spark.read.parquet(path)
-    unseen = new_demographics.join(current.select("forecaster_id"), "forecaster_id", "left_anti")
-    base = _dense_max(current)
-    rows = dim_forecasters(new_raw, unseen)
-    rows = rows.withColumn("forecaster_sk", F.col("forecaster_sk") + F.lit(base)).select(*current.columns)
-    n = rows.count()  # rows come from a written dense-key table: count and append read the same rows
-    if n:
-        rows.write.mode("append").parquet(path)
-    return n
+def _bridge(now: Snapshot, tags: DataFrame, questions: DataFrame) -> Entry:
+    entry = now.entries["bridge_question_tags"]
+    pairs = M.bridge_question_tags(tags, questions).alias("n")
+    unseen = stored(pairs.join(now.read("bridge_question_tags").alias("o"), _same("n", "o", ["question_sk", "tag"]), "left_anti"), "new_tags")
+    if unseen.isEmpty():
+        return entry
+    return entry.plus(M.write_table(now.store, "bridge_question_tags", unseen, now.properties["buckets"]))
 
 
-def retry_pending(spark: SparkSession, model_dir: str) -> int:
-    """Load the parked forecasts of people registered meanwhile."""
-    return append_forecasts(spark, spark.createDataFrame([], RAW_FORECASTS), model_dir)
+def _fact(now: Snapshot, forecasts: DataFrame, forecasters: DataFrame, questions: DataFrame) -> tuple[Entry, DataFrame, int]:
+    """The fact with the batch, the rows that changed (columns of the fact, and
+    ``sign``: 1 for a row that is there now, -1 for one that was replaced), and
+    how many are new."""
+    entry, key = now.entries["fct_forecasts"], ["forecaster_sk", "question_sk", "forecast_timestamp"]
+    batch = stored(M.fact_rows(forecasts, forecasters, questions).withColumn("date_day", F.col("forecast_timestamp").cast("date")), "batch_rows")
+    days = _values(batch, "date_day")
+    c, o = batch.alias("c"), now.read("fct_forecasts").where(_in("date_day", days)).alias("o")
+    old = [F.col(f"o.{n}").alias(f"_old_{n}") for n in ("forecast_sk", "prediction", "rationale", "question_text_snapshot")]
+    met = stored(c.join(o, _same("c", "o", [*key, "date_day"]), "left").select("c.*", *old), "met_rows")
+    added = dense_key(met.where("_old_forecast_sk is null"), M.FACT_ORDER, "forecast_sk")
+    added = M.fact_columns(added.withColumn("forecast_sk", F.col("forecast_sk") + F.lit(entry.rows)))
+    was = F.struct(*[F.col(f"_old_{o}").alias(v) for o, v in zip(("prediction", "question_text_snapshot", "rationale"), M.FORECAST_VALUES, strict=True)])
+    smaller = met.where(F.col("_old_forecast_sk").isNotNull() & (F.struct(*M.FORECAST_VALUES) < was))
+    replacing = M.fact_columns(smaller.withColumn("forecast_sk", F.col("_old_forecast_sk")))
+    replaced = smaller.select(
+        F.col("_old_forecast_sk").alias("forecast_sk"), *key, F.col("_old_prediction").alias("prediction"),
+        F.col("_old_rationale").alias("rationale"), F.col("_old_question_text_snapshot").alias("question_text_snapshot"), "date_day",
+    )
+    plus = lambda df, sign: df.withColumn("sign", F.lit(sign))
+    changes = stored(plus(added, 1).unionByName(plus(replacing, 1)).unionByName(plus(replaced, -1)), "fact_changes")
+    rewritten = _values(changes.where("sign < 0"), "date_day")
+    rows = changes.where("sign > 0").drop("sign")
+    if rewritten:
+        gone = changes.where("sign < 0").select("forecast_sk")
+        rows = rows.unionByName(now.read("fct_forecasts").where(_in("date_day", rewritten)).join(gone, "forecast_sk", "left_anti"))
+    n_added = added.count()
+    if not n_added and not rewritten:
+        return entry, changes, 0
+    part = M.write_table(now.store, "fct_forecasts", rows, now.properties["buckets"])
+    return entry.without("date_day", rewritten).plus(part, entry.rows + n_added), changes, n_added
+
+
+def _empty(spark: SparkSession, schema) -> DataFrame:
+    return spark.createDataFrame([], schema)
+
+
+def _load(store: Store, forecasts: DataFrame | None, demographics: DataFrame | None, tags: DataFrame | None, assertions) -> dict[str, int]:
+    spark, now = store.spark, store.snapshot()
+    if not now.version:
+        raise ValueError(f"no model at {store.root}: build one first")
+    buckets, entries = now.properties["buckets"], dict(now.entries)
+    forecasts = _empty(spark, RAW_FORECASTS) if forecasts is None else forecasts
+    demographics = _empty(spark, RAW_DEMOGRAPHICS) if demographics is None else demographics
+    tags = _empty(spark, RAW_QUESTION_TAGS) if tags is None else tags
+    batch = stored(forecasts.unionByName(now.read("pending_forecasts").select(*forecasts.columns)), "batch")
+    all_tags = stored(tags.select("question_id", "tag").unionByName(now.read("pending_tags")), "batch_tags")
+
+    dimensions, changed = _dimensions(now, batch, demographics)
+    entries |= dimensions
+    buckets_of = _values(stored(batch.select(M.bucket_of("forecaster_id", buckets).alias("b")).distinct(), "person_buckets"), "b")
+    forecasters = store.read("dim_forecasters", entries["dim_forecasters"], with_hidden=True).where(_in(M.BUCKET, buckets_of))
+    questions = store.read("dim_questions", entries["dim_questions"])
+    entries["bridge_question_tags"] = _bridge(now, all_tags, questions)
+    entries["fct_forecasts"], changes, added = _fact(now, batch, forecasters, questions)
+    for name, rows in (("pending_forecasts", M.unregistered(batch, forecasters)), ("pending_tags", M.untied(all_tags, questions))):
+        entries[name] = M.write_table(store, name, rows, buckets)
+
+    same = [t for t in entries if entries[t].folders == now.entries.get(t, Entry(None)).folders]
+    moved = set(entries) - set(same) - {"pending_forecasts", "pending_tags"}
+    waiting = any(entries[t].profile != now.entries[t].profile for t in ("pending_forecasts", "pending_tags"))
+    n_changed = 0 if changed is None else changed.count()
+    if moved or waiting:
+        who = store.read("dim_forecasters", entries["dim_forecasters"], with_hidden=True).where(_in(M.BUCKET, buckets_of))
+        change_rows = changes.join(who.select("forecaster_sk", M.BUCKET), "forecaster_sk").join(questions.select("question_sk", "question_id"), "question_sk")
+        change_rows = change_rows.select("forecaster_sk", "question_id", "prediction", "forecast_timestamp", "sign", F.col(M.BUCKET).alias("bucket"))
+        logs = {CHANGES: change_rows}
+        if n_changed:
+            logs[CHANGED_FORECASTERS] = changed.select("forecaster_sk", F.col(M.BUCKET).alias("bucket"))
+        for name, rows in logs.items():
+            part = store.write(name, rows.withColumn("version", F.lit(now.version + 1)), "version")
+            entries[name] = entries[name].plus(part) if name in entries else part
+        store.commit(now.version, entries, now.properties, assertions)
+    replaced = changes.where("sign < 0").count()
+    return {"appended": added, "replaced": replaced, "forecasters": n_changed, "waiting": entries["pending_forecasts"].rows}
+
+
+def load(
+    spark: SparkSession,
+    model_dir: str,
+    forecasts: DataFrame | None = None,
+    demographics: DataFrame | None = None,
+    tags: DataFrame | None = None,
+    assertions=None,
+) -> dict[str, int]:
+    """Merge raw extracts (all-text schemas) into the model; returns how many fact
+    rows were appended and replaced, how many forecasters are new or changed, and
+    how many forecasts wait for their forecaster."""
+    store = Store(spark, model_dir)
+    for left in reversed(range(TRIES)):
+        try:
+            return _load(store, forecasts, demographics, tags, assertions)
+        except Conflict:  # another load came first: merge with what it published
+            if not left:
+                raise
+    raise AssertionError
 
 
 def append_forecasts(
-    spark: SparkSession, new_raw: DataFrame, model_dir: str, new_demographics: DataFrame | None = None
+    spark: SparkSession, new_raw: DataFrame, model_dir: str, new_demographics: DataFrame | None = None, new_tags: DataFrame | None = None
 ) -> int:
-    """Append the forecasts of ``new_raw`` (raw string schema) that the fact
-    does not hold yet, after registering forecasters of ``new_demographics``
-    that are new. Returns the number of appended fact rows."""
-    waiting = pending(spark, model_dir)
-    batch = new_raw if waiting is None else new_raw.unionByName(waiting.select(*new_raw.columns))
-    if new_demographics is not None:
-        extend_forecasters(spark, new_demographics, batch, model_dir)
-    forecasters = spark.read.parquet(os.path.join(model_dir, "dim_forecasters"))
-    questions = extend_questions(spark, new_raw, model_dir)
-    fact_path = os.path.join(model_dir, "fct_forecasts")
-    fact = spark.read.parquet(fact_path)
-
-    key = ["forecaster_sk", "question_sk", "_ts"]
-    candidates = fact_rows(batch, forecasters, questions).withColumn("_ts", typed_timestamp("forecast_timestamp"))
-    # only the dates this batch touches can hold its duplicates: the date
-    # range prunes the fact's date folders, so the anti-join reads a slice
-    # of the fact that grows with the batch, not with the fact; rows without
-    # a time are in the folder of the NULL date
-    lo, hi = candidates.agg(F.min("_ts").cast("date"), F.max("_ts").cast("date")).first()
-    day = F.col("date_day")
-    touched = day.isNull() if lo is None else day.between(lo, hi) | day.isNull()
-    existing = fact.where(touched).select(
-        "forecaster_sk", "question_sk", F.col("forecast_timestamp").alias("_ts")
-    )
-    c, e = candidates.alias("c"), existing.alias("e")
-    fresh = c.join(e, [F.col(f"c.{k}").eqNullSafe(F.col(f"e.{k}")) for k in key], "left_anti").drop("_ts")
-
-    base = _dense_max(fact)
-    # numbered after the anti-join so new keys are dense from base + 1; the
-    # keyed rows are written once, so the count and the append read the same rows
-    keyed = dense_key(fresh, FACT_ORDER, "_k")
-    out = typed_fact(keyed.withColumn("forecast_sk", F.col("_k") + F.lit(base))).select(*fact.columns)
-    n = out.count()
-    if n:
-        out.write.mode("append").partitionBy(*PARTITION_BY["fct_forecasts"]).parquet(fact_path)
-    # after the fact has its rows: what is still unmatched replaces the parked rows. If this
-    # fails, the next batch tries all of them again and the anti-join drops the loaded ones
-    park(spark, batch, forecasters, model_dir)
-    return n
+    """``load``, returning the number of appended fact rows."""
+    return load(spark, model_dir, new_raw, new_demographics, new_tags)["appended"]
+
+
+def extend_forecasters(spark: SparkSession, new_demographics: DataFrame, model_dir: str) -> int:
+    """Register people or update their attributes; returns how many rows of
+    ``dim_forecasters`` are new or changed. Their waiting forecasts are loaded with them."""
+    return load(spark, model_dir, demographics=new_demographics)["forecasters"]
+
+
+def retry_pending(spark: SparkSession, model_dir: str) -> int:
+    """Load the waiting forecasts of people registered meanwhile."""
+    return load(spark, model_dir)["appended"]
 
 
 def stream_forecasts(
     spark: SparkSession, source_dir: str, model_dir: str, checkpoint_dir: str
 ) -> StreamingQuery:
     """Load every CSV extract that lands in ``source_dir`` (available-now
-    trigger: process what is there, then stop), parked rows first."""
+    trigger: process what is there, then stop), waiting rows first."""
     retry_pending(spark, model_dir)
     stream = (
         spark.readStream.schema(RAW_FORECASTS)
@@ -151,11 +259,11 @@ def stream_forecasts(
         .csv(source_dir)
     )
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        append_forecasts(spark, batch, model_dir)
+    def run(batch: DataFrame, batch_id: int) -> None:
+        load(spark, model_dir, batch)
 
     return (
-        stream.writeStream.foreachBatch(load)
+        stream.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint_dir)
         .trigger(availableNow=True)
         .start()

@@ -13,6 +13,6 @@ def test_cli_end_to_end(spark, tmp_path):
                   "--tags", os.path.join(FIXTURES, "survey_tags.csv"), "--out", model])
     assert built["fct_forecasts"] == 18
     assert main(["gold", "--model", model, "--out", gold])["question_summary"] == 3
-    assert main(["append", "--forecasts", f, "--model", model]) == {"appended": 0}
+    assert main(["append", "--forecasts", f, "--model", model]) == {"appended": 0, "replaced": 0, "forecasters": 0, "waiting": 1}
     main(["export", "--gold", gold, "--table", "question_summary", "--out", str(tmp_path / "qs.json")])
     assert spark.read.json(str(tmp_path / "qs.json")).count() == 3

@@ -101,9 +101,9 @@ def test_build_writes_and_audits(spark, raw_paths, tmp_path):
         "bridge_question_tags": 6,
         "fct_forecasts": 18,
     }
-    first = rows(spark.read.parquet(out + "/fct_forecasts"), "forecast_sk", "prediction")
+    first = rows(M.table(spark, out, "fct_forecasts"), "forecast_sk", "prediction")
     M.build(spark, raw_paths, out)  # full refresh is idempotent
-    assert rows(spark.read.parquet(out + "/fct_forecasts"), "forecast_sk", "prediction") == first
+    assert rows(M.table(spark, out, "fct_forecasts"), "forecast_sk", "prediction") == first
 
 
 def test_active_flag_matches_fact(model):

@@ -37,7 +37,7 @@ def paths(forecasts):
 
 
 def natural(spark, out):
-    f = spark.read.parquet(out + "/fct_forecasts")
+    f = M.table(spark, out, "fct_forecasts")
     return sorted(tuple(r) for r in f.select(*NK).collect()), f
 
 
@@ -45,7 +45,7 @@ def test_batch_append_matches_full_build(spark, tmp_path, model):
     first, later = split_fixture(tmp_path)
     out = str(tmp_path / "model")
     M.build(spark, paths(first), out)
-    before = spark.read.parquet(out + "/fct_forecasts").agg(F.max("forecast_sk")).first()[0]
+    before = M.table(spark, out, "fct_forecasts").agg(F.max("forecast_sk")).first()[0]
     new_raw = load_raw(spark, paths(later + "/b.csv"))["raw_forecasts_export"]
     n = append_forecasts(spark, new_raw, out)
     got, fact = natural(spark, out)
@@ -83,14 +83,14 @@ def test_append_registers_new_forecasters(spark, tmp_path, model):
     raw = load_raw(spark, paths(os.path.join(FIXTURES, "survey_forecasts.csv")))
     n = append_forecasts(spark, raw["raw_forecasts_export"], out, raw["raw_forecaster_demographics"])
     assert n == 2  # F06's two forecasts
-    dims = spark.read.parquet(out + "/dim_forecasters")
+    dims = M.table(spark, out, "dim_forecasters")
     keys = {r["forecaster_id"]: r["forecaster_sk"] for r in dims.collect()}
     assert keys["F06"] == 7 and sorted(keys.values()) == list(range(1, 8))
     by_id = lambda f, d: sorted(
         tuple(r) for r in f.join(d.select("forecaster_sk", "forecaster_id"), "forecaster_sk")
         .select("forecaster_id", "forecast_timestamp", "prediction").collect())
     full = by_id(model["fct_forecasts"], model["dim_forecasters"])
-    assert by_id(spark.read.parquet(out + "/fct_forecasts"), dims) == full
+    assert by_id(M.table(spark, out, "fct_forecasts"), dims) == full
 
 
 HEAD = ["forecaster_id", "forecaster_name", "forecaster_type", "question_id", "question_text", "forecast_timestamp", "prediction", "rationale"]
@@ -108,7 +108,7 @@ def as_csv(spark, df, path):
 
 
 def by_id(spark, out):
-    fact, dims, questions = (spark.read.parquet(f"{out}/{t}") for t in ("fct_forecasts", "dim_forecasters", "dim_questions"))
+    fact, dims, questions = (M.table(spark, out, t) for t in ("fct_forecasts", "dim_forecasters", "dim_questions"))
     joined = fact.join(dims.select("forecaster_sk", "forecaster_id"), "forecaster_sk").join(questions, "question_sk")
     rows = joined.select("forecaster_id", "question_id", "forecast_timestamp", "prediction").collect()
     return sorted(map(str, map(tuple, rows)))
@@ -151,7 +151,7 @@ def test_rows_without_a_time_are_kept_once(spark, tmp_path):
     assert append_forecasts(spark, both, out) == 2
     assert append_forecasts(spark, both, out) == 0
     assert by_id(spark, out) == rebuilt(spark, tmp_path, both)
-    keys = sorted(r[0] for r in spark.read.parquet(out + "/fct_forecasts").select("forecast_sk").collect())
+    keys = sorted(r[0] for r in M.table(spark, out, "fct_forecasts").select("forecast_sk").collect())
     assert keys == list(range(1, len(keys) + 1))
 
 
@@ -170,12 +170,12 @@ def test_forecasts_of_people_registered_later(spark, tmp_path):
     joined = tmp_path / "people.csv"
     joined.write_text("\n".join([*people, ",".join(cells)]) + "\n")
     p = paths(os.path.join(FIXTURES, "survey_forecasts.csv")) | {"raw_forecaster_demographics": str(joined)}
-    assert extend_forecasters(spark, load_raw(spark, p)["raw_forecaster_demographics"], new, out) == 1
+    assert extend_forecasters(spark, load_raw(spark, p)["raw_forecaster_demographics"], out) == 1
     stream_forecasts(spark, landing, out, str(tmp_path / "ckpt")).awaitTermination(300)  # no new file
     expected = rebuilt(spark, tmp_path, new, str(joined))
     assert by_id(spark, out) == expected and len(expected) == len(before) + 1
     assert retry_pending(spark, out) == 0 and by_id(spark, out) == expected
-    assert [r["forecaster_id"] for r in M.pending(spark, out).collect() if r["forecaster_id"] in ("F77", "F78")] == ["F78"]
+    assert [r["forecaster_id"] for r in M.table(spark, out, "pending_forecasts").collect() if r["forecaster_id"] in ("F77", "F78")] == ["F78"]
 
 
 def test_failed_build_leaves_the_old_model(spark, tmp_path, monkeypatch):
