@@ -172,10 +172,12 @@ def q_question_label(spark, d):
 
 
 def q_kpi_header(spark, d):
-    """Engagement and revisions come from the written pairs."""
+    """All three marts come from written pairs and cells."""
     dims = _dims(spark, d)
     pairs = stored(marts.pair_table(_unchecked(spark, d), dims), "pair_table")
-    return derived.kpi_header(_summary(spark, d), marts.engagement(pairs, dims), marts.belief_revision(pairs, dims))
+    cells = stored(_question_cells(spark, d), "question_cells")
+    summary = marts.question_summary(cells, questions=F.upper("question_id"))
+    return derived.kpi_header(summary, marts.engagement(pairs, dims), marts.belief_revision(pairs, dims))
 
 
 def q_coverage_gaps(spark, d):

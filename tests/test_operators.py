@@ -142,19 +142,42 @@ def test_hot_group_is_numbered_over_many_ranges(spark):
     assert "SortMergeJoin" not in plan and "_part" in plan
 
 
-def test_exact_median_matches_percentile_on_wide_domain(spark):
-    from augur.operators.median import exact_median
-
+@pytest.fixture(scope="module")
+def wide(spark):
+    """Wide and narrow domains, ties at the middle, NULLs, a NULL key, a hot group."""
     rnd = random.Random(5)
     rows = []
     for i in range(4000):
         g = "hot" if i % 3 == 0 else f"g{rnd.randint(1, 30)}"
         v = None if i % 97 == 0 else rnd.random() * 1e6 if i % 2 else float(rnd.randint(0, 50))
         rows.append((g, v))
-    rows += [("all_null", None), ("one", 7.0)]
-    df = spark.createDataFrame(rows, "g string, v double")
-    got = {r["g"]: r["median"] for r in exact_median(df, ["g"], "v").collect()}
-    exp = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    rows += [("all_null", None), ("one", 7.0), (None, 1.0), (None, 4.0)]
+    rows += [("ties", 5.0)] * 500 + [("ties", 1e300)] * 300 + [("ties", -1e300)] * 100
+    rows += [("two", 1.0)] * 50 + [("two", 2.0)] * 50 + [("far", 10.0**k) for k in range(-300, 300)]
+    return spark.createDataFrame(rows, "g string, v double").repartition(5).cache()
+
+
+@pytest.mark.parametrize("how", ["select", "few passes", "ranked"])
+def test_exact_median_matches_percentile_on_wide_domain(wide, how):
+    from augur.operators.median import exact_median
+
+    options = {"select": {"enough": 10, "accuracy": 100}, "few passes": {}, "ranked": {"max_groups": 0}}[how]
+    got = {r["g"]: r["median"] for r in exact_median(wide, ["g"], "v", **options).collect()}
+    exp = {r["g"]: r["m"] for r in wide.groupBy("g").agg(F.median("v").alias("m")).collect()}
     assert set(got) == set(exp)
     for k in exp:
         assert (got[k] is None and exp[k] is None) or abs(got[k] - exp[k]) < 1e-9 * max(1.0, abs(exp[k])), k
+
+
+def test_median_selection_moves_counts_not_rows(spark, tmp_path):
+    from augur.operators.median import exact_median
+
+    df = spark.range(200_000).select((F.col("id") % 2).alias("g"), F.rand(3).alias("v"))
+    path = str(tmp_path / "rows")
+    df.write.parquet(path)
+    df = spark.read.parquet(path)
+    found = exact_median(df, ["g"], "v", enough=500)
+    exp = {r["g"]: r["m"] for r in df.groupBy("g").agg(F.median("v").alias("m")).collect()}
+    assert {r["g"]: r["median"] for r in found.collect()} == pytest.approx(exp)
+    lines = found._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in lines
