@@ -185,6 +185,16 @@ def q_coverage_gaps(spark, d):
     return derived.coverage_gaps(cells, _dims(spark, d))
 
 
+def q_missing_pairs(spark, d):
+    """Registered forecasters that a question lacks, by name."""
+    cells = stored(_question_cells(spark, d), "question_cells")
+    return derived.missing_pairs(cells, _dims(spark, d), registered=True)
+
+
+def q_ordered_types(spark, d):
+    return derived.ordered_types(q_type_comparison(spark, d))
+
+
 def q_presentation_projection(spark, d):
     return derived.presentation_projection(_summary(spark, d))
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from augur.functions.labels import first_word, pair_label, question_label as _qlabel, signed_points
-from augur.plans.marts import MEMBER, merge_cells, profile, question_cells
+from augur.plans.marts import MEMBER, member_words, merge_cells, profile, question_cells
 
 
 def kpi_header(summary: DataFrame, engagement: DataFrame, revisions: DataFrame) -> DataFrame:
@@ -214,3 +214,37 @@ def coverage_gaps(fact: DataFrame, forecasters: DataFrame, known: DataFrame | No
             (covered < active).alias("has_gap"),
         )
     )
+
+
+def missing_pairs(fact: DataFrame, forecasters: DataFrame, registered: bool = False, known: DataFrame | None = None) -> DataFrame:
+    """Which forecasters each question lacks: of the active ones (any
+    forecast on any question), or with ``registered`` of the whole dimension.
+
+    From the fact or ``marts.question_cells``, as complements of bitmap words:
+    a word of 64 forecasters meets the questions once, a question that has them all
+    leaves it at once, and only bits that are missing become rows. No join of
+    questions with forecasters; a word's row carries one entry a question.
+    """
+    words = question_cells(fact, known).where((F.col("kind") == MEMBER) & F.col("cell").isNotNull() & F.col("question_id").isNotNull())
+    asked = words.agg(F.collect_set("question_id")).scalar()
+    have = words.groupBy("cell").agg(
+        F.map_from_entries(F.collect_list(F.struct("question_id", "bits"))).alias("have"), F.bit_or("bits").alias("all")
+    )
+    if registered:
+        keys = forecasters.where(F.col("forecaster_sk").isNotNull())
+        every = member_words(keys, "forecaster_sk").withColumnRenamed("bits", "_bits")
+        have = every.join(have, "cell", "left").withColumn("all", F.col("_bits"))
+    gaps = have.select("cell", "all", "have", F.explode(asked).alias("question_id")).select(
+        "question_id", "cell", F.col("all").bitwiseAND(F.bitwise_not(F.coalesce(F.col("have")[F.col("question_id")], F.lit(0).cast("long")))).alias("gap")
+    )
+    bit = F.explode(F.filter(F.sequence(F.lit(0), F.lit(63)), lambda i: F.getbit("gap", i) == 1)).alias("bit")
+    rows = gaps.where("gap <> 0").select("question_id", "cell", bit)
+    who = rows.select("question_id", (F.col("cell") * 64 + F.col("bit")).alias("forecaster_sk"))
+    return who.join(forecasters.select("forecaster_sk", "forecaster_name"), "forecaster_sk").select(
+        "question_id", "forecaster_sk", "forecaster_name"
+    )
+
+
+def ordered_types(types: DataFrame) -> DataFrame:
+    """O2: the type comparison by average, descending, NULLs last."""
+    return types.orderBy(F.col("avg_prediction").desc_nulls_last(), F.col("forecaster_type").asc_nulls_last())

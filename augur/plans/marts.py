@@ -99,8 +99,7 @@ def profile_cells(df: DataFrame, keys: Sequence[str], value: str, member: str, w
     task. Spark's own bitmap aggregate has a binary buffer and is planned as a sort of
     all rows; BIT_OR of 64-bit words stays in the hash aggregate.
     """
-    m = F.col(member).cast("long")
-    word, bit = F.shiftright(m, 6), F.call_function("shiftleft", F.lit(1).cast("long"), m.bitwiseAND(F.lit(63)).cast("int"))
+    word, bit = _word(member)
     n = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     zero = F.lit(0).cast("long")
     cells = F.stack(
@@ -111,6 +110,18 @@ def profile_cells(df: DataFrame, keys: Sequence[str], value: str, member: str, w
     return merge_cells(df.select(*keys, cells), keys)
 
 
+def _word(member: str) -> tuple[Column, Column]:
+    """The number of the bitmap word that holds a member, and the member's bit in it."""
+    m = F.col(member).cast("long")
+    return F.shiftright(m, 6), F.call_function("shiftleft", F.lit(1).cast("long"), m.bitwiseAND(F.lit(63)).cast("int"))
+
+
+def member_words(df: DataFrame, member: str) -> DataFrame:
+    """The bitmap of all ``member`` keys: (cell, bits)."""
+    word, bit = _word(member)
+    return df.select(word.alias("cell"), bit.alias("bits")).groupBy("cell").agg(F.bit_or("bits").alias("bits"))
+
+
 def merge_cells(states: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Cells of disjoint sets of rows, unioned, as one."""
     return states.groupBy(*keys, "kind", "cell").agg(F.sum("n").alias("n"), F.bit_or("bits").alias("bits"))

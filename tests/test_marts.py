@@ -267,3 +267,24 @@ def test_question_summary_approximate(inputs, pdfact):
         assert approx[q]["forecaster_count"] == exact[q]["forecaster_count"]
         assert lo <= approx[q]["median_prediction"] <= hi
         assert approx[q]["mean_prediction"] == exact[q]["mean_prediction"]
+
+
+def test_missing_pairs_name_who_a_question_lacks(inputs, pdfact, ids, spark):
+    fact, dims = inputs
+    have = set(zip(pdfact.question_id, pdfact.forecaster_id, strict=True))
+    asked, active, registered = set(pdfact.question_id), set(pdfact.forecaster_id), set(ids.values())
+    for everyone, flag in ((active, False), (registered, True)):
+        got = {(r["question_id"], ids[r["forecaster_sk"]]) for r in derived.missing_pairs(fact, dims, registered=flag).collect()}
+        assert got == {(q, f) for q in asked for f in everyone} - have
+    # words on both sides of zero and their limits
+    keys = [-65, -64, -1, 0, 62, 63, 64, 2**40]
+    fact = spark.createDataFrame([(k, q, 1, i) for i, k in enumerate(keys) for q in ("a", "b")[: 1 + i % 2]], "forecaster_sk long, question_id string, prediction int, forecast_timestamp int")
+    who = spark.createDataFrame([(k, str(k)) for k in keys], "forecaster_sk long, forecaster_name string")
+    got = {(r["question_id"], r["forecaster_sk"]) for r in derived.missing_pairs(fact, who).collect()}
+    assert got == {("b", k) for i, k in enumerate(keys) if not i % 2}
+
+
+def test_types_by_average(inputs):
+    fact, dims = inputs
+    avg = [r["avg_prediction"] for r in derived.ordered_types(marts.type_comparison(fact, dims)).collect()]
+    assert avg == sorted(avg, reverse=True) and len(avg) == 3
