@@ -28,6 +28,7 @@ def _parser() -> argparse.ArgumentParser:
     b.add_argument("--demographics", required=True)
     b.add_argument("--tags", required=True)
     b.add_argument("--out", required=True)
+    b.add_argument("--lenient", action="store_true", help="quarantine rows that don't parse or cast")
     g = sub.add_parser("gold", help="model -> mergeable state, gold marts and roll-ups")
     g.add_argument("--model", required=True)
     g.add_argument("--out", required=True)
@@ -36,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     a.add_argument("--forecasts", default=None)
     a.add_argument("--demographics", default=None, help="register or update forecasters")
     a.add_argument("--tags", default=None)
+    a.add_argument("--lenient", action="store_true", help="quarantine rows that don't parse or cast")
     a.add_argument("--model", required=True)
     s = sub.add_parser("stream", help="load every extract landing in a folder")
     s.add_argument("--source", required=True)
@@ -61,7 +63,7 @@ def main(argv: list[str] | None = None) -> dict:
             "raw_forecasts_export": args.forecasts,
             "raw_forecaster_demographics": args.demographics,
             "raw_question_tags": args.tags,
-        }, args.out)
+        }, args.out, lenient=args.lenient)
     elif args.cmd == "gold":
         from augur.plans.gold import build_gold, refresh_gold
 
@@ -72,7 +74,7 @@ def main(argv: list[str] | None = None) -> dict:
         from augur.streaming.incremental import load
 
         given = ((args.forecasts, RAW_FORECASTS), (args.demographics, RAW_DEMOGRAPHICS), (args.tags, RAW_QUESTION_TAGS))
-        out = load(spark, args.model, *[scan_csv_strings(spark, p, schema) if p else None for p, schema in given])
+        out = load(spark, args.model, *[scan_csv_strings(spark, p, schema, lenient=args.lenient) if p else None for p, schema in given], lenient=args.lenient)
     elif args.cmd == "stream":
         from augur.streaming.incremental import stream_forecasts
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from augur.operators.dedup import reduced
 from augur.operators.keys import dense_key
 from augur.sources.csv import load_raw
 from augur.session import stored
+from augur.sources.quarantine import split
 from augur.sources.store import Entry, Store
 
 # Fixed value: the one vocabulary repair the extract needs.
@@ -272,12 +274,21 @@ def untied(tags: DataFrame, questions: DataFrame) -> DataFrame:
     return question_tags(tags).join(questions.select("question_id"), "question_id", "left_anti").select("question_id", "tag")
 
 
+def split_all(raw: Mapping[str, DataFrame]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The rows of all extracts that load, and the quarantined ones. The former are
+    written once: every table reads them."""
+    parts = {name: split(rows, name) for name, rows in raw.items()}
+    bad = reduce(DataFrame.unionByName, [b for _, b in parts.values()])
+    return {name: stored(good, name) for name, (good, _) in parts.items()}, bad
+
+
 def build(
     spark: SparkSession,
     raw_paths: Mapping[str, str],
     out_dir: str,
     buckets: int = BUCKETS,
     assertions: Mapping[str, Callable[[Mapping[str, Entry]], bool]] | None = None,
+    lenient: bool = False,
 ) -> dict[str, int]:
     """CSV -> raw -> star schema, full refresh, returns observed row counts.
 
@@ -287,11 +298,15 @@ def build(
     All tables are published by one commit record (``sources/store.py``): until
     it is there, readers see the old version, and a failed build changes
     nothing. ``assertions`` see the written tables' profiles (rows, NULLs per
-    column) and keep a version that fails one from being published.
+    column) and keep a version that fails one from being published. ``lenient``
+    moves rows that don't parse or cast to the version's ``quarantine`` table
+    (``sources/quarantine.py``) instead of stopping.
     """
     store = Store(spark, out_dir)
     base = store.version()
-    raw = load_raw(spark, raw_paths)
+    raw, bad = load_raw(spark, raw_paths, lenient=lenient), None
+    if lenient:
+        raw, bad = split_all(raw)
     f, tags = raw["raw_forecasts_export"], raw["raw_question_tags"]
     entries = write_concurrently(
         store,
@@ -314,6 +329,8 @@ def build(
         },
         buckets,
     )
+    if bad is not None:
+        entries["quarantine"] = store.write("quarantine", bad)
     store.commit(base, entries, {"build": uuid.uuid4().hex, "buckets": buckets}, assertions)
     return {t: entries[t].rows for t in MODEL_TABLES}
 

@@ -166,7 +166,9 @@ def _empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def _load(store: Store, forecasts: DataFrame | None, demographics: DataFrame | None, tags: DataFrame | None, assertions) -> dict[str, int]:
+def _load(
+    store: Store, forecasts: DataFrame | None, demographics: DataFrame | None, tags: DataFrame | None, assertions, lenient: bool
+) -> dict[str, int]:
     spark, now = store.spark, store.snapshot()
     if not now.version:
         raise ValueError(f"no model at {store.root}: build one first")
@@ -174,6 +176,11 @@ def _load(store: Store, forecasts: DataFrame | None, demographics: DataFrame | N
     forecasts = _empty(spark, RAW_FORECASTS) if forecasts is None else forecasts
     demographics = _empty(spark, RAW_DEMOGRAPHICS) if demographics is None else demographics
     tags = _empty(spark, RAW_QUESTION_TAGS) if tags is None else tags
+    bad = None
+    if lenient:
+        given = {"raw_forecasts_export": forecasts, "raw_forecaster_demographics": demographics, "raw_question_tags": tags}
+        good, bad = M.split_all(given)
+        forecasts, demographics, tags = good.values()
     batch = stored(forecasts.unionByName(now.read("pending_forecasts").select(*forecasts.columns)), "batch")
     all_tags = stored(tags.select("question_id", "tag").unionByName(now.read("pending_tags")), "batch_tags")
 
@@ -188,6 +195,9 @@ def _load(store: Store, forecasts: DataFrame | None, demographics: DataFrame | N
         entries[name] = M.write_table(store, name, rows, buckets)
 
     same = [t for t in entries if entries[t].folders == now.entries.get(t, Entry(None)).folders]
+    if bad is not None:
+        part = store.write("quarantine", bad)
+        entries["quarantine"] = entries["quarantine"].plus(part) if "quarantine" in entries else part
     moved = set(entries) - set(same) - {"pending_forecasts", "pending_tags"}
     waiting = any(entries[t].profile != now.entries[t].profile for t in ("pending_forecasts", "pending_tags"))
     n_changed = 0 if changed is None else changed.count()
@@ -213,14 +223,16 @@ def load(
     demographics: DataFrame | None = None,
     tags: DataFrame | None = None,
     assertions=None,
+    lenient: bool = False,
 ) -> dict[str, int]:
     """Merge raw extracts (all-text schemas) into the model; returns how many fact
     rows were appended and replaced, how many forecasters are new or changed, and
-    how many forecasts wait for their forecaster."""
+    how many forecasts wait for their forecaster. ``lenient`` appends rows that don't
+    parse or cast to ``quarantine`` instead of stopping."""
     store = Store(spark, model_dir)
     for left in reversed(range(TRIES)):
         try:
-            return _load(store, forecasts, demographics, tags, assertions)
+            return _load(store, forecasts, demographics, tags, assertions, lenient)
         except Conflict:  # another load came first: merge with what it published
             if not left:
                 raise
