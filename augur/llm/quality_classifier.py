@@ -28,6 +28,7 @@ that clash with the added ones are replaced; others are carried along.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -65,7 +66,9 @@ def features(texts: pa.Array, n: int = GRAMS, bits: int = BITS) -> tuple[np.ndar
         keys.append(of[whole] << np.uint64(bits) | places)
     found, counts = np.unique(np.concatenate(keys), return_counts=True)
     row = (found >> np.uint64(bits)).astype(np.int64)
-    values = np.log1p(counts)
+    # by the distinct counts: vector code may round a number differently from place to place
+    distinct, at_count = np.unique(counts, return_inverse=True)
+    values = np.array([math.log1p(c) for c in distinct.tolist()] or [0.0])[at_count] if len(counts) else counts.astype(np.float64)
     length = np.sqrt(np.bincount(row, weights=values * values, minlength=rows))
     values = values / length[row] if len(row) else values
     bounds = np.searchsorted(row, np.arange(rows + 1))
@@ -124,8 +127,8 @@ class Leader:
         self.n[places] = grown
 
 
-def logistic(x):
-    return 0.5 * (1 + np.tanh(0.5 * np.asarray(x)))
+def logistic(x: float) -> float:
+    return 0.5 * (1 + math.tanh(0.5 * x))
 
 
 def _train(size: int, alpha: float, beta: float, l1: float, l2: float):
@@ -195,7 +198,7 @@ def _score(weights: np.ndarray, n: int, threshold: float):
             bounds, places, values = features(part.column("text"), n, bits)
             products = np.append(weights[places] * values, 0.0)  # the last stands for rows without features
             dots = np.where(np.diff(bounds) > 0, np.add.reduceat(products, bounds[:-1]), 0.0)
-            score = logistic(dots + weights[-1])
+            score = np.array([logistic(d) for d in (dots + weights[-1]).tolist()])
             carried = [c for c in part.schema.names if c not in ADDED]
             yield pa.RecordBatch.from_arrays(
                 [*(part.column(c) for c in carried), pa.array(score), pa.array((score >= threshold).astype(np.int32))],

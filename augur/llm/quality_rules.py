@@ -10,9 +10,9 @@ The field has two states. A line's features are indicators of its measures'
 ranges (share of symbols, capitals, digits, bars, exclamation marks and
 repeated neighbours, number and length of words, last character, whether it
 repeats an earlier line); weights of features and transitions are trained by
-maximum likelihood (forward-backward gradients) on up to ``sample`` labelled
-documents, of which up to ``max_lines`` lines count. The sample is the labelled ids
-with the least hashes. Lines of documents labelled 1 are the content examples,
+maximum likelihood (forward-backward gradients) on up to ``sample`` whole labelled
+documents with up to ``max_lines`` lines together, the labelled ids with the least
+hashes. Lines of documents labelled 1 are the content examples,
 lines of those labelled 0 the boilerplate examples. Prediction reads the text alone.
 
 Null and empty texts have no words and fail the base rules. Labels that are null
@@ -28,17 +28,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from augur.llm.words import INVERSE, MULT, Words, find_words, gram_hashes, mix, powers, slices
+from augur.llm.scratch import stored
+from augur.llm.words import MULT, Words, find_words, gram_hashes, mix, same_spans, slices, span_hashes
 
 MIN_WORDS = 10
 MAX_REPEAT = 20
 REPEAT_WINDOW = 5
 MIN_CONTENT = 0.5
 SAMPLE = 2000
-MAX_LINES = 200
+MAX_LINES = 400_000
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 ADDED = (*MEASURES, "base_failed", "content_share", "kept")
@@ -83,15 +84,26 @@ def _counts(flags: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return sums[end] - sums[start]
 
 
-def _twice(group: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Whether (group, hash) occurs more than once, and whether it did before."""
+def _twice(group: np.ndarray, hashes: np.ndarray, equal, content) -> tuple[np.ndarray, np.ndarray]:
+    """Whether an item occurs more than once in its group, and whether it did
+    before. Equal hashes propose; ``equal(i, j)`` compares items' bytes, and a group in
+    which they differ under one hash is counted by ``content(i)``, the bytes."""
     keys = mix(group.astype(np.uint64) * MULT + hashes)
     order = np.argsort(keys, kind="stable")
-    same = keys[order][1:] == keys[order][:-1]
+    next_, last = order[1:], order[:-1]
+    met = np.flatnonzero((keys[next_] == keys[last]) & (group[next_] == group[last]) & (hashes[next_] == hashes[last]))
+    holds = equal(next_[met], last[met])
     any_, before = np.zeros(len(keys), dtype=bool), np.zeros(len(keys), dtype=bool)
-    any_[order[1:]] |= same
-    any_[order[:-1]] |= same
-    before[order[1:]] = same
+    any_[next_[met]] = before[next_[met]] = True
+    any_[last[met]] = True
+    for g in np.unique(group[next_[met[~holds]]]).tolist():
+        seen: dict = {}
+        own = np.flatnonzero(group == g)
+        any_[own] = before[own] = False
+        for i in own.tolist():
+            first = seen.setdefault(content(i), i)
+            if first != i:
+                any_[first] = any_[i] = before[i] = True
     return any_, before
 
 
@@ -116,10 +128,12 @@ class Lines:
         self.n_words = last - first
         self.of = np.searchsorted(self.row, np.arange(rows + 1))
         hashes = words.hashes()
-        content = np.r_[np.uint64(0), np.cumsum((data + np.uint64(1)) * powers(MULT, len(data)), dtype=np.uint64)]
-        line_hash = (content[self.end] - content[self.start]) * powers(INVERSE, len(data) + 1)[self.start]
-        line_hash = mix(line_hash + (self.end - self.start).astype(np.uint64))
-        _, self.seen = _twice(self.row, line_hash)
+        _, self.seen = _twice(
+            self.row,
+            span_hashes(data, self.start, self.end),
+            lambda i, j: same_spans(data, (self.start[i], self.end[i]), (self.start[j], self.end[j])),
+            lambda i: data[self.start[i] : self.end[i]].tobytes(),
+        )
         self._measure(words, hashes)
         self._describe(data, hashes, first, last, words)
 
@@ -133,7 +147,12 @@ class Lines:
         self.dup_lines = np.bincount(self.row[self.seen], minlength=rows)
         owner = np.repeat(np.arange(rows), self.total)
         whole = np.flatnonzero(np.arange(len(hashes)) + REPEAT_WINDOW <= words.last)
-        twice, _ = _twice(owner[whole], gram_hashes(hashes, REPEAT_WINDOW)[whole])
+        twice, _ = _twice(
+            owner[whole],
+            gram_hashes(hashes, REPEAT_WINDOW)[whole],
+            lambda i, j: words.same_runs(whole[i], whole[j], REPEAT_WINDOW),
+            lambda i: words.bytes_of(int(whole[i]), REPEAT_WINDOW),
+        )
         cover = np.zeros(len(hashes) + 1, dtype=np.int64)
         np.add.at(cover, whole[twice], 1)
         np.add.at(cover, whole[twice] + REPEAT_WINDOW, -1)
@@ -253,19 +272,22 @@ def train(sequences: list[np.ndarray], states: list[int], rounds: int = 150, rat
     return weights, moves
 
 
-def _line_features(max_lines: int):
+def _line_features():
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             lines = Lines(find_words(part["text"]))
-            codes = [lines.features[a : min(b, a + max_lines)].tobytes() for a, b in zip(lines.of[:-1], lines.of[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part["doc_id"], part["quality"], pa.array(codes, pa.binary())], names=["doc_id", "quality", "lines"])
+            codes = [lines.features[a:b].tobytes() for a, b in zip(lines.of[:-1], lines.of[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [part["doc_id"], part["quality"], pa.array(np.diff(lines.of)), pa.array(codes, pa.binary())], names=["doc_id", "quality", "n_lines", "lines"]
+            )
 
     return features
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_lines: int = MAX_LINES):
-    """Trains the field on up to ``sample`` labelled documents; the driver gets
-    at most ``sample`` x ``max_lines`` lines' features."""
+    """Trains the field on whole labelled documents: up to ``sample`` of them,
+    in the order of their ids' hashes, while their lines together are at most ``max_lines`` (a
+    document that would exceed it is left out). The driver gets those lines' features."""
     chosen = (
         labels.filter("doc_id is not null and quality is not null")
         .groupBy("doc_id")
@@ -274,15 +296,19 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, max_lines: int
         .limit(sample)
     )
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    rows = (
+    found = stored(
         docs.select("doc_id", "text")
         .join(F.broadcast(chosen), "doc_id")  # at most `sample` rows of two numbers
-        .mapInArrow(_line_features(max_lines), f"doc_id {id_type}, quality long, lines binary")
-        .groupBy("doc_id", "quality")
-        .agg(F.min("lines").alias("lines"))  # one row for a repeated doc_id
-        .orderBy("doc_id")
-        .collect()
+        .mapInArrow(_line_features(), f"doc_id {id_type}, quality long, n_lines long, lines binary")
+        .dropDuplicates(["doc_id", "quality", "n_lines", "lines"]),
+        "lines",
     )
+    # one row for a repeated doc_id; then the running number of lines, over `sample` rows
+    least = found.groupBy("doc_id", "quality").agg(F.min(F.struct("n_lines", "lines")).alias("row"))
+    in_turn = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    fits = found.select("doc_id", "n_lines").groupBy("doc_id").agg(F.min("n_lines").alias("n_lines"))
+    fits = fits.filter(F.col("n_lines") <= max_lines).withColumn("until", F.sum("n_lines").over(in_turn)).filter(F.col("until") <= max_lines)
+    rows = least.join(F.broadcast(fits.select("doc_id")), "doc_id").select("doc_id", "quality", "row.lines").orderBy("doc_id").collect()
     sequences, states = [], []
     for row in rows:
         lines = np.frombuffer(row["lines"], dtype=np.int16).reshape(-1, len(RANGES))

@@ -36,6 +36,7 @@ takes its place.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -44,6 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from augur.llm.scratch import stored
 from augur.llm.words import MULT, Words, find_words, gram_hashes, mix, slices
 
 WINDOW = 35
@@ -159,9 +161,9 @@ def _suffixes(window: int, gram: int):
     return suffixes
 
 
-def shared_at_depth(node: np.ndarray, at: np.ndarray, hashes: np.ndarray, window: int) -> np.ndarray:
-    """Top-down trees over the suffixes ``hashes[at:]`` of the groups ``node``:
-    which suffixes reach depth ``window`` in company."""
+def shared_at_depth(node: np.ndarray, at: np.ndarray, hashes: np.ndarray, words: Words, window: int) -> np.ndarray:
+    """Top-down trees over the suffixes from the words ``at`` on, of the groups
+    ``node``: which suffixes reach depth ``window`` in company."""
     alive = np.arange(len(node))
     node = node.astype(np.uint64)
     edges = gram_hashes(hashes, EDGE)
@@ -178,13 +180,18 @@ def shared_at_depth(node: np.ndarray, at: np.ndarray, hashes: np.ndarray, window
         depth += step
     if not len(alive):
         return alive
-    # word by word against the node's first suffix; a node's suffixes are neighbours now
+    # hashes propose, bytes decide: word by word against the node's first suffix (a
+    # node's suffixes are neighbours now)
     first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
-    leader = np.repeat(first, np.diff(np.r_[first, len(node)]))
-    equal = np.ones(len(alive), dtype=bool)
-    for k in range(window):
-        equal &= hashes[at[alive] + k] == hashes[at[alive[leader]] + k]
-    return alive[equal]
+    number = np.repeat(np.arange(len(first)), np.diff(np.r_[first, len(node)]))
+    equal = words.same_runs(at[alive], at[alive[first[number]]], window)
+    shared = np.ones(len(alive), dtype=bool)
+    for n in np.unique(number[~equal]).tolist():  # different words of one hash: by their bytes
+        own = np.flatnonzero(number == n)
+        content = [words.bytes_of(int(at[alive[i]]), window) for i in own.tolist()]
+        times = Counter(content)
+        shared[own] = [times[c] > 1 for c in content]
+    return alive[shared]
 
 
 def mix_pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -203,7 +210,7 @@ def _trees(window: int):
             n = table["n"].to_numpy()
             place = np.repeat(np.arange(len(n)), n)
             shift = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
-            shared = shared_at_depth(table["gram"].to_numpy()[place].view(np.uint64), words.row[place] + shift, words.hashes(), window)
+            shared = shared_at_depth(table["gram"].to_numpy()[place].view(np.uint64), words.row[place] + shift, words.hashes(), words, window)
             bits = np.zeros(len(n), dtype=np.int64)
             np.bitwise_or.at(bits, place[shared], np.int64(1) << shift[shared])
             found = np.flatnonzero(bits)
@@ -328,7 +335,8 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, max_
         .groupBy("d1", "d2")
         .agg(F.collect_list(F.struct("at", "bits")).alias("hits"))
     )
-    changes = copies.join(hits, ["d1", "d2"], "left").filter("copies > 1 or hits is not null")
+    # written, so the join can split the copies of one text
+    changes = stored(copies.join(hits, ["d1", "d2"], "left").filter("copies > 1 or hits is not null"), "changes")
     joined = base.join(changes, ["d1", "d2"], "left").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
     fields = ", ".join(f"`{hidden[c]}` {docs.schema[c].dataType.simpleString()}" for c in carried)
     cut = joined.mapInArrow(

@@ -13,30 +13,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 4 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
 MULT = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
-INVERSE = np.uint64(pow(int(MULT), -1, 1 << 64))
-
-_powers: dict[int, np.ndarray] = {}
-
-
-def powers(base: np.uint64, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; kept per process, grown on demand."""
-    have = _powers.get(int(base))
-    if have is None or len(have) < n:
-        grown = np.full(max(1 << 16, 1 << int(n).bit_length()), base, dtype=np.uint64)
-        grown[0] = 1
-        have = np.cumprod(grown, dtype=np.uint64)
-        if len(have) <= 4 * SLICE_BYTES:  # the table of a giant text isn't kept
-            _powers[int(base)] = have
-    return have[:n]
-
+SHORT = 64  # bytes of a span hashed in 8-byte blocks of all spans at once
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """64-bit finaliser: spreads polynomial sums over all bits."""
+    """64-bit finaliser: a bijection that spreads a change over all bits."""
     x = x ^ (x >> np.uint64(30))
     x = x * np.uint64(0xBF58476D1CE4E5B9)
     x = x ^ (x >> np.uint64(27))
@@ -44,6 +30,58 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def blocks(data: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each place on, as numbers; zeros follow the end."""
+    padded = np.zeros(len(data) + 8, dtype=np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, dtype="<u8", buffer=padded, strides=(1,))
+
+
+def _block(view: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """The next block of each span with ``left`` > 0 bytes to come."""
+    shift = (np.uint64(8) * (8 - np.minimum(left, 8)).astype(np.uint64)).astype(np.uint64)
+    return view[start] << shift >> shift
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of each byte span: its length and 8-byte blocks go through
+    ``mix`` one after the other; spans of over ``SHORT`` bytes take XXH3. Hashes only
+    propose: what counts as equal is compared by ``same_spans``."""
+    size = end - start
+    out = mix(size.astype(np.uint64) * MULT)
+    view = blocks(data)
+    going = np.flatnonzero((size > 0) & (size <= SHORT))
+    at = 0
+    while len(going):
+        out[going] = mix(out[going] ^ _block(view, start[going] + at, size[going] - at)) * MULT
+        at += 8
+        going = going[size[going] > at]
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        raw = memoryview(np.ascontiguousarray(data))
+        pairs = zip(start[long].tolist(), end[long].tolist(), strict=True)
+        out[long] = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in pairs), dtype=np.uint64, count=len(long))
+    return out
+
+
+def same_spans(data: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Whether the spans (starts, ends) ``a`` and ``b`` hold equal bytes, pair by pair."""
+    size = a[1] - a[0]
+    out = size == b[1] - b[0]
+    view = blocks(data)
+    going, at = np.flatnonzero(out & (size > 0) & (size <= SHORT) & (a[0] != b[0])), 0
+    while len(going):
+        left = size[going] - at
+        equal = _block(view, a[0][going] + at, left) == _block(view, b[0][going] + at, left)
+        out[going[~equal]] = False
+        at += 8
+        going = going[equal]
+        going = going[size[going] > at]
+    for i in np.flatnonzero(out & (size > SHORT) & (a[0] != b[0])).tolist():
+        out[i] = np.array_equal(data[a[0][i] : a[1][i]], data[b[0][i] : b[1][i]])
+    return out
+
+
 def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts (null: empty) and the n + 1 offsets into them."""
     if texts.null_count:
@@ -91,12 +129,22 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """64-bit hash of each word's bytes."""
-        n = len(self.data)
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum((self.data + np.uint64(1)) * powers(MULT, n), out=sums[1:])
-        return mix((sums[self.end] - sums[self.start]) * powers(INVERSE, n)[self.start])
+        return span_hashes(self.data, self.start, self.end)
+
+    def same(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether the words numbered ``a`` and ``b`` are equal, pair by pair."""
+        return same_spans(self.data, (self.start[a], self.end[a]), (self.start[b], self.end[b]))
+
+    def same_runs(self, a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
+        """Whether the ``size`` words from ``a`` and from ``b`` on are equal, pair by pair."""
+        out = np.ones(len(a), dtype=bool)
+        for k in range(size):
+            out[out] = self.same(a[out] + k, b[out] + k)
+        return out
+
+    def bytes_of(self, first: int, size: int) -> tuple[bytes, ...]:
+        """The ``size`` words from ``first`` on."""
+        return tuple(self.data[a:b].tobytes() for a, b in zip(self.start[first : first + size].tolist(), self.end[first : first + size].tolist(), strict=True))
 
 
 def find_words(texts: pa.Array) -> Words:

@@ -85,7 +85,7 @@ def test_one_fit_scores_alike_however_the_rows_lie(spark, docs):
     by_text = {}
     for r in one.collect():
         by_text.setdefault((r["text"] or "").split().__len__() and r["text"], set()).add(r["score"])
-    assert all(len(s) == 1 for s in by_text.values())  # copies alike, null and blank texts alike
+    assert [t for t, s in by_text.items() if len(s) > 1] == []  # copies alike, null and blank texts alike
     bias = qc.logistic(weights[-1])
     assert by_text[0] == {float(bias)}
 
