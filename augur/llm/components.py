@@ -19,7 +19,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = both.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:  # every edge at its larger end
         both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    # written, so the join can split a node that a third of all edges meet
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     near = both.join(least, "u")
     if large:
         return near.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

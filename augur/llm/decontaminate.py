@@ -23,9 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from augur.llm.scratch import stored
+
 SIZE = 13
 PARTS = 20  # a text is contaminated if at least one in so many of its words is hit
 MAX_BROADCAST = 64 << 20
+MAX_REMOVED = 1 << 20  # digests of removed texts broadcast up to this many
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -143,6 +146,9 @@ def remove_contaminated(
     bad = judge(docs, benchmark, size, parts, max_broadcast).filter("contaminated").select(
         F.col("d1").alias("_d1"), F.col("d2").alias("_d2")
     )
+    bad = stored(bad, "contaminated")
+    if bad.count() <= MAX_REMOVED:  # counted: the texts stay where they are, 16 bytes a removed text travel
+        bad = F.broadcast(bad)
     text = F.coalesce(F.col("text"), F.lit(""))
     keyed = docs.withColumns({"_d1": F.xxhash64(text), "_d2": F.xxhash64(F.lit(7), text)})
     return keyed.join(bad, ["_d1", "_d2"], "left_anti").select(docs.columns)
@@ -152,6 +158,8 @@ def op4_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     """Contract query over whole ``documents`` and ``benchmark``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     verdicts = judge(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    # written, so the join can split the copies of one text
+    verdicts = stored(verdicts.select("d1", "d2", "n_words", "n_hit", "n_items", "items", "contaminated"), "verdicts")
     text = F.coalesce(F.col("text"), F.lit(""))
     ids = docs.select("doc_id", F.xxhash64(text).alias("d1"), F.xxhash64(F.lit(7), text).alias("d2"))
     return ids.join(verdicts, ["d1", "d2"]).select(

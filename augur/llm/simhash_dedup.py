@@ -47,6 +47,7 @@ SHINGLE = 4
 DISTANCE = 4
 SEED = 42
 MAX_GROUP = 4096
+MAX_BROADCAST = 1 << 20  # keys of removed rows broadcast up to this many (16 bytes each)
 PIVOTS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))  # fixed reference fingerprints
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 BITS = 64
@@ -230,7 +231,9 @@ def near_duplicates(
     classes = nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
-    names = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    # written, so the join below can split a component that many fingerprints have
+    classes = stored(classes, "classes")
+    names = stored(classes.groupBy("component").agg(F.min("least").alias("component_id")), "names")
     named = classes.join(names, "component").select("fp", "component_id", "component")
     return prints.join(named, "fp").select(
         "doc_id", "r1", "r2", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component"
@@ -243,20 +246,31 @@ def _row_keys() -> list:
 
 
 def keep_one(
-    docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, max_group: int = MAX_GROUP
+    docs: DataFrame,
+    shingle: int = SHINGLE,
+    distance: int = DISTANCE,
+    max_group: int = MAX_GROUP,
+    max_broadcast: int = MAX_BROADCAST,
 ) -> DataFrame:
     """One row of ``docs`` for each group, all columns: the one whose doc_id is
     the group's ``component_id``. If several rows have that doc_id, the least
     by row key stays; of equal rows, any one."""
-    groups = near_duplicates(docs, shingle, distance, max_group)
+    groups = stored(near_duplicates(docs, shingle, distance, max_group).drop("fingerprint"), "near_duplicates")
     keep = (
         groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component")
         .agg(F.min(F.struct("r1", "r2")).alias("row"))
         .select(F.col("row.r1").alias("_r1"), F.col("row.r2").alias("_r2"))
     )
+    keep = stored(keep, "keep")
     r1, r2 = _row_keys()
     keyed = docs.select("*", r1.alias("_r1"), r2.alias("_r2"))
+    rows = groups.groupBy(F.col("r1").alias("_r1"), F.col("r2").alias("_r2")).agg(F.count(F.lit(1)).alias("_n"))
+    gone = stored(rows.join(keep, ["_r1", "_r2"], "left_anti").select("_r1", "_r2"), "gone")
+    repeated = rows.filter("_n > 1").join(keep, ["_r1", "_r2"], "left_semi")
+    if gone.count() <= max_broadcast and repeated.isEmpty():
+        # counted: texts stay where they are, and only keys (16 bytes each) travel
+        return keyed.join(F.broadcast(gone), ["_r1", "_r2"], "left_anti").select(docs.columns)
     # the semi-join leaves the rows dealt by their key, so repeated rows go without another shuffle
     return keyed.join(keep, ["_r1", "_r2"], "left_semi").dropDuplicates(["_r1", "_r2"]).select(docs.columns)
 

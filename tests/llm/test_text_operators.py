@@ -103,6 +103,16 @@ def test_keep_one(docs, texts, spark, empty):
     assert sorted(r["text"] for r in simhash_dedup.keep_one(nameless).collect()) == ["a b c d e", "q r s t u v"]
 
 
+@pytest.mark.parametrize("repeated", [False, True])
+def test_keep_one_with_and_without_a_broadcast(docs, same, repeated):
+    rows = docs.select("doc_id", "text")
+    rows = rows if repeated else rows.dropDuplicates()
+    few, many = simhash_dedup.keep_one(rows), simhash_dedup.keep_one(rows, max_broadcast=0)
+    same(few, [tuple(r) for r in many.collect()])
+    plan = few._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) is not repeated
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 100), (7, 7), (200, 200)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
