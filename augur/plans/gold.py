@@ -22,15 +22,14 @@ version of the model that they belong to.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from augur.plans import derived, marts
 from augur.plans.model import BUCKET, MODEL_TABLES, bucket_of, mart_inputs
-from augur.session import stored
+from augur.session import concurrently, stored
 from augur.sources.store import Entry, Snapshot, Store
 from augur.streaming.incremental import CHANGED_FORECASTERS, CHANGES
 
@@ -43,11 +42,6 @@ STATE = ("pair_table", "question_cells", "latest_cells")
 BY_PERSON = ("latest_forecasts", "belief_revision", "belief_revision_chrono", "engagement")
 
 
-def _concurrently(jobs: Mapping[str, Callable]) -> dict:
-    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        return dict(pool.map(lambda item: (item[0], item[1]()), jobs.items()))
-
-
 class _Gold:
     """One refresh: the tables written so far, over those of the version before."""
 
@@ -70,7 +64,7 @@ class _Gold:
                 part = self.entries[name].without(BUCKET, replaced).plus(part)
             return part
 
-        self.entries |= _concurrently({n: lambda n=n, df=df: one(n, df) for n, df in jobs.items()})
+        self.entries |= concurrently({n: lambda n=n, df=df: one(n, df) for n, df in jobs.items()})
 
     def people(self, touched: Sequence[int] | None) -> DataFrame:
         """Forecasters as the marts read them, with their bucket."""

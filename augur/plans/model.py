@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +33,7 @@ from augur.functions.dates import date_parts
 from augur.operators.dedup import reduced
 from augur.operators.keys import dense_key
 from augur.sources.csv import load_raw
-from augur.session import stored
+from augur.session import concurrently, stored
 from augur.sources.quarantine import split
 from augur.sources.store import Entry, Store
 
@@ -256,12 +255,7 @@ def write_table(store: Store, name: str, df: DataFrame, buckets: int) -> Entry:
 def write_concurrently(store: Store, jobs: Mapping[str, Callable[[], DataFrame]], buckets: int) -> dict[str, Entry]:
     """Build and write independent tables as concurrent Spark jobs (one
     submitting thread each; building may itself run jobs, e.g. dense keys)."""
-    def one(item):
-        name, make = item
-        return name, write_table(store, name, make(), buckets)
-
-    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
-        return dict(pool.map(one, jobs.items()))
+    return concurrently({n: lambda n=n, make=make: write_table(store, n, make(), buckets) for n, make in jobs.items()})
 
 
 def unregistered(forecasts: DataFrame, forecasters: DataFrame) -> DataFrame:

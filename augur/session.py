@@ -5,6 +5,8 @@ from __future__ import annotations
 import itertools
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -119,6 +121,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def concurrently(jobs: Mapping[str, Callable]) -> dict:
+    """Results of independent functions that run Spark jobs, each submitted by a thread of its own."""
+    with ThreadPoolExecutor(max_workers=max(1, len(jobs))) as pool:
+        return dict(pool.map(lambda item: (item[0], item[1]()), jobs.items()))
+
+
 def clear_scratch(spark: SparkSession) -> bool:
     """Remove what this run wrote with ``scratch_path``. Call it when nothing
     that reads those tables is needed any more (the command line does so at

@@ -43,7 +43,7 @@ from pyspark.sql.streaming import StreamingQuery
 from augur.functions.dates import date_parts
 from augur.operators.keys import dense_key
 from augur.plans import model as M
-from augur.session import stored
+from augur.session import concurrently, stored
 from augur.sources.schemas import RAW_DEMOGRAPHICS, RAW_FORECASTS, RAW_QUESTION_TAGS
 from augur.sources.store import Conflict, Entry, Snapshot, Store
 
@@ -101,23 +101,26 @@ def _upsert(now: Snapshot, name: str, key: str, sk: str, news: DataFrame, attrib
     return entry.without(M.BUCKET, rewritten).plus(part, entry.rows + added.count()), changed
 
 
-def _dimensions(now: Snapshot, forecasts: DataFrame, demographics: DataFrame) -> tuple[dict[str, Entry], DataFrame | None]:
-    """Merged dimensions, calendar days included, and the changed forecasters."""
+def _people(now: Snapshot, forecasts: DataFrame, demographics: DataFrame) -> tuple[Entry, DataFrame | None]:
+    """Merged forecasters, and those that changed."""
     profiles = M.forecaster_profiles(demographics).withColumn("_registers", F.lit(True))
     names = M.forecaster_names(forecasts).where("forecaster_id is not null")
     news = names.join(profiles, "forecaster_id", "full")
     news = news.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("is_active", "has_complete_profile", "_registers")})
-    people, changed = _upsert(
-        now, "dim_forecasters", "forecaster_id", "forecaster_sk", news, M.FORECASTER_ATTRIBUTES, F.col("n._registers")
-    )
-    questions, _ = _upsert(now, "dim_questions", "question_id", "question_sk", M.question_texts(forecasts), ["question_text"], F.lit(True))
-    entries = {"dim_forecasters": people, "dim_questions": questions, "dim_date": now.entries["dim_date"]}
+    return _upsert(now, "dim_forecasters", "forecaster_id", "forecaster_sk", news, M.FORECASTER_ATTRIBUTES, F.col("n._registers"))
+
+
+def _questions(now: Snapshot, forecasts: DataFrame) -> Entry:
+    return _upsert(now, "dim_questions", "question_id", "question_sk", M.question_texts(forecasts), ["question_text"], F.lit(True))[0]
+
+
+def _days(now: Snapshot, forecasts: DataFrame) -> Entry:
+    entry = now.entries["dim_date"]
     days = M.typed_forecasts(forecasts).select(F.col("forecast_timestamp").cast("date").alias("date_day")).distinct().alias("n")
     unseen = stored(days.join(now.read("dim_date").alias("o"), _same("n", "o", ["date_day"]), "left_anti"), "new_days")
-    if not unseen.isEmpty():
-        part = M.write_table(now.store, "dim_date", unseen.select("date_day", *date_parts(F.col("date_day"))), now.properties["buckets"])
-        entries["dim_date"] = entries["dim_date"].plus(part)
-    return entries, changed
+    if unseen.isEmpty():
+        return entry
+    return entry.plus(M.write_table(now.store, "dim_date", unseen.select("date_day", *date_parts(F.col("date_day"))), now.properties["buckets"]))
 
 
 def _bridge(now: Snapshot, tags: DataFrame, questions: DataFrame) -> Entry:
@@ -184,15 +187,29 @@ def _load(
     batch = stored(forecasts.unionByName(now.read("pending_forecasts").select(*forecasts.columns)), "batch")
     all_tags = stored(tags.select("question_id", "tag").unionByName(now.read("pending_tags")), "batch_tags")
 
-    dimensions, changed = _dimensions(now, batch, demographics)
-    entries |= dimensions
+    # tables that don't need each other's keys are merged by concurrent jobs
+    done = concurrently(
+        {
+            "dim_forecasters": lambda: _people(now, batch, demographics),
+            "dim_questions": lambda: _questions(now, batch),
+            "dim_date": lambda: _days(now, batch),
+        }
+    )
+    entries["dim_forecasters"], changed = done.pop("dim_forecasters")
+    entries |= done
     buckets_of = _values(stored(batch.select(M.bucket_of("forecaster_id", buckets).alias("b")).distinct(), "person_buckets"), "b")
     forecasters = store.read("dim_forecasters", entries["dim_forecasters"], with_hidden=True).where(_in(M.BUCKET, buckets_of))
     questions = store.read("dim_questions", entries["dim_questions"])
-    entries["bridge_question_tags"] = _bridge(now, all_tags, questions)
-    entries["fct_forecasts"], changes, added = _fact(now, batch, forecasters, questions)
-    for name, rows in (("pending_forecasts", M.unregistered(batch, forecasters)), ("pending_tags", M.untied(all_tags, questions))):
-        entries[name] = M.write_table(store, name, rows, buckets)
+    done = concurrently(
+        {
+            "bridge_question_tags": lambda: _bridge(now, all_tags, questions),
+            "fct_forecasts": lambda: _fact(now, batch, forecasters, questions),
+            "pending_forecasts": lambda: M.write_table(store, "pending_forecasts", M.unregistered(batch, forecasters), buckets),
+            "pending_tags": lambda: M.write_table(store, "pending_tags", M.untied(all_tags, questions), buckets),
+        }
+    )
+    entries["fct_forecasts"], changes, added = done.pop("fct_forecasts")
+    entries |= done
 
     same = [t for t in entries if entries[t].folders == now.entries.get(t, Entry(None)).folders]
     if bad is not None:
