@@ -144,17 +144,16 @@ def profile(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.min("_v").cast("int").alias("min"),
         F.max("_v").cast("int").alias("max"),
     )
+    return out.select(*keys, "members", "rows", "median", *_mean_and_stddev(), "min", "max")
+
+
+def _mean_and_stddev() -> list[Column]:
+    """From exact sums: the number of values _n, their sum _s and that of their squares _q."""
     spread = (F.col("_q") - F.col("_s") * F.col("_s") / F.col("_n")) / (F.col("_n") - 1)
-    return out.select(
-        *keys,
-        "members",
-        "rows",
-        "median",
+    return [
         (F.col("_s") / F.col("_n")).alias("mean"),
         F.when(F.col("_n") > 1, F.sqrt(F.greatest(spread, F.lit(0.0)))).alias("stddev"),
-        "min",
-        "max",
-    )
+    ]
 
 
 def question_cells(fact: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -237,20 +236,11 @@ def latest_with_type(
 LATEST_KEY = ["question_id", "forecaster_type"]
 
 
-def latest_cells(fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None) -> DataFrame:
-    """``profile_cells`` of the latest predictions per question and
-    forecaster type, which serve the type comparison and both calibration marts.
-    Given that table, it is returned as it is."""
-    if set(CELL_COLUMNS) <= set(fact.columns):
-        return fact
-    return profile_cells(latest_with_type(fact, forecasters, latest), LATEST_KEY, "prediction", "forecaster_sk")
-
-
 def type_comparison(
     fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None = None
 ) -> DataFrame:
     """U8: forecaster types compared on their latest forecasts, from the
-    fact, the pair table or ``latest_cells``."""
+    fact, the pair table or cells (``profile_cells`` per ``LATEST_KEY``)."""
     if set(CELL_COLUMNS) <= set(fact.columns):
         cells = merge_cells(fact, ["forecaster_type"])
     else:
@@ -363,8 +353,16 @@ def calibration_spread(
 
 
 def _calibration(fact: DataFrame, forecasters: DataFrame, latest: DataFrame | None) -> DataFrame:
-    """avg and stddev of the latest predictions per (question, type)."""
-    per = profile(latest_cells(fact, forecasters, latest), LATEST_KEY)
+    """avg and stddev of the latest predictions per (question, type); from
+    cells per ``LATEST_KEY``, or by the same exact sums straight from the latest."""
+    if set(CELL_COLUMNS) <= set(fact.columns):
+        per = profile(fact, LATEST_KEY)
+    else:
+        v = F.col("prediction").cast("decimal(20,0)")
+        sums = latest_with_type(fact, forecasters, latest).groupBy(*LATEST_KEY).agg(
+            F.count("prediction").alias("_n"), F.sum(v).cast("double").alias("_s"), F.sum(v * v).cast("double").alias("_q")
+        )
+        per = sums.select(*LATEST_KEY, *_mean_and_stddev())
     return per.select(*LATEST_KEY, _r1("mean").alias("avg"), _r1("stddev").alias("stddev"))
 
 
