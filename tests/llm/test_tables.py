@@ -139,7 +139,7 @@ def test_sql_agrees(spark, sf):
 
     folder = f"/root/testdata/{sf}"
     db = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         db.execute(f"create view {t} as select * from '{folder}/{t}.parquet'")
     for name, sql in ORACLE_SQL.items():
         found = QUERIES[name](spark, folder)
