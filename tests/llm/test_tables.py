@@ -260,5 +260,5 @@ def test_rest_works_without_this_subpackage(tmp_path):
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", ".pytest_cache"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'question_summary' in q and 'pipeline' not in q and set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, env={**os.environ, "PYTHONPATH": str(copy)})
-    full = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and sum(k.startswith('op') for k in q) == 10"
+    full = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and sum(k.startswith('op') for k in q) == 13"
     subprocess.run([sys.executable, "-c", full], cwd=ROOT, check=True, env={**os.environ, "PYTHONPATH": ROOT})
