@@ -17,13 +17,14 @@ from pyspark.sql import functions as F
 
 from augur.functions import clean, labels
 from augur.functions.text import text_digest
+from augur.operators.hot_join import hot_join
 from augur.operators.keys import dense_key
 from augur.operators.median import exact_median
 from augur.operators.sequence import sequence_number
 from augur.plans import derived, marts, model, quality
 from augur.session import scratch_path, stored
 from augur.sources import csv as csv_src
-from augur.sources import schemas, sinks
+from augur.sources import clustered, schemas, sinks
 from augur.sources.tables import (
     PROSE_STATUS,
     forecaster_profiles,
@@ -159,6 +160,26 @@ def q_top_forecaster(spark, d):
     return derived.top_forecaster(marts.engagement(_unchecked(spark, d), _dims(spark, d)))
 
 
+def q_top_forecaster_history(spark, d):
+    """The most active forecaster's forecasts, from a table clustered by forecaster."""
+    path = scratch_path(spark, "clustered_forecasts")
+    fact = _unchecked(spark, d).select("forecaster_sk", "question_id", "prediction", "forecast_timestamp")
+    clustered.write_clustered(fact, path, ["forecaster_sk", "question_id"], tie=["forecast_timestamp"])
+    top = q_top_forecaster(spark, d).first()
+    if top is None:
+        return fact.where(F.lit(False))
+    return clustered.read_clustered(spark, path, top["forecaster_sk"])
+
+
+def q_consensus_distance(spark, d):
+    """Every forecast against its question's median; a few questions hold all rows."""
+    consensus = q_question_summary(spark, d).select("question_id", "median_prediction")
+    fact = _fact(spark, d).select("forecaster_sk", "question_id", "prediction", "forecast_timestamp")
+    return hot_join(fact, consensus, ["question_id"]).withColumn(
+        "distance", F.round(F.col("prediction") - F.col("median_prediction"), 1)
+    )
+
+
 def _summary(spark, d):
     return q_question_summary(spark, d)
 
