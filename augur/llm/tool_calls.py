@@ -7,8 +7,8 @@ identifier. Arguments are validated against the tool's schema, and every call
 becomes one line of canonical JSON (keys in UTF-16 order, no blanks, integral
 floats as integers, no escapes but those JSON needs).
 
-Levels are found by joins, one round per level, written to the shared folder;
-positions come from a range-partitioned numbering. No task ever holds a whole
+Levels are found by doubling: rounds of joins, each written to the shared folder,
+whose number grows with the logarithm of a chain's length; positions come from a range-partitioned numbering. No task ever holds a whole
 conversation, so one may have any share of the rows.
 
 Defined cases: a call without a result has status ``open``; a result without a
@@ -30,6 +30,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -161,7 +162,15 @@ def _serialise(schemas: dict[str, dict]):
 
 
 def levels(calls: DataFrame) -> DataFrame:
-    """calls (conv, call_id, depends_on) -> (conv, call_id, level, unknown)."""
+    """calls (conv, call_id, depends_on) -> (conv, call_id, level, unknown).
+
+    A level is the longest path to a call without dependencies, found by doubling.
+    An edge (call, on, w) says: level >= level of ``on`` + w; without ``on`` it is a bound by itself.
+    A call with bounds alone has its level. A call with one ``on``, whose own bound is no greater
+    than w, follows that one. Each round replaces such an ``on`` by what it follows, w added, so
+    the paths along chains, trees and diamonds double every round. A path longer
+    than there are calls runs round a cycle; so do all calls left when nothing can be replaced.
+    """
     nodes = calls.select("conv", "call_id")
     needs = (
         calls.select("conv", "call_id", F.explode("depends_on").alias("on")).filter("on is not null").distinct()
@@ -169,23 +178,65 @@ def levels(calls: DataFrame) -> DataFrame:
     )
     needs = stored(needs, "needs")
     unknown = needs.filter("known is null").select("conv", "call_id", F.lit(True).alias("unknown")).distinct()
-    open_ = needs.filter("known").select("conv", "call_id", "on")
-    placed = stored(nodes.join(open_, ["conv", "call_id"], "left_anti").withColumn("level", F.lit(0)), "levels")
-    level = 0
-    while not open_.isEmpty():
-        level += 1
-        # calls that need none of those still open come next
-        waiting = open_.select("conv", "call_id").distinct()
-        still = open_.join(waiting.select("conv", F.col("call_id").alias("on")), ["conv", "on"], "left_semi")
-        still = stored(still.select("conv", "call_id").distinct(), "still")
-        ready = waiting.join(still, ["conv", "call_id"], "left_anti")
-        cycle = still.count() == waiting.count()
-        if cycle:
-            placed = placed.unionByName(waiting.withColumn("level", F.lit(-1)))
+    known = needs.filter("known").select("conv", "call_id", "on")
+    free = nodes.join(known, ["conv", "call_id"], "left_anti")
+    edge = lambda df, on, w: df.select("conv", "call_id", on.alias("on"), F.lit(w).cast("long").alias("w"), F.lit(False).alias("cycle"))
+    edges = edge(free, F.lit(None).cast("string"), 0).unionByName(edge(known, F.col("on"), 1))
+    edges = stored(edges.withColumn("moved", F.lit(True)), "edges")
+    most, placed, gone = nodes.count(), [], []
+    while True:
+        left, moved = edges.agg(F.count(F.lit(1)), F.max("moved")).first()
+        if not left:
+            break
+        if not moved:
+            placed.append(edges.select("conv", "call_id").distinct().withColumn("level", F.lit(-1)))
             break
-        placed = stored(placed.unionByName(ready.withColumn("level", F.lit(level))), "levels")
-        open_ = stored(open_.join(still, ["conv", "call_id"], "left_semi"), "open")
-    return placed.join(unknown, ["conv", "call_id"], "left")
+        state = stored(_followed(edges, most), "followed")
+        placed.append(state.filter("done").select("conv", "call_id", F.col("to_w").cast("int").alias("level")))
+        # calls placed in earlier rounds too: a call may get to them only now
+        ends = reduce(DataFrame.unionByName, [*gone, state.filter("follows")])
+        ends = ends.select("conv", F.col("call_id").alias("on"), "to", "to_w", F.col("cycle").alias("to_cycle"))
+        gone.append(state.filter("done"))
+        rest = edges.join(state.filter("done"), ["conv", "call_id"], "left_anti").join(ends, ["conv", "on"], "left")
+        replaced = F.col("to_w").isNotNull()
+        edges = stored(
+            rest.select(
+                "conv",
+                "call_id",
+                F.when(replaced, F.col("to")).otherwise(F.col("on")).alias("on"),
+                (F.col("w") + F.coalesce("to_w", F.lit(0))).alias("w"),
+                (F.col("cycle") | F.coalesce("to_cycle", F.lit(False))).alias("cycle"),
+                replaced.alias("moved"),
+            )
+            .groupBy("conv", "call_id", "on")
+            .agg(F.max("w").alias("w"), F.max("cycle").alias("cycle"), F.max("moved").alias("moved")),
+            "edges",
+        )
+    found = reduce(DataFrame.unionByName, placed) if placed else nodes.withColumn("level", F.lit(0))
+    return found.join(unknown, ["conv", "call_id"], "left")
+
+
+def _followed(edges: DataFrame, most: int) -> DataFrame:
+    """Per call: whether its level is known (``done``), whether other calls' edges to it can be
+    replaced (``follows``), and by what: ``to`` (null: nothing more), ``to_w`` and ``cycle``."""
+    per_call = edges.groupBy("conv", "call_id").agg(
+        F.count("on").alias("n"),
+        F.min("on").alias("to"),
+        F.max(F.when(F.col("on").isNotNull(), F.col("w"))).alias("w"),
+        F.max(F.when(F.col("on").isNull(), F.col("w"))).alias("bound"),
+        (F.max("cycle") | (F.max("w") > most)).alias("cycle"),
+    )
+    done = (F.col("n") == 0) | F.col("cycle")
+    one = (F.col("n") == 1) & F.coalesce(F.col("bound") <= F.col("w"), F.lit(True))
+    return per_call.select(
+        "conv",
+        "call_id",
+        done.alias("done"),
+        (done | one).alias("follows"),
+        F.when(~done, F.col("to")).alias("to"),
+        F.when(F.col("cycle"), F.lit(-1)).when(done, F.col("bound")).otherwise(F.col("w")).cast("long").alias("to_w"),
+        "cycle",
+    )
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], all_results: bool = False) -> DataFrame:
@@ -206,7 +257,7 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict], a
         .groupBy(F.col("conv_id").cast("string").alias("conv"), "call_id")
         .agg(F.count(F.lit(1)).alias("n_results"), F.min("content").alias("content"), F.min("turn").alias("r_turn"), F.min("conv_id").alias("r_conv"))
     )
-    linked = one.join(levels(one), ["conv", "call_id"]).join(answers, ["conv", "call_id"], "full").select(
+    linked = one.join(levels(one), ["conv", "call_id"]).join(answers.hint("shuffle_hash"), ["conv", "call_id"], "full").select(
         F.coalesce("conv_id", "r_conv").alias("conv_id"),
         "conv",
         "call_id",
