@@ -14,12 +14,12 @@ permutation of all canonical forms of the same type and shape (a Feistel network
 so two entities of one shape can't meet) and is written in the mention's own
 format: punctuation, case, script, kind of digit, country digit, card and IBAN check digits,
 private or public address range, hexadecimal or alphanumeric secrets. First
-names become first names of the same gender and script, other name parts
+names become the next of the same gender and script in a keyed order, other name parts
 pronounceable words of the same script (there two may meet; the check settles it).
 
 Collisions are checked over the whole corpus: no surrogate may be the surrogate of
 another entity or any entity that really occurs (first names from the lists,
-which are rotated, excepted). Entities that collide are drawn again, round by
+which follow each other in a keyed order, excepted). Entities that collide are drawn again, round by
 round, until none does; from round ``MAX_ROUNDS`` on a surrogate is longer than
 its entity, by one character or syllable more each round (an IPv4 address
 becomes an IPv6 one), so a full or tiny space runs out of collisions and never stops the job.
@@ -302,12 +302,18 @@ def surrogate(kind: str, canonical: str, key: bytes, draw: int = 0) -> str:
         hexadecimal = all(c in HEX for c in canonical)
         canonical += ("0" if hexadecimal else "a") * more
         return reshaped(canonical, [HEX] * len(canonical) if hexadecimal else _by_class(canonical), key, tweak)
-    _, script, *gender = kind.split(" ")
-    if kind.startswith("first"):  # a rotation: no name stays, none meet
-        names = FIRST[script, gender[0]]
-        shift = 1 + int.from_bytes(hashlib.blake2b(key + kind.encode(), digest_size=8).digest(), "big") % (len(names) - 1)
-        return names[(names.index(canonical) + shift) % len(names)]
-    return _pronounceable(canonical, script, key, tweak, more)
+    if kind.startswith("first"):
+        return _first_names(kind, key)[canonical]
+    return _pronounceable(canonical, kind.split(" ")[1], key, tweak, more)
+
+
+@functools.lru_cache(64)
+def _first_names(kind: str, key: bytes) -> dict[str, str]:
+    """Each listed name's surrogate: the next in a keyed order, so no name stays, none meet,
+    and a known pair tells nothing of the others."""
+    _, script, gender = kind.split(" ")
+    order = sorted(FIRST[script, gender], key=lambda n: hashlib.blake2b(f"{kind}|{n}".encode(), key=hashlib.sha256(key).digest()).digest())
+    return dict(zip(order, [*order[1:], order[0]], strict=True))
 
 
 def _pronounceable(word: str, script: str, key: bytes, tweak: str, more: int = 0) -> str:

@@ -289,3 +289,13 @@ def test_fold_of_null_id(spark):
     import zlib
 
     assert rows[0]["f"] == zlib.crc32(b"1") % 5 and rows[1]["f"] is None
+
+
+def test_first_names_follow_a_keyed_order():
+    """No listed name stays or meets another, and one known pair doesn't give the others."""
+    for (script, gender), names in pii.FIRST.items():
+        new = [pii.surrogate(f"first {script} {gender}", n, b"k") for n in names]
+        assert sorted(new) == sorted(names) and all(a != b for a, b in zip(names, new, strict=True))
+    names = pii.FIRST["latin", "m"]
+    shifts = {(names.index(pii.surrogate("first latin m", n, b"k")) - i) % len(names) for i, n in enumerate(names)}
+    assert len(shifts) > 3
