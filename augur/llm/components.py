@@ -13,14 +13,15 @@ from pyspark.sql import functions as F
 from augur.llm.scratch import stored
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, rows: int) -> DataFrame:
+    """One step over at most ``rows`` edges: a large star makes no more of them, a small star twice as many at most."""
     both = edges.select("u", "v")
     if large:
         both = both.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:  # every edge at its larger end
         both = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     # written, so the join can split a node that a third of all edges meet
-    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+    least = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least", 2 * rows)
     near = both.join(least, "u")
     if large:
         return near.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -42,4 +43,4 @@ def components(edges: DataFrame) -> DataFrame:
         if mark == seen or not mark[0]:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         seen = mark
-        now = stored(_star(_star(now, large=True), large=False), "edges")
+        now = stored(_star(_star(now, True, mark[0]), False, mark[0]), "edges", 2 * mark[0])

@@ -412,14 +412,15 @@ def redrawn(docs: DataFrame, key: bytes = KEY) -> DataFrame | None:
     length of any that is taken, so the rounds end."""
     entities = stored(docs.select("text").mapInArrow(_entities, "type string, entity string").distinct(), "entities")
     entities = entities.filter("type not like 'first %'")
+    n = entities.count()
     pending, taken, drawn = entities, None, None
     for draw in itertools.count():
-        made = stored(pending.mapInArrow(_draw(key, draw), "type string, entity string, new string").withColumn("new", _stem("new")), "surrogates")
+        made = stored(pending.mapInArrow(_draw(key, draw), "type string, entity string, new string").withColumn("new", _stem("new")), "surrogates", n)
         real = entities.select("type", _stem("entity").alias("new"))
         used = real if taken is None else real.unionByName(taken)
         first = made.groupBy("type", "new").agg(F.min("entity").alias("entity"))  # of several that meet, one keeps it
-        good = stored(first.join(used, ["type", "new"], "left_anti"), "good")  # so plans don't nest
-        pending = stored(made.join(good, ["type", "new", "entity"], "left_anti").select("type", "entity"), "pending")
+        good = stored(first.join(used, ["type", "new"], "left_anti"), "good", n)  # so plans don't nest
+        pending = stored(made.join(good, ["type", "new", "entity"], "left_anti").select("type", "entity"), "pending", n)
         if draw:
             now = good.select("type", "entity", F.lit(draw).alias("draw"))
             drawn = now if drawn is None else drawn.unionByName(now)

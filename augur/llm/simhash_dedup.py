@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from augur.llm.components import components
-from augur.llm.scratch import stored
+from augur.llm.scratch import few_files, stored
 from augur.llm.words import mix, slices
 
 SHINGLE = 4
@@ -200,7 +200,8 @@ def links(fps: DataFrame, distance: int = DISTANCE, max_group: int = MAX_GROUP)
     if large is None:
         return compared(rows.select("*", whole))
     found = compared(rows.join(large, ["mask", "agreed"], "left_anti").select("*", whole))
-    dense = stored(rows.join(large, ["mask", "agreed"], "left_semi").select("fp", "mask").distinct(), "dense")
+    n = large.agg(F.sum("n")).first()[0]
+    dense = stored(rows.join(large, ["mask", "agreed"], "left_semi").select("fp", "mask").distinct(), "dense", n)
     rows, large = spread(dense)
     if large is None:
         return found.unionByName(compared(rows.select("*", whole)))
@@ -226,18 +227,20 @@ def near_duplicates(
         ),
         "fingerprints",
     )
-    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes")
+    n = prints.count()
+    nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "nodes", n)
     joined = components(links(nodes.select("fp"), distance, max_group))
     classes = nodes.join(joined.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
     # written, so the join below can split a component that many fingerprints have
-    classes = stored(classes, "classes")
-    names = stored(classes.groupBy("component").agg(F.min("least").alias("component_id")), "names")
+    classes = stored(classes, "classes", n)
+    names = stored(classes.groupBy("component").agg(F.min("least").alias("component_id")), "names", n)
     named = classes.join(names, "component").select("fp", "component_id", "component")
-    return prints.join(named, "fp").select(
+    found = prints.join(named, "fp").select(
         "doc_id", "r1", "r2", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component"
     )
+    return few_files(found, n)
 
 
 def _row_keys() -> list:
@@ -256,17 +259,18 @@ def keep_one(
     the group's ``component_id``. If several rows have that doc_id, the least
     by row key stays; of equal rows, any one."""
     groups = stored(near_duplicates(docs, shingle, distance, max_group).drop("fingerprint"), "near_duplicates")
+    n = groups.count()
     keep = (
         groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("component")
         .agg(F.min(F.struct("r1", "r2")).alias("row"))
         .select(F.col("row.r1").alias("_r1"), F.col("row.r2").alias("_r2"))
     )
-    keep = stored(keep, "keep")
+    keep = stored(keep, "keep", n)
     r1, r2 = _row_keys()
     keyed = docs.select("*", r1.alias("_r1"), r2.alias("_r2"))
     rows = groups.groupBy(F.col("r1").alias("_r1"), F.col("r2").alias("_r2")).agg(F.count(F.lit(1)).alias("_n"))
-    gone = stored(rows.join(keep, ["_r1", "_r2"], "left_anti").select("_r1", "_r2"), "gone")
+    gone = stored(rows.join(keep, ["_r1", "_r2"], "left_anti").select("_r1", "_r2"), "gone", n)
     repeated = rows.filter("_n > 1").join(keep, ["_r1", "_r2"], "left_semi")
     if gone.count() <= max_broadcast and repeated.isEmpty():
         # counted: texts stay where they are, and only keys (16 bytes each) travel

@@ -1,11 +1,12 @@
 """Operators over documents against plain versions, defined cases included."""
 
 import hashlib
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from augur.llm import decontaminate, quality_rules, simhash_dedup, substring_dedup
+from augur.llm import decontaminate, pii, quality_rules, simhash_dedup, substring_dedup
 from augur.llm.components import components
 
 from . import brute
@@ -243,3 +244,27 @@ def test_expected_counts_are_those_of_all_paths():
             for a, b in itertools.pairwise(p):
                 exp_joint[a, b] += w
     assert np.allclose(found, exp_found) and np.allclose(joint, exp_joint)
+
+
+def test_small_tables_go_to_few_files(spark, docs):
+    """However many shuffle partitions there are: a file starts processes beside the executor (chmod), so hundreds
+    of tiny ones a table cost more than the rows."""
+    tables = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"), "tables")
+    earlier = set(tables.glob("*"))
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    named = spark.createDataFrame([(i, f"w{i}@example{i % 7}.org, 10.0.{i}.7") for i in range(80)], "doc_id long, text string")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        assert simhash_dedup.keep_one(docs).count() > 60
+        pii.redrawn(named)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files: dict[str, set[int]] = {}
+    for path in set(tables.glob("*")) - earlier:
+        files.setdefault(path.name.rsplit("-", 1)[0], set()).add(len(list(path.glob("part-*.parquet"))))
+    assert max(files["entities"]) > 1  # not counted beforehand
+    for name in ("nodes", "least", "classes", "names", "near_duplicates", "keep", "gone", "surrogates", "good", "pending"):
+        assert files[name] == {1}, name
