@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from augur.llm.scratch import stored
+from augur.llm.scratch import few_files, stored
 
 SEED = "mix-1"
 EPOCHS = 2
@@ -129,9 +129,10 @@ def mix(
         branch(F.col("source")).alias("origin"),
         (tokens_of(F.col("text")) if tokens is None else tokens).alias("n_tokens"),
     ).filter("n_tokens > 0")
-    leaves = stored(rows.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens")), "leaves")
+    leaves = stored(rows.groupBy(*TREE).agg(F.sum("n_tokens").alias("tokens"), F.count(F.lit(1)).alias("n")), "leaves")
     # what is joined to documents has a row a leaf: broadcast while their counted number allows, so texts stay put
-    small = F.broadcast if leaves.count() <= max_broadcast else (lambda df: df)
+    n_leaves, n = leaves.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    small = F.broadcast if n_leaves <= max_broadcast else (lambda df: df)
     plan = leaf_budgets(leaves, budget, weights, epochs).select(
         *TREE, F.expr("budget div tokens").alias("whole"), F.expr("budget % tokens").alias("rest")
     )
@@ -151,7 +152,7 @@ def mix(
     within = placed.filter("_range = _end").withColumn(
         "copies", F.col("whole") + (F.sum("n_tokens").over(last) <= F.col("_left")).cast("long")
     )
-    return before.unionByName(within).filter("copies > 0").select(*rest, *ADDED)
+    return before.unionByName(few_files(within, n)).filter("copies > 0").select(*rest, *ADDED)
 
 
 def op9_mixing_sources(spark, sf_dir: str) -> DataFrame:

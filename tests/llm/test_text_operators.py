@@ -6,7 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from augur.llm import decontaminate, pii, quality_rules, simhash_dedup, substring_dedup
+from augur.llm import decontaminate, mixing, pii, quality_rules, simhash_dedup, substring_dedup
 from augur.llm.components import components
 
 from . import brute
@@ -259,6 +259,7 @@ def test_small_tables_go_to_few_files(spark, docs):
             spark.conf.set(k, v)
         assert simhash_dedup.keep_one(docs).count() > 60
         pii.redrawn(named)
+        assert mixing.mix(docs).rdd.getNumPartitions() <= docs.rdd.getNumPartitions() + 1
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
